@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanforge.config import RAW_SCAN_NAME, Geometry
@@ -113,14 +113,20 @@ active as (select experiment, arg_min(subdir_str, first_arrival) as noise_subdir
 """
 
 
+def _names() -> list[Column]:
+    """Names of a scan of the given block: 25 frames a scan, 5 scans an experiment, the first its noise."""
+    return [
+        F.expr("concat('exp_', block div 5)").alias("experiment"),
+        F.expr("concat('scan_', block, if(block % 5 = 0, '_bkg', ''))").alias("subdir_str"),
+    ]
+
+
 def _scan_columns(frames: DataFrame) -> DataFrame:
-    """Acquisition columns of a frame numbered ``vec_id``: 25 frames a scan, 5 scans an experiment."""
     return (
         frames.withColumn("block", F.expr(f"vec_id div {FRAMES_PER_SCAN}"))
-        .withColumn("experiment", F.expr("concat('exp_', block div 5)"))
-        .withColumn("subdir_str", F.expr("concat('scan_', block, if(block % 5 = 0, '_bkg', ''))"))
         .withColumn("frame_no", F.expr(f"vec_id % {FRAMES_PER_SCAN}"))
         .withColumn("parity", F.expr("cast(frame_no % 2 as int)"))
+        .select("*", *_names())
     )
 
 
@@ -132,10 +138,14 @@ _WORD = """1000 + pos + cast(floor(abs(cast(coalesce(x, 0) as double)) * 1000e0)
   + case when pos % 3 = 0 then 2147483648 else 0 end"""
 
 
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _scan_columns(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return vectors.select("*", F.posexplode("embedding").alias("pos", "x")).drop("embedding")
+
+
 def embedding_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form: one row per detector word."""
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "x"))
-    return _scan_columns(vectors).select(
+    return _points(spark, sf_dir).select(
         "experiment", "subdir_str", "frame_no", "parity", "pos", F.expr(_WORD.format(div="div")).alias("w")
     )
 
@@ -146,16 +156,15 @@ def embedding_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every fourth scan gets a damaged copy of one chunk ahead of the good one, so that not all scans
     take the plain path. Every tenth scan has no operation file.
     """
-    word = _WORD.format(div="div").replace("pos", "p.pos").replace("(x,", "(p.x,")
-    positions = F.expr("transform(embedding, (x, pos) -> struct(x as x, cast(pos as bigint) as pos))")
-    vectors = _scan_columns(table(spark, sf_dir, "embeddings").select("vec_id", positions.alias("points")))
-    big_endian = f"transform(points, p -> lpad(hex({word}), 8, '0'))"
-    swapped = "concat(substring(h, 7, 2), substring(h, 5, 2), substring(h, 3, 2), substring(h, 1, 2))"
-    frames = vectors.withColumn("bytes", F.expr(f"array_join(transform({big_endian}, h -> {swapped}), '')"))
-    ordered = F.array_sort(F.collect_list(F.struct("frame_no", "bytes")))
+    words = _points(spark, sf_dir).withColumn("h", F.expr(f"lpad(hex({_WORD.format(div='div')}), 8, '0')"))
+    swapped = F.expr("concat(substring(h, 7, 2), substring(h, 5, 2), substring(h, 3, 2), substring(h, 1, 2))")
+    place = F.expr(f"cast(frame_no * {SMALL.pixels} + pos as int)").alias("place")
+    # One entry per word of a chunk, so at most 4 frames of 64 words.
+    ordered = F.array_sort(F.collect_list(F.struct(place, swapped.alias("bytes"))))
     chunks = (
-        frames.groupBy("experiment", "subdir_str", "block", F.expr(f"frame_no div {FRAMES_PER_CHUNK} + 1").alias("chunk_i"))
-        .agg(F.unhex(F.array_join(F.transform(ordered, lambda f: f.bytes), "")).alias("good"))
+        words.groupBy("block", F.expr(f"frame_no div {FRAMES_PER_CHUNK} + 1").alias("chunk_i"))
+        .agg(F.unhex(F.array_join(ordered["bytes"], "")).alias("good"))
+        .select("*", *_names())
         .withColumn("copy", F.expr("explode(if(block % 4 = 1 and chunk_i = 3, array(0, 1), array(1)))"))
     )
     n_chunks = -(-FRAMES_PER_SCAN // FRAMES_PER_CHUNK)
@@ -173,10 +182,11 @@ def embedding_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     one, text = F.lit(1).cast("bigint"), F.lit("<x/>").cast("binary")
     operations = (
-        _scan_columns(table(spark, sf_dir, "embeddings").select("vec_id"))
+        table(spark, sf_dir, "embeddings")
+        .select(F.expr(f"vec_id div {FRAMES_PER_SCAN}").alias("block"))
         .filter("block % 10 <> 7")
-        .select("experiment", "subdir_str")
         .distinct()
+        .select(*_names())
         .select(
             "experiment",
             "subdir_str",

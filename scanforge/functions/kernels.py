@@ -33,28 +33,44 @@ def by_parity(first_frame, n):
     return [(lead, slice(0, n, 2)), (1 - lead, slice(1, n, 2))]
 
 
+def in_double(calibration):
+    """Masks widened once per task, which is exact and keeps the inner loops free of casts."""
+    return {parity: {f: m.astype("f8") for f, m in fields.items()} for parity, fields in calibration.items()}
+
+
 def decode(words, first_frame, calibration, masks):
-    analog = (words & masks["analog"]).astype("f8")
+    out = (words & masks["analog"]).astype("f8")
     digital = ((words >> np.uint32(masks["shift"])) & masks["digital"]).astype("f8")
-    high_gain = (words >> np.uint32(masks["gain"])) == 1
-    out = np.empty(words.shape, "f8")
+    high_gain = (words >> np.uint32(masks["gain"])).astype(bool)
+    high = np.empty_like(out)
     for parity, rows in by_parity(first_frame, len(words)):
         m = calibration[parity]
-        high = m["g1"] * (analog[rows] - m["off"])
-        out[rows] = np.where(high_gain[rows], high, analog[rows]) + m["g2"] * digital[rows]
+        np.subtract(out[rows], m["off"], out=high[rows])
+        high[rows] *= m["g1"]
+        digital[rows] *= m["g2"]
+    np.copyto(out, high, where=high_gain)
+    out += digital
     return out
 
 
+def bin_counts(values, rule):
+    """Histogram of each frame; values outside and NaN are not counted."""
+    n, n_bins = len(values), rule.n_bins
+    outside = ~((values >= rule.low) & (values < rule.high))
+    slot = values - rule.low
+    slot /= rule.step
+    # The last edge can be reached by rounding alone.
+    np.minimum(slot, n_bins - 0.5, out=slot)
+    np.copyto(slot, n_bins, where=outside)
+    slot = slot.astype("i8")
+    slot += np.arange(n)[:, None] * (n_bins + 1)
+    return np.bincount(slot.ravel(), minlength=n * (n_bins + 1)).reshape(n, -1)[:, :n_bins]
+
+
 def estimate_offsets(values, rule):
     """(peak count, 0-based peak bin, offset) per frame, from a histogram and a parabola through its peak."""
     n, n_bins, half = len(values), rule.n_bins, rule.half_width
-    inside = (values >= rule.low) & (values < rule.high)
-    with np.errstate(invalid="ignore"):
-        bins = np.floor((values - rule.low) / rule.step)
-    slot = np.where(inside, np.minimum(bins, n_bins - 1), n_bins).astype("i8")
-    slot += np.arange(n)[:, None] * (n_bins + 1)
-    counts = np.bincount(slot.ravel(), minlength=n * (n_bins + 1)).reshape(n, -1)[:, :n_bins]
-
+    counts = bin_counts(values, rule)
     peak_bin = counts.argmax(axis=1)
     peak = counts[np.arange(n), peak_bin]
     start = np.maximum(peak_bin - half, 0)
@@ -151,10 +167,11 @@ def decode_frames(pixels, calibration, masks):
     """Chunks to decoded frames."""
 
     def run(batches):
+        masks_of = in_double(calibration)
         for batch in batches:
             out = FrameBatches(CHUNK_KEYS, {"frame_no": pa.int64(), "parity": pa.int32()}, pa.float64())
             for key, start, data, _ in chunks_in(batch):
-                values = decode(words_of(data, pixels), start, calibration, masks)
+                values = decode(words_of(data, pixels), start, masks_of, masks)
                 numbers = start + np.arange(len(values), dtype="i8")
                 yield from out.add(key, [numbers, (numbers % 2).astype("i4")], values)
             if out.held:
@@ -179,11 +196,12 @@ def noise_sums(pixels, calibration, masks):
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches):
+        masks_of = in_double(calibration)
         sums = {}
         for batch in batches:
             totals = batch.column("n_frames").to_pylist()
             for (experiment, subdir, _), start, data, i in chunks_in(batch):
-                values = decode(words_of(data, pixels), start, calibration, masks)
+                values = decode(words_of(data, pixels), start, masks_of, masks)
                 values = values[: max(0, totals[i] // 2 * 2 - start)]
                 held = sums.setdefault((experiment, subdir, totals[i]), np.zeros((2, pixels)))
                 for parity, part in by_parity(start, len(values)):
@@ -208,12 +226,13 @@ def correct_frames(pixels, calibration, masks, rule):
     }
 
     def run(batches):
+        masks_of = in_double(calibration)
         for batch in batches:
             out = FrameBatches(CHUNK_KEYS, columns, pa.float32())
             totals = batch.column("n_frames").to_pylist()
             means = [list_rows(batch.column("mean_0")), list_rows(batch.column("mean_1"))]
             for key, start, data, i in chunks_in(batch):
-                values = decode(words_of(data, pixels), start, calibration, masks)
+                values = decode(words_of(data, pixels), start, masks_of, masks)
                 paired = max(0, totals[i] // 2 * 2 - start)
                 halves = by_parity(start, len(values))
                 for parity, rows in halves:
@@ -221,7 +240,7 @@ def correct_frames(pixels, calibration, masks, rule):
                 peak, peak_bin, offset = estimate_offsets(values, rule)
                 values -= offset[:, None]
                 for parity, rows in halves:
-                    values[:paired][rows] *= calibration[parity]["flat"]
+                    values[:paired][rows] *= masks_of[parity]["flat"]
                 numbers = start + np.arange(len(values), dtype="i8")
                 stats = [
                     numbers,

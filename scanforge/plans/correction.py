@@ -38,26 +38,27 @@ def find_ready(
     treat_extra_noise_as_signal: bool = False,
     raw_name: str = RAW_SCAN_NAME,
 ) -> Ready:
-    """Gate: noises whose mean is still to be computed, and signals that can be corrected.
+    """Gate: active noises whose mean is still to be computed, and signals that can be corrected.
 
-    Reads packet metadata only. The three results are written to ``folder``, because several later
-    steps use them and need their true sizes.
+    Reads packet metadata only. Facts and result are written to ``folder``, because several later steps
+    use them and need their true sizes.
     """
     chunks = assemble.chunk_facts(packets, raw_name)
     facts = assemble.with_operation_file(
         assemble.acquisition_facts(chunks, geometry.frame_bytes), packets, raw_name
     )
     facts = save(facts, f"{folder}/facts")
-    noise = save(assemble.active_noise(facts, stored_means, noise_subdir), f"{folder}/noise")
-    signals = save(
-        assemble.ready_signals(facts, noise, processed, treat_extra_noise_as_signal), f"{folder}/signals"
+    noise = assemble.active_noise(facts, stored_means, noise_subdir)
+    signals = assemble.ready_signals(facts, noise, processed, treat_extra_noise_as_signal)
+    fresh = noise.filter(F.col("usable") & ~F.col("stored")).select(
+        "experiment", F.col("noise_subdir").alias("subdir_str")
     )
-    # Only noises that a ready signal or a later one can use: the active ones without a stored mean.
-    fresh = noise.filter(F.col("usable") & ~F.col("stored"))
-    noises = facts.join(
-        fresh.select("experiment", F.col("noise_subdir").alias("subdir_str")), ACQUISITION, "left_semi"
+    noises = facts.join(fresh, ACQUISITION, "left_semi")
+    roles = signals.withColumn("role", F.lit("signal")).unionByName(
+        noises.withColumn("noise_subdir", F.col("subdir_str")).withColumn("role", F.lit("noise"))
     )
-    return Ready(facts, save(noises, f"{folder}/noises"), signals)
+    roles = save(roles, f"{folder}/ready")
+    return Ready(facts, roles.filter("role = 'noise'"), roles.filter("role = 'signal'"))
 
 
 def select_chunks(
@@ -72,28 +73,34 @@ def select_chunks(
     columns = [c for c in ("n_frames", "noise_subdir") if c in acquisitions.columns]
     raw = raw_scans(packets, raw_name).select(*ACQUISITION, "chunk_i", "arrival_order", "hash_ok", "data")
     plain = F.col("clean") & F.col("body_frames").isNotNull()
+    sizes = acquisitions.agg(
+        F.count_if(plain).alias("regular"), F.count_if(~plain).alias("others")
+    ).first()
     regular = acquisitions.filter(plain).select(*ACQUISITION, *columns, "body_frames")
     start = (F.col("chunk_i") - 1) * F.col("body_frames")
     out = [*ACQUISITION, "chunk_i", "frame_start", *columns, "data"]
     chunks = (
-        lookup_join(raw, regular, ACQUISITION, salt=F.col("chunk_i")).withColumn("frame_start", start).select(*out)
+        lookup_join(raw, regular, ACQUISITION, salt=F.col("chunk_i"), small_rows=sizes["regular"])
+        .withColumn("frame_start", start)
+        .select(*out)
     )
+    if not sizes["others"]:
+        return chunks
 
     others = acquisitions.filter(~plain).select(*ACQUISITION, *columns)
-    if others.isEmpty():
-        return chunks
     names = others.select(*ACQUISITION)
     # Payload-free pass for the starts; the copies of a chunk are merged before each shuffle.
     metadata = raw_scans(packets, raw_name).select(
         *ACQUISITION, "filename", "chunk_i", "n_total_chunks", "arrival_order", "hash_ok", "n_bytes"
     )
-    salt = F.struct("chunk_i", "arrival_order")
-    kept = lookup_join(metadata, names, ACQUISITION, salt=salt, how="left_semi")
+    salt, n = F.struct("chunk_i", "arrival_order"), sizes["others"]
+    kept = lookup_join(metadata, names, ACQUISITION, salt=salt, how="left_semi", small_rows=n)
     starts = assemble.frame_offsets(assemble.chunk_facts(kept, raw_name), frame_bytes)
-    copies = lookup_join(raw, names, ACQUISITION, salt=salt, how="left_semi")
+    copies = lookup_join(raw, names, ACQUISITION, salt=salt, how="left_semi", small_rows=n)
     single = copies.groupBy(*ACQUISITION, "chunk_i").agg(F.max_by("data", copy_rank()).alias("data"))
     placed = single.join(starts.select(*ACQUISITION, "chunk_i", "frame_start"), [*ACQUISITION, "chunk_i"])
-    return chunks.unionByName(lookup_join(placed, others, ACQUISITION, salt=F.col("chunk_i")).select(*out))
+    placed = lookup_join(placed, others, ACQUISITION, salt=F.col("chunk_i"), small_rows=n).select(*out)
+    return chunks.unionByName(placed) if sizes["regular"] else placed
 
 
 def compute_means(

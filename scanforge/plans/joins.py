@@ -17,15 +17,18 @@ def lookup_join(
     salt: Column,
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``small`` (at most one or few rows per key).
 
-    ``small`` is counted first, up to the bound. Within the bound it is broadcast and ``big`` keeps its
+    ``small`` is counted first, up to the bound, unless ``small_rows`` gives its count. Within the bound it is broadcast and ``big`` keeps its
     partitioning. Beyond it both sides are shuffled on the key plus a salt taken from ``salt``, an
     expression over ``big`` that varies inside a key, so one hot key is spread over many tasks.
     ``how`` may be inner, left, left_semi or left_anti.
     """
-    if small.limit(max_rows + 1).count() <= max_rows:
+    if small_rows is None:
+        small_rows = small.limit(max_rows + 1).count()
+    if small_rows <= max_rows:
         return big.join(F.broadcast(small), on, how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

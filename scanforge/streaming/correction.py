@@ -13,7 +13,8 @@ from scanforge.config import ACQUISITION, RAW_SCAN_NAME, Geometry, OffsetRule
 from scanforge.operators import assemble
 from scanforge.operators.integrity import check_integrity
 from scanforge.plans.correction import compute_means, correct_signals, find_ready
-from scanforge.plans.tables import load, load_or_empty
+from scanforge.plans.joins import lookup_join
+from scanforge.plans.tables import load, load_or_empty, save
 from scanforge.schema import CORRECTED_SCHEMA, LANDED_SCHEMA, NOISE_MEANS_SCHEMA
 from scanforge.sinks.tables import store_corrected, store_noise_means
 
@@ -58,12 +59,14 @@ def land_batch(batch: DataFrame, batch_id: int, tables: Tables) -> None:
 def touched_packets(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
     """All landed packets of the experiments that the batch can change.
 
-    An acquisition becomes ready through a packet of its own directory or of its experiment's noise.
+    An acquisition becomes ready through a packet of its own directory or of its experiment's noise. The
+    experiments are stored first, since several steps filter with them.
     """
     packets = tables.packets(spark)
     directories = packets.filter(F.col("batch_id") == batch_id).select("subdir_str").distinct()
     experiments = packets.join(directories, "subdir_str", "left_semi").select("experiment").distinct()
-    return packets.join(experiments, "experiment", "left_semi")
+    experiments = save(experiments, tables.path(f"gate/batch_id={batch_id}/experiments"))
+    return lookup_join(packets, experiments, ["experiment"], salt=F.col("chunk_i"), how="left_semi")
 
 
 def before_batch(table: DataFrame, batch_id: int) -> DataFrame:
@@ -105,9 +108,10 @@ def correct_completed(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         land_batch(batch, batch_id, tables)
-        packets = touched_packets(spark, tables, batch_id)
+        # The gate looks at the touched experiments; payload is then picked by acquisition.
+        packets = tables.packets(spark)
         ready = find_ready(
-            packets,
+            touched_packets(spark, tables, batch_id),
             geometry,
             tables.path(f"gate/batch_id={batch_id}"),
             stored_means=tables.noise_means(spark),
