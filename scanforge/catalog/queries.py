@@ -268,7 +268,9 @@ def _noise_means(decoded: DataFrame, spark: SparkSession, sf_dir: str) -> DataFr
 def _subtracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = _decoded(spark, sf_dir)
     signal = decoded.filter(select.kind() == "signal")
-    return background.subtract_background(signal, _noise_means(decoded, spark, sf_dir))
+    n_noises = _scans(spark, sf_dir).filter(select.kind() == "noise").count()
+    means = _noise_means(decoded, spark, sf_dir)
+    return background.subtract_background(signal, means, n_means=2 * I.SMALL.pixels * n_noises)
 
 
 @query(WORDS + """select experiment, subdir_str, frame_no, parity, pos, w & 16383 as ana, (w >> 14) & 65535 as dig, (w >> 31) & 1 as gn from words""")
@@ -316,13 +318,13 @@ def raw_decode_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.explode_pixels(decode.unpack_frames(chunks, I.SMALL), "w")
 
 
-def _corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _corrected(spark: SparkSession, sf_dir: str, packed: bool = False) -> DataFrame:
     packets, folder = I.landed_embedding_packets(spark, sf_dir)
     calibration = cal.as_arrays(I.small_calibration(spark), I.SMALL)
     ready = correction.find_ready(packets, I.SMALL, folder)
     means = correction.compute_means(packets, ready, calibration, I.SMALL)
     means = store_noise_means(means, f"{folder}/noise_means")
-    return correction.correct_signals(packets, ready.signals, means, calibration, I.SMALL)
+    return correction.correct_signals(packets, ready.signals, means, calibration, I.SMALL, packed=packed)
 
 
 def _corrected_pixels(frames: DataFrame) -> DataFrame:
@@ -358,7 +360,7 @@ def frame_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corrected frames written as headerless float32 files and read back from them."""
     root = f"{shared_dir(spark)}/output"
-    export_raw(_corrected(spark, sf_dir), root, frames_per_file=10)
+    export_raw(_corrected(spark, sf_dir, packed=True), root, frames_per_file=10)
     return _corrected_pixels(read_exported(spark, root, I.SMALL))
 
 
@@ -372,7 +374,7 @@ def stream_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     packets = sources.stream_packet_files(spark, f"{folder}/incoming", files_per_trigger=1)
     handler = streaming.correct_completed(tables, calibration, I.SMALL)
     streaming.start(packets, handler, tables, once=True).awaitTermination()
-    return _corrected_pixels(tables.corrected(spark))
+    return _corrected_pixels(decode.unpack_pixels(tables.corrected(spark), I.SMALL))
 
 
 @query(

@@ -100,6 +100,13 @@ def list_array(rows, arrow_type):
     return pa.ListArray.from_arrays(pa.array(ends), flat)
 
 
+def binary_array(rows):
+    """2-D array to an Arrow binary column: the little-endian bytes of each row."""
+    flat = np.ascontiguousarray(rows, rows.dtype.newbyteorder("<"))
+    ends = np.arange(len(rows) + 1, dtype="i4") * (flat.itemsize * flat.shape[1])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
 def list_rows(column):
     """Numpy view of an Arrow list column as a function of the row number."""
     ends, values = column.offsets.to_numpy(), column.values.to_numpy()
@@ -109,8 +116,8 @@ def list_rows(column):
 class FrameBatches:
     """Collects the frames of consecutive chunks and releases them in batches of bounded size."""
 
-    def __init__(self, keys, columns, list_type):
-        self.keys, self.columns, self.list_type = keys, columns, list_type
+    def __init__(self, keys, columns, pixel_type):
+        self.keys, self.columns, self.pixel_type = keys, columns, pixel_type
         self.parts, self.held = [], 0
 
     def add(self, key_values, columns, pixels):
@@ -129,7 +136,9 @@ class FrameBatches:
             arrays.append(pa.array(values, arrow_type))
         for c, arrow_type in enumerate(self.columns.values()):
             arrays.append(pa.array(np.concatenate([p[1][c] for p in self.parts]), arrow_type))
-        arrays.append(list_array(np.concatenate([p[2] for p in self.parts]), self.list_type))
+        rows = np.concatenate([p[2] for p in self.parts])
+        packed = pa.types.is_binary(self.pixel_type)
+        arrays.append(binary_array(rows) if packed else list_array(rows, self.pixel_type))
         names = [*self.keys, *self.columns, "pixels"]
         self.parts, self.held = [], 0
         return pa.RecordBatch.from_arrays(arrays, names)
@@ -215,7 +224,7 @@ def noise_sums(pixels, calibration, masks):
     return run
 
 
-def correct_frames(pixels, calibration, masks, rule):
+def correct_frames(pixels, calibration, masks, rule, packed):
     """Chunks with their noise means to corrected frames and frame statistics, in one pass."""
     columns = {
         "frame_no": pa.int64(),
@@ -228,7 +237,7 @@ def correct_frames(pixels, calibration, masks, rule):
     def run(batches):
         masks_of = in_double(calibration)
         for batch in batches:
-            out = FrameBatches(CHUNK_KEYS, columns, pa.float32())
+            out = FrameBatches(CHUNK_KEYS, columns, pa.binary() if packed else pa.float32())
             totals = batch.column("n_frames").to_pylist()
             means = [list_rows(batch.column("mean_0")), list_rows(batch.column("mean_1"))]
             for key, start, data, i in chunks_in(batch):
@@ -280,7 +289,11 @@ def write_runs(root, byte_order, max_frames):
 
         for batch in batches:
             names = zip(*[batch.column(c).to_pylist() for c in ("experiment", "subdir_str", "frame_no")])
-            frame = list_rows(batch.column("pixels"))
+            column = batch.column("pixels")
+            if pa.types.is_binary(column.type):
+                frame = lambda i, c=column: np.frombuffer(c[i].as_buffer(), "<f4")
+            else:
+                frame = list_rows(column)
             for i, (experiment, subdir, number) in enumerate(names):
                 key = (experiment, subdir)
                 follows = (
@@ -324,3 +337,20 @@ def unpack_parts(pixels, byte_order):
                 yield out.flush()
 
     return run
+
+
+def unpack_pixels(pixels):
+    """Packed frames to arrays, all other columns passed on."""
+
+    def run(batches):
+        for batch in batches:
+            packed = batch.column("pixels")
+            ends = np.frombuffer(packed.buffers()[1], "i4", len(packed) + 1, packed.offset * 4)
+            if np.any(np.diff(ends) != 4 * pixels):
+                raise ValueError(f"a packed frame is not {pixels} float32 values")
+            values = np.frombuffer(packed.buffers()[2], "<f4", len(packed) * pixels, int(ends[0]))
+            at = batch.schema.get_field_index("pixels")
+            frames = list_array(values.reshape(-1, pixels), pa.float32())
+            yield batch.set_column(at, "pixels", frames)
+
+    return run

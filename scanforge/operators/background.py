@@ -9,6 +9,7 @@ from scanforge.config import ACQUISITION, Geometry
 from scanforge.functions import kernels
 from scanforge.functions.words import paired_frames
 from scanforge.operators.decode import word_masks
+from scanforge.plans.joins import lookup_join
 
 SUMS_SCHEMA = "experiment string, noise_subdir string, n_frames bigint, parity int, sums array<double>"
 
@@ -55,19 +56,20 @@ def means_by_noise(means: DataFrame) -> DataFrame:
 def noise_pixel_means(pixels: DataFrame, facts: DataFrame) -> DataFrame:
     """Long form of ``noise_means``; ``facts`` gives ``n_frames`` per acquisition."""
     n_frames = facts.select(*ACQUISITION, "n_frames")
-    paired = pixels.join(n_frames, ACQUISITION).filter(F.col("frame_no") < paired_frames(F.col("n_frames")))
-    return (
-        paired.groupBy("experiment", F.col("subdir_str").alias("noise_subdir"), "parity", "pos")
-        .agg(F.avg("value").alias("mean"))
+    paired = lookup_join(pixels, n_frames, ACQUISITION, salt=F.col("pos")).filter(
+        F.col("frame_no") < paired_frames(F.col("n_frames"))
+    )
+    return paired.groupBy("experiment", F.col("subdir_str").alias("noise_subdir"), "parity", "pos").agg(
+        F.avg("value").alias("mean")
     )
 
 
-def subtract_background(pixels: DataFrame, means: DataFrame) -> DataFrame:
+def subtract_background(pixels: DataFrame, means: DataFrame, n_means: int | None = None) -> DataFrame:
     """Long form: subtract the mean of the same experiment, parity and position.
 
-    The key holds the position, so a large experiment spreads over as many keys as it has pixels.
+    ``n_means`` is a known bound for the rows of ``means``, so that they need not be counted.
     """
     rest = [c for c in pixels.columns if c != "value"]
-    return pixels.join(means.select("experiment", "parity", "pos", "mean"), ["experiment", "parity", "pos"]).select(
-        *rest, (F.col("value") - F.col("mean")).alias("value")
-    )
+    keys = ["experiment", "parity", "pos"]
+    joined = lookup_join(pixels, means.select(*keys, "mean"), keys, salt=F.col("frame_no"), small_rows=n_means)
+    return joined.select(*rest, (F.col("value") - F.col("mean")).alias("value"))

@@ -9,10 +9,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scanforge.config import ANALOG_MASK, DIGITAL_MASK, DIGITAL_SHIFT, GAIN_SHIFT, Geometry
 from scanforge.functions import kernels
 from scanforge.functions import words as W
+from scanforge.plans.joins import lookup_join
 
 FRAME_COLUMNS = "experiment string, subdir_str string, chunk_i bigint, frame_no bigint, parity int"
 
@@ -51,6 +53,15 @@ def explode_pixels(frames: DataFrame, value: str = "value") -> DataFrame:
     return frames.select(*rest, F.posexplode("pixels").alias("pos", value))
 
 
+def unpack_pixels(frames: DataFrame, geometry: Geometry) -> DataFrame:
+    """Frames stored as float32 bytes to frames with an array of floats."""
+    fields = [
+        T.StructField("pixels", T.ArrayType(T.FloatType())) if f.name == "pixels" else f
+        for f in frames.schema.fields
+    ]
+    return frames.mapInArrow(kernels.unpack_pixels(geometry.pixels), T.StructType(fields))
+
+
 def word_fields(words: DataFrame, word: str = "w") -> DataFrame:
     w = F.col(word)
     return words.select(
@@ -64,10 +75,9 @@ def word_fields(words: DataFrame, word: str = "w") -> DataFrame:
 def decode_words(words: DataFrame, calibration: DataFrame, word: str = "w") -> DataFrame:
     """Long form: one row per word to one row per pixel value.
 
-    ``calibration`` holds one row per (parity, pos), at most two per pixel, so Spark's own size
-    estimate decides about broadcasting it.
+    ``calibration`` holds one row per (parity, pos), two per sensor pixel.
     """
     value = W.decoded(F.col(word), F.col("g1"), F.col("g2"), F.col("off")).alias("value")
     rest = [c for c in words.columns if c != word]
     masks = calibration.select("parity", "pos", "g1", "g2", "off")
-    return words.join(masks, ["parity", "pos"]).select(*rest, value)
+    return lookup_join(words, masks, ["parity", "pos"], salt=F.col("frame_no")).select(*rest, value)

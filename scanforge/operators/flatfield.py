@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scanforge.config import ACQUISITION
 from scanforge.functions.words import paired_frames
+from scanforge.plans.joins import lookup_join
 
 
 def apply_flat_field(pixels: DataFrame, calibration: DataFrame, facts: DataFrame) -> DataFrame:
@@ -16,9 +17,8 @@ def apply_flat_field(pixels: DataFrame, calibration: DataFrame, facts: DataFrame
     n_frames = facts.select(*ACQUISITION, "n_frames")
     paired = F.col("frame_no") < paired_frames(F.col("n_frames"))
     value = F.when(paired, F.col("value") * F.col("flat").cast("double")).otherwise(F.col("value"))
-    return (
-        pixels.join(flat, ["parity", "pos"]).join(n_frames, ACQUISITION).select(*rest, value.alias("value"))
-    )
+    joined = lookup_join(pixels, flat, ["parity", "pos"], salt=F.col("frame_no"))
+    return lookup_join(joined, n_frames, ACQUISITION, salt=F.col("pos")).select(*rest, value.alias("value"))
 
 
 def narrow(pixels: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from scanforge.operators.integrity import copy_rank
 from scanforge.operators.select import raw_scans
 from scanforge.plans.joins import lookup_join, rows_within
 from scanforge.plans.tables import save
-from scanforge.schema import CORRECTED_SCHEMA
+from scanforge.schema import CORRECTED_SCHEMA, STORED_SCHEMA
 
 
 @dataclass
@@ -118,19 +118,23 @@ def correct_signals(
     geometry: Geometry,
     rule: OffsetRule = OffsetRule(),
     raw_name: str = RAW_SCAN_NAME,
+    packed: bool = False,
 ) -> DataFrame:
     """Corrected frames with their statistics, one Arrow pass over the payload.
 
+    With ``packed`` the pixels of a frame are float32 little-endian bytes instead of an array.
     ``means`` should be a stored table. Two mean frames per noise are joined to each chunk: broadcast
     while they fit the budget, otherwise by a shuffle on experiment plus salt.
     """
     chunks = select_chunks(packets, signals, geometry.frame_bytes, raw_name)
-    wide = means_by_noise(means)
+    used = signals.select("experiment", "noise_subdir").distinct()
+    wide = means_by_noise(means.join(used, ["experiment", "noise_subdir"], "left_semi"))
     fits = rows_within(2 * 8 * geometry.pixels)
     joined = lookup_join(chunks, wide, ["experiment", "noise_subdir"], salt=F.col("chunk_i"), max_rows=fits)
     columns = [*ACQUISITION, "chunk_i", "frame_start", "n_frames", "mean_0", "mean_1", "data"]
     return joined.select(*columns).mapInArrow(
-        kernels.correct_frames(geometry.pixels, calibration, word_masks(), rule), CORRECTED_SCHEMA
+        kernels.correct_frames(geometry.pixels, calibration, word_masks(), rule, packed),
+        STORED_SCHEMA if packed else CORRECTED_SCHEMA,
     )
 
 

@@ -12,11 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from scanforge.config import ACQUISITION, RAW_SCAN_NAME, Geometry, OffsetRule
 from scanforge.operators import assemble
 from scanforge.operators.integrity import check_integrity
-from scanforge.plans.correction import compute_means, correct_signals, find_ready
+from scanforge.plans.correction import find_ready
 from scanforge.plans.joins import lookup_join
+from scanforge.plans.run import store_corrections
 from scanforge.plans.tables import load, load_or_empty, save
-from scanforge.schema import CORRECTED_SCHEMA, LANDED_SCHEMA, NOISE_MEANS_SCHEMA
-from scanforge.sinks.tables import store_corrected, store_noise_means
+from scanforge.schema import LANDED_SCHEMA, NOISE_MEANS_SCHEMA, STORED_SCHEMA
 
 COMPLETED_SCHEMA = "experiment string, subdir_str string, n_received bigint, n_chunks bigint, n_total_chunks bigint"
 PROCESSED_SCHEMA = "experiment string, subdir_str string, noise_subdir string"
@@ -39,7 +39,7 @@ class Tables:
         return load_or_empty(spark, self.path("noise_means"), NOISE_MEANS_SCHEMA)
 
     def corrected(self, spark: SparkSession) -> DataFrame:
-        return load_or_empty(spark, self.path("corrected"), CORRECTED_SCHEMA)
+        return load_or_empty(spark, self.path("corrected"), STORED_SCHEMA)
 
     def processed(self, spark: SparkSession) -> DataFrame:
         return load_or_empty(spark, self.path("processed"), PROCESSED_SCHEMA + ", batch_id bigint")
@@ -119,14 +119,8 @@ def correct_completed(
             treat_extra_noise_as_signal=treat_extra_noise_as_signal,
             raw_name=raw_name,
         )
-        if not ready.noises.isEmpty():
-            means = compute_means(packets, ready, calibration, geometry, raw_name)
-            store_noise_means(means, tables.path("noise_means"))
-        if not ready.signals.isEmpty():
-            used = ready.signals.select("experiment", "noise_subdir").distinct()
-            means = tables.noise_means(spark).join(used, ["experiment", "noise_subdir"], "left_semi")
-            corrected = correct_signals(packets, ready.signals, means, calibration, geometry, rule, raw_name)
-            store_corrected(corrected, tables.path("corrected"))
+        means_path, corrected_path = tables.path("noise_means"), tables.path("corrected")
+        store_corrections(packets, ready, calibration, geometry, means_path, corrected_path, rule, raw_name)
         ready.signals.select("experiment", "subdir_str", "noise_subdir").write.mode("overwrite").parquet(
             f"{tables.path('processed')}/batch_id={batch_id}"
         )
