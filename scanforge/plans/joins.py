@@ -16,7 +16,7 @@ def lookup_join(
     on: list[str],
     salt: Column,
     how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
     small_rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``small`` (at most one or few rows per key).
@@ -26,6 +26,7 @@ def lookup_join(
     expression over ``big`` that varies inside a key, so one hot key is spread over many tasks.
     ``how`` may be inner, left, left_semi or left_anti.
     """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     if small_rows is None:
         small_rows = small.limit(max_rows + 1).count()
     if small_rows <= max_rows:
@@ -35,6 +36,6 @@ def lookup_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def rows_within(bytes_per_row: int, budget: int = BROADCAST_BYTES) -> int:
+def rows_within(bytes_per_row: int, budget: int | None = None) -> int:
     """How many rows of a known width fit into the broadcast budget."""
-    return max(1, budget // max(1, bytes_per_row))
+    return max(1, (BROADCAST_BYTES if budget is None else budget) // max(1, bytes_per_row))
