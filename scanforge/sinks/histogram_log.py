@@ -20,8 +20,9 @@ def write_log(stats: DataFrame, path: str) -> None:
 
     Rows are range-partitioned on acquisition and frame, so a long acquisition is written by several tasks.
     """
-    ordered = [*ACQUISITION, "frame_no"]
-    lines = log_lines(stats).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
-    lines.select("experiment", "log_name", F.col("line").alias("value")).write.mode("overwrite").partitionBy(
-        "experiment", "log_name"
-    ).text(path)
+    # Never null, so that the writer accepts this order as it is and does not sort by folder again.
+    folders = {c: F.coalesce(c, F.lit("unknown")) for c in ("experiment", "log_name")}
+    ordered = [*folders, "frame_no"]
+    lines = log_lines(stats).withColumns(folders).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    lines = lines.select(*folders, F.col("line").alias("value"))
+    lines.write.mode("overwrite").partitionBy(*folders).text(path)
