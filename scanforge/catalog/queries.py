@@ -107,7 +107,7 @@ where usable and complete and kind = 'signal' and subdir_str not in
 def ready_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acquisitions with a text file beside their scan stand for those processed before."""
     packets = _packets(spark, sf_dir)
-    facts = _facts(spark, sf_dir)
+    facts = save(_facts(spark, sf_dir), f"{shared_dir(spark)}/facts")
     processed = packets.filter(F.col("filename").endswith(".txt")).select("experiment", "subdir_str")
     ready = assemble.ready_signals(facts, assemble.active_noise(facts), processed)
     return ready.select("experiment", "subdir_str", "noise_subdir", "n_chunks")
@@ -128,7 +128,8 @@ def frame_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     PACKETS
     + """select experiment, subdir_str, filename, chunk_i, arrival_order, hash_ok,
-  cast(octet_length(encode(data)) as bigint) as n_bytes, sha256(data) as digest from packets"""
+  cast(octet_length(encode(data)) as bigint) as n_bytes, sha256(data) as digest,
+  to_base64(unhex(sha256(data))) as digest_base64 from packets"""
 )
 def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packets(spark, sf_dir).select(
@@ -140,6 +141,7 @@ def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hash_ok",
         "n_bytes",
         F.sha2("data", 256).alias("digest"),
+        F.base64(F.unhex(F.sha2("data", 256))).alias("digest_base64"),
     )
 
 
@@ -215,15 +217,22 @@ def file_chunking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _incoming(packets: DataFrame, folder: str) -> DataFrame:
+    """Packets written as files and read as a stream of about two micro-batches."""
+    spark = packets.sparkSession
+    packets.write.parquet(folder)
+    n_files = len(spark.read.parquet(folder).inputFiles())
+    return sources.stream_packet_files(spark, folder, files_per_trigger=max(1, (n_files + 1) // 2))
+
+
 @query(
     PACKETS
     + "select experiment, subdir_str, n_chunks, n_total_chunks from facts where complete"
 )
 def stream_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark)
-    I.conversation_packets(spark, sf_dir).repartition(4).write.parquet(f"{folder}/incoming")
     tables = streaming.Tables(f"{folder}/stream", partition_by=[])
-    packets = sources.stream_packet_files(spark, f"{folder}/incoming", files_per_trigger=2)
+    packets = _incoming(I.conversation_packets(spark, sf_dir), f"{folder}/incoming")
     streaming.start(packets, streaming.record_completed(tables), tables, once=True).awaitTermination()
     return tables.completed(spark).select("experiment", "subdir_str", "n_chunks", "n_total_chunks")
 
@@ -368,10 +377,9 @@ def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same packets as a stream in two micro-batches."""
     folder = shared_dir(spark)
-    I.embedding_packets(spark, sf_dir).repartition(2).write.parquet(f"{folder}/incoming")
     tables = streaming.Tables(f"{folder}/stream", partition_by=[])
     calibration = cal.as_arrays(I.small_calibration(spark), I.SMALL)
-    packets = sources.stream_packet_files(spark, f"{folder}/incoming", files_per_trigger=1)
+    packets = _incoming(I.embedding_packets(spark, sf_dir), f"{folder}/incoming")
     handler = streaming.correct_completed(tables, calibration, I.SMALL)
     streaming.start(packets, handler, tables, once=True).awaitTermination()
     return _corrected_pixels(decode.unpack_pixels(tables.corrected(spark), I.SMALL))

@@ -14,17 +14,19 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Values per output batch; 128 x 128 float64 frames give 64 frames and 8 MiB.
+# Values worked on at a time, and values that complete an output batch: 64 frames of 128 x 128 pixels,
+# 8 MiB as float64. An output batch holds less than the sum of both.
+STEP_VALUES = 1 << 20
 OUTPUT_VALUES = 1 << 20
 # Acquisitions whose partial sums a task holds at a time.
 HELD_SUMS = 64
 
 
-def words_of(data, pixels):
-    """Little-endian unsigned words of a chunk, one row per frame."""
+def values_of(data, pixels, layout="<u4"):
+    """The 4-byte values of a chunk, one row per frame."""
     if len(data) % (4 * pixels):
-        raise ValueError(f"chunk of {len(data)} bytes is not a whole number of {pixels}-pixel frames")
-    return np.frombuffer(data, "<u4").reshape(-1, pixels)
+        raise ValueError(f"chunk of {len(data)} bytes is not a whole number of frames of {pixels} pixels")
+    return np.frombuffer(data, layout).reshape(-1, pixels)
 
 
 def by_parity(first_frame, n):
@@ -121,12 +123,10 @@ class FrameBatches:
         self.parts, self.held = [], 0
 
     def add(self, key_values, columns, pixels):
-        for lo in range(0, len(pixels), max(1, OUTPUT_VALUES // pixels.shape[1])):
-            hi = min(len(pixels), lo + max(1, OUTPUT_VALUES // pixels.shape[1]))
-            self.parts.append((key_values, [c[lo:hi] for c in columns], pixels[lo:hi]))
-            self.held += pixels[lo:hi].size
-            if self.held >= OUTPUT_VALUES:
-                yield self.flush()
+        self.parts.append((key_values, columns, pixels))
+        self.held += pixels.size
+        if self.held >= OUTPUT_VALUES:
+            yield self.flush()
 
     def flush(self):
         sizes = [len(p[2]) for p in self.parts]
@@ -147,13 +147,16 @@ class FrameBatches:
 CHUNK_KEYS = {"experiment": pa.string(), "subdir_str": pa.string(), "chunk_i": pa.int64()}
 
 
-def chunks_in(batch):
-    """(key values, first frame, payload, row number) of every chunk of a batch."""
+def chunks_in(batch, pixels, layout="<u4"):
+    """(key values, first frame, values, row number) of every chunk, a long chunk in several steps."""
     keys = list(zip(*[batch.column(k).to_pylist() for k in CHUNK_KEYS]))
     starts = batch.column("frame_start").to_pylist()
     data = batch.column("data")
+    step = max(2, STEP_VALUES // pixels)
     for i, (key, start) in enumerate(zip(keys, starts)):
-        yield key, start, data[i].as_buffer(), i
+        values = values_of(data[i].as_buffer(), pixels, layout)
+        for lo in range(0, len(values), step):
+            yield key, start + lo, values[lo : lo + step], i
 
 
 def unpack_frames(pixels):
@@ -162,8 +165,7 @@ def unpack_frames(pixels):
     def run(batches):
         for batch in batches:
             out = FrameBatches(CHUNK_KEYS, {"frame_no": pa.int64(), "parity": pa.int32()}, pa.int64())
-            for key, start, data, _ in chunks_in(batch):
-                words = words_of(data, pixels)
+            for key, start, words, _ in chunks_in(batch, pixels):
                 numbers = start + np.arange(len(words), dtype="i8")
                 yield from out.add(key, [numbers, (numbers % 2).astype("i4")], words.astype("i8"))
             if out.held:
@@ -179,8 +181,8 @@ def decode_frames(pixels, calibration, masks):
         masks_of = in_double(calibration)
         for batch in batches:
             out = FrameBatches(CHUNK_KEYS, {"frame_no": pa.int64(), "parity": pa.int32()}, pa.float64())
-            for key, start, data, _ in chunks_in(batch):
-                values = decode(words_of(data, pixels), start, masks_of, masks)
+            for key, start, words, _ in chunks_in(batch, pixels):
+                values = decode(words, start, masks_of, masks)
                 numbers = start + np.arange(len(values), dtype="i8")
                 yield from out.add(key, [numbers, (numbers % 2).astype("i4")], values)
             if out.held:
@@ -209,8 +211,8 @@ def noise_sums(pixels, calibration, masks):
         sums = {}
         for batch in batches:
             totals = batch.column("n_frames").to_pylist()
-            for (experiment, subdir, _), start, data, i in chunks_in(batch):
-                values = decode(words_of(data, pixels), start, masks_of, masks)
+            for (experiment, subdir, _), start, words, i in chunks_in(batch, pixels):
+                values = decode(words, start, masks_of, masks)
                 values = values[: max(0, totals[i] // 2 * 2 - start)]
                 held = sums.setdefault((experiment, subdir, totals[i]), np.zeros((2, pixels)))
                 for parity, part in by_parity(start, len(values)):
@@ -240,8 +242,8 @@ def correct_frames(pixels, calibration, masks, rule, packed):
             out = FrameBatches(CHUNK_KEYS, columns, pa.binary() if packed else pa.float32())
             totals = batch.column("n_frames").to_pylist()
             means = [list_rows(batch.column("mean_0")), list_rows(batch.column("mean_1"))]
-            for key, start, data, i in chunks_in(batch):
-                values = decode(words_of(data, pixels), start, masks_of, masks)
+            for key, start, words, i in chunks_in(batch, pixels):
+                values = decode(words, start, masks_of, masks)
                 paired = max(0, totals[i] // 2 * 2 - start)
                 halves = by_parity(start, len(values))
                 for parity, rows in halves:
@@ -268,8 +270,9 @@ def correct_frames(pixels, calibration, masks, rule, packed):
 def write_runs(root, byte_order, max_frames):
     """Writes runs of consecutive frames as headerless float32 files and reports each file.
 
-    Input is sorted by acquisition and frame. A file is written under a temporary name and then moved,
-    so a repeated task leaves the same files.
+    A run ends where the next frame does not follow, so frames should come in order at least within
+    their chunk. A file is written under a temporary name and then moved, so a repeated task leaves the
+    same files.
     """
 
     def run(batches):
@@ -327,12 +330,9 @@ def unpack_parts(pixels, byte_order):
     def run(batches):
         for batch in batches:
             out = FrameBatches(CHUNK_KEYS, {"frame_no": pa.int64(), "parity": pa.int32()}, pa.float32())
-            for key, start, data, _ in chunks_in(batch):
-                if len(data) % (4 * pixels):
-                    raise ValueError(f"part of {len(data)} bytes is not a whole number of frames")
-                values = np.frombuffer(data, byte_order + "f4").reshape(-1, pixels).astype("f4")
+            for key, start, values, _ in chunks_in(batch, pixels, byte_order + "f4"):
                 numbers = start + np.arange(len(values), dtype="i8")
-                yield from out.add(key, [numbers, (numbers % 2).astype("i4")], values)
+                yield from out.add(key, [numbers, (numbers % 2).astype("i4")], values.astype("f4"))
             if out.held:
                 yield out.flush()
 

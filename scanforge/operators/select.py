@@ -20,6 +20,12 @@ def with_experiment(df: DataFrame, experiment: str) -> DataFrame:
     return df.withColumn("experiment", F.lit(experiment))
 
 
+def register_packets(packets: DataFrame, view: str = "packets") -> DataFrame:
+    """Make packets available to ``spark.sql`` under a name."""
+    packets.createOrReplaceTempView(view)
+    return packets
+
+
 def is_raw_scan(raw_name: str = RAW_SCAN_NAME) -> Column:
     return F.col("filename") == raw_name
 

@@ -12,19 +12,27 @@ FRAMES_PER_FILE = 4096
 
 
 def export_raw(
-    frames: DataFrame, root: str, byte_order: str = "<", frames_per_file: int = FRAMES_PER_FILE
+    frames: DataFrame,
+    root: str,
+    byte_order: str = "<",
+    frames_per_file: int = FRAMES_PER_FILE,
+    merge_runs: bool = False,
 ) -> DataFrame:
     """Write ``{root}/{experiment}/out_{subdir_str}.raw/part-{first frame}`` and return the list of files.
 
-    The parts of a folder, joined in name order, are the frames of that acquisition in order. Rows are
-    range-partitioned, so one long acquisition is written by several tasks. ``root`` is a folder that
-    all executors can write to and must not exist yet.
+    The parts of a folder, joined in name order, are the frames of that acquisition in order. Each task
+    writes the runs of frames it holds, at least a chunk each, without a shuffle. ``merge_runs`` first
+    range-partitions the frames, for frames in arbitrary order or for fewer and longer files; a long
+    acquisition is still written by several tasks. ``root`` is a folder that all executors can write to
+    and must not exist yet.
     """
     spark = frames.sparkSession
     if exists(spark, root):
         raise ValueError(f"{root} exists; export into a new folder")
     ordered = ["experiment", "subdir_str", "frame_no"]
-    runs = frames.select(*ordered, "pixels").repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    runs = frames.select(*ordered, "pixels")
+    if merge_runs:
+        runs = runs.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
     uri = root if "://" in root or root.startswith("/") else root.replace("file:", "file://", 1)
     report = runs.mapInArrow(
         kernels.write_runs(uri, byte_order, frames_per_file),

@@ -103,8 +103,13 @@ def test_join_with_operation_files(spark):
         golden.packet("c", 1, 1, b"4", 1, filename="x"),
         golden.packet(raw_named, 1, 1, b"5", 1),
     ]
-    joined = select.raw_operation_join(spark.createDataFrame(rows, PACKET_SCHEMA)).collect()
+    packets = select.register_packets(spark.createDataFrame(rows, PACKET_SCHEMA), "incoming")
+    joined = select.raw_operation_join(packets).collect()
     assert sorted((r["raw_subdir_str"], r["opr_filename"]) for r in joined) == [("a", "a.xml"), ("c", "c.txt")]
+    statement = f"""select distinct raw.subdir_str, opr.filename from incoming raw, incoming opr
+        where substr(opr.filename, 1, char_length(opr.filename) - 4) = opr.subdir_str
+          and raw.filename = '{golden.RAW}' and opr.filename <> raw.filename and opr.subdir_str = raw.subdir_str"""
+    assert sorted(map(tuple, spark.sql(statement).collect())) == [("a", "a.xml"), ("c", "c.txt")]
 
 
 def test_marks(spark):

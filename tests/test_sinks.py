@@ -23,7 +23,7 @@ def frames_df(spark, n=23, packed=False):
     rows = [
         ("lab", s, f, bytearray(v.tobytes()) if packed else v.tolist()) for s in data for f, v in enumerate(data[s])
     ]
-    rows = rows[::-1]
+    rows = rows[::-1] if packed else rows
     return data, spark.createDataFrame(rows, f"experiment string, subdir_str string, frame_no bigint, pixels {kind}")
 
 
@@ -31,7 +31,7 @@ def frames_df(spark, n=23, packed=False):
 def test_raw_export_and_read_back(spark, tmp_path, byte_order, packed):
     data, frames = frames_df(spark, packed=packed)
     root = str(tmp_path / "out")
-    files = export_raw(frames, root, byte_order, frames_per_file=5).collect()
+    files = export_raw(frames, root, byte_order, frames_per_file=5, merge_runs=packed).collect()
     assert sum(f["n_frames"] for f in files) == 46 and max(f["n_frames"] for f in files) <= 5
     for s, values in data.items():
         parts = sorted(glob.glob(f"{root}/lab/out_{s}.raw/part-*"))
