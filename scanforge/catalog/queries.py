@@ -35,7 +35,9 @@ def query(sql: str | None = None):
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c).cast("double"), digits) for c in columns})
+    """Rounds by the arithmetic that the SQL also states; the engines' own functions differ on ties."""
+    scale = float(10**digits)
+    return df.withColumns({c: F.floor(F.col(c).cast("double") * scale + 0.5) / scale for c in columns})
 
 
 # Packets from conversations
@@ -255,7 +257,7 @@ corrected as (select f.* from flattened f join whole using (experiment, subdir_s
 """
 )
 CORRECTED_PIXELS = CORRECTED + (
-    "select experiment, subdir_str, frame_no, pos, round(cast(value as double), 4) as value from corrected"
+    "select experiment, subdir_str, frame_no, pos, floor((cast(value as double)) * 1e4 + 0.5e0) / 1e4 as value from corrected"
 )
 
 
@@ -287,17 +289,17 @@ def word_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.word_fields(I.embedding_words(spark, sf_dir))
 
 
-@query(WORDS + "select experiment, subdir_str, frame_no, parity, pos, round(value, 6) as value from decoded")
+@query(WORDS + "select experiment, subdir_str, frame_no, parity, pos, floor(value * 1e6 + 0.5e0) / 1e6 as value from decoded")
 def gain_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_decoded(spark, sf_dir), "value")
 
 
-@query(WORDS + "select experiment, noise_subdir, parity, pos, round(mean, 6) as mean from means")
+@query(WORDS + "select experiment, noise_subdir, parity, pos, floor(mean * 1e6 + 0.5e0) / 1e6 as mean from means")
 def noise_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_noise_means(_decoded(spark, sf_dir), spark, sf_dir), "mean")
 
 
-@query(WORDS + "select experiment, subdir_str, frame_no, parity, pos, round(value, 6) as value from subtracted")
+@query(WORDS + "select experiment, subdir_str, frame_no, parity, pos, floor(value * 1e6 + 0.5e0) / 1e6 as value from subtracted")
 def background_subtract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_subtracted(spark, sf_dir), "value")
 
@@ -305,7 +307,7 @@ def background_subtract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     WORDS
     + """select experiment, subdir_str, frame_no, parity, pos,
-  round(cast(cast(value * case when frame_no < 2 * (n_frames // 2) then flat else 1 end as float) as double), 4) as value
+  floor((cast(cast(value * case when frame_no < 2 * (n_frames // 2) then flat else 1 end as float) as double)) * 1e4 + 0.5e0) / 1e4 as value
 from decoded join scans using (experiment, subdir_str)"""
 )
 def flat_field(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +361,7 @@ def histogram_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     CORRECTED
     + """select experiment, subdir_str, frame_no, any_value(hist_max) as hist_max, any_value(hist_arg) as hist_arg,
-  round(any_value("offset"), 6) as "offset" from corrected group by experiment, subdir_str, frame_no"""
+  floor((any_value("offset")) * 1e6 + 0.5e0) / 1e6 as "offset" from corrected group by experiment, subdir_str, frame_no"""
 )
 def frame_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(correction.frame_stats(_corrected(spark, sf_dir)), "offset")
@@ -387,7 +389,7 @@ def stream_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     WORDS
-    + """select m.experiment, m.noise_subdir, m.parity, m.pos, round(m.mean, 6) as mean,
+    + """select m.experiment, m.noise_subdir, m.parity, m.pos, floor(m.mean * 1e6 + 0.5e0) / 1e6 as mean,
   cast(substr(m.experiment, 5) as bigint) % 2 = 0 as reused
 from means m where m.noise_subdir in (select subdir_str from words group by subdir_str having count(distinct frame_no // 4) = 7)"""
 )
@@ -430,12 +432,12 @@ def histogram_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debounce.histogram_mode(I.event_readings(spark, sf_dir), ["frame"])
 
 
-@query(READING_OFFSETS + 'select frame, hist_max, hist_arg, round("offset", 6) as "offset" from offsets')
+@query(READING_OFFSETS + 'select frame, hist_max, hist_arg, floor("offset" * 1e6 + 0.5e0) / 1e6 as "offset" from offsets')
 def debounce_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(debounce.frame_offsets(I.event_readings(spark, sf_dir), ["frame"]), "offset")
 
 
-@query(READING_OFFSETS + 'select frame, event_id, round(value - "offset", 6) as value from readings join offsets using (frame)')
+@query(READING_OFFSETS + 'select frame, event_id, floor((value - "offset") * 1e6 + 0.5e0) / 1e6 as value from readings join offsets using (frame)')
 def debounce_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = I.event_readings(spark, sf_dir)
     offsets = debounce.frame_offsets(readings, ["frame"])
@@ -447,10 +449,10 @@ def debounce_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """with e as (select vec_id, embedding as a, list_reverse(embedding) as b, unnest(range(64)) as pos from embeddings)
-select vec_id, cast(pos as int) as pos, round(a[pos + 1]::double * b[pos + 1]::double, 6) as product,
-  round(a[pos + 1]::double - b[pos + 1]::double, 6) as difference,
-  round((a[pos + 1]::double + b[pos + 1]::double)::float::double, 6) as narrow_sum,
-  round(a[(pos % 8) * 8 + pos // 8 + 1]::double, 6) as transposed, round(a[pos + 1]::double, 6) as flat,
+select vec_id, cast(pos as int) as pos, floor((a[pos + 1]::double * b[pos + 1]::double) * 1e6 + 0.5e0) / 1e6 as product,
+  floor((a[pos + 1]::double - b[pos + 1]::double) * 1e6 + 0.5e0) / 1e6 as difference,
+  floor(((a[pos + 1]::double + b[pos + 1]::double)::float::double) * 1e6 + 0.5e0) / 1e6 as narrow_sum,
+  floor((a[(pos % 8) * 8 + pos // 8 + 1]::double) * 1e6 + 0.5e0) / 1e6 as transposed, floor((a[pos + 1]::double) * 1e6 + 0.5e0) / 1e6 as flat,
   cast(list_position(a, list_max(a)) - 1 as int) as largest from e"""
 )
 def matrix_algebra(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ from scanforge.config import RAW_SCAN_NAME, Geometry, OffsetRule
 from scanforge.operators.decode import unpack_pixels
 from scanforge.plans.correction import Ready, compute_means, correct_signals, find_ready
 from scanforge.plans.joins import rows_within
-from scanforge.plans.tables import load_or_empty
-from scanforge.schema import NOISE_MEANS_SCHEMA, STORED_SCHEMA
+from scanforge.plans.tables import load_or_empty, remove
+from scanforge.schema import NOISE_MEANS_SCHEMA, PROCESSED_SCHEMA, STORED_SCHEMA
 from scanforge.sinks.tables import store_corrected, store_noise_means
 
 # Waves are filled by a hash, so they are planned a little below the bound they must keep.
@@ -29,31 +29,40 @@ def store_corrections(
     ready: Ready,
     calibration: dict,
     geometry: Geometry,
-    means_path: str,
-    corrected_path: str,
+    root: str,
+    batch_id: int,
+    partition_by: list[str] | None = None,
     rule: OffsetRule = OffsetRule(),
     raw_name: str = RAW_SCAN_NAME,
 ) -> None:
-    """Store the missing noise means, then correct and store the ready signals.
+    """Store the missing noise means, correct and store the ready signals, then list them as processed.
 
     Signals are taken in waves by their noise, so that the means of a wave can be broadcast and the
     payload is never shuffled. A wave reads only its own acquisitions where the packets table is
-    partitioned by them, and replaces its acquisitions' folders, so a run can be repeated.
+    partitioned by them. Everything is written below the batch's own id; a batch that is run again
+    replaces what it wrote before.
     """
     spark = packets.sparkSession
+    means_path, corrected_path = f"{root}/noise_means", f"{root}/corrected/batch_id={batch_id}"
     if not ready.noises.isEmpty():
-        store_noise_means(compute_means(packets, ready, calibration, geometry, raw_name), means_path)
-    used = ready.signals.select("experiment", "noise_subdir").distinct()
-    n_noises = used.count()
-    if not n_noises:
-        return
-    means = load_or_empty(spark, means_path, NOISE_MEANS_SCHEMA)
-    waves = wave_count(n_noises, geometry)
-    wave = F.pmod(F.xxhash64("experiment", "noise_subdir"), F.lit(waves))
-    for w in range(waves):
-        signals = ready.signals.filter(wave == w) if waves > 1 else ready.signals
-        corrected = correct_signals(packets, signals, means, calibration, geometry, rule, raw_name, packed=True)
-        store_corrected(corrected, corrected_path)
+        means = compute_means(packets, ready, calibration, geometry, raw_name)
+        store_noise_means(means, means_path, batch_id)
+    n_noises = ready.signals.select("experiment", "noise_subdir").distinct().count()
+    remove(spark, corrected_path)
+    if n_noises:
+        means = load_or_empty(spark, means_path, NOISE_MEANS_SCHEMA)
+        waves = wave_count(n_noises, geometry)
+        wave = F.pmod(F.xxhash64("experiment", "noise_subdir"), F.lit(waves))
+        for w in range(waves):
+            signals = ready.signals.filter(wave == w) if waves > 1 else ready.signals
+            corrected = correct_signals(packets, signals, means, calibration, geometry, rule, raw_name, packed=True)
+            store_corrected(corrected, f"{corrected_path}/wave={w}", partition_by)
+    done = ready.signals.select("experiment", "subdir_str", "noise_subdir")
+    done.write.mode("overwrite").parquet(f"{root}/processed/batch_id={batch_id}")
+
+
+def load_processed(spark: SparkSession, root: str) -> DataFrame:
+    return load_or_empty(spark, f"{root}/processed", PROCESSED_SCHEMA + ", batch_id bigint")
 
 
 def correct_packets(
@@ -64,23 +73,33 @@ def correct_packets(
     processed: DataFrame | None = None,
     noise_subdir: str | None = None,
     treat_extra_noise_as_signal: bool = False,
+    partition_by: list[str] | None = None,
     rule: OffsetRule = OffsetRule(),
     raw_name: str = RAW_SCAN_NAME,
 ) -> Ready:
-    """Everything a batch of landed packets allows; tables go to ``{root}/noise_means`` and ``{root}/corrected``."""
+    """Everything a table of landed packets allows and earlier runs on ``root`` have not done.
+
+    Tables go to ``{root}/noise_means``, ``{root}/corrected`` and ``{root}/processed``. ``processed``
+    names further acquisitions to leave out.
+    """
     spark = packets.sparkSession
-    means_path = f"{root}/noise_means"
+    earlier = load_processed(spark, root)
+    last = earlier.agg(F.max("batch_id")).first()[0]
+    batch_id = 0 if last is None else last + 1
+    done = earlier.select("experiment", "subdir_str")
+    if processed is not None:
+        done = done.unionByName(processed.select("experiment", "subdir_str"))
     ready = find_ready(
         packets,
         geometry,
-        f"{root}/gate",
-        stored_means=load_or_empty(spark, means_path, NOISE_MEANS_SCHEMA),
-        processed=processed,
+        f"{root}/gate/batch_id={batch_id}",
+        stored_means=load_or_empty(spark, f"{root}/noise_means", NOISE_MEANS_SCHEMA),
+        processed=done,
         noise_subdir=noise_subdir,
         treat_extra_noise_as_signal=treat_extra_noise_as_signal,
         raw_name=raw_name,
     )
-    store_corrections(packets, ready, calibration, geometry, means_path, f"{root}/corrected", rule, raw_name)
+    store_corrections(packets, ready, calibration, geometry, root, batch_id, partition_by, rule, raw_name)
     return ready
 
 

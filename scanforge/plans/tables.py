@@ -27,7 +27,7 @@ def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Dat
     """Write ``df`` once and read it back, which cuts its lineage and gives exact statistics."""
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return load(df.sparkSession, path, df.schema)
 
@@ -37,13 +37,21 @@ def load(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _on_filesystem(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _on_filesystem(spark, path)
     return fs.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _on_filesystem(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def load_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     if exists(spark, path):
         return load(spark, path, schema)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from scanforge.operators.integrity import check_integrity
-from scanforge.plans.tables import save
+from scanforge.plans.tables import load, save
+from scanforge.schema import NOISE_MEANS_SCHEMA
 
 
 def land_packets(
@@ -19,11 +20,17 @@ def land_packets(
     return save(check_integrity(packets, policy), path, partition_by)
 
 
-def store_noise_means(means: DataFrame, path: str) -> DataFrame:
-    """One folder per noise; storing a noise again replaces its mean and leaves the others."""
-    return save(means, path, ["experiment", "noise_subdir"])
+def store_noise_means(means: DataFrame, path: str, batch_id: int = 0) -> DataFrame:
+    """Store the means that one run computed and return all stored ones.
+
+    A run that is repeated replaces its own means and leaves those of other runs.
+    """
+    save(means, f"{path}/batch_id={batch_id}")
+    return load(means.sparkSession, path, NOISE_MEANS_SCHEMA)
 
 
-def store_corrected(frames: DataFrame, path: str) -> DataFrame:
-    """One folder per acquisition, replaced as a whole when the acquisition is corrected again."""
-    return save(frames, path, ["experiment", "subdir_str"])
+def store_corrected(frames: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    writer = frames.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)

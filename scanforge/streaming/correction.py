@@ -14,12 +14,11 @@ from scanforge.operators import assemble
 from scanforge.operators.integrity import check_integrity
 from scanforge.plans.correction import find_ready
 from scanforge.plans.joins import lookup_join
-from scanforge.plans.run import store_corrections
+from scanforge.plans.run import load_processed, store_corrections
 from scanforge.plans.tables import load, load_or_empty, save
 from scanforge.schema import LANDED_SCHEMA, NOISE_MEANS_SCHEMA, STORED_SCHEMA
 
 COMPLETED_SCHEMA = "experiment string, subdir_str string, n_received bigint, n_chunks bigint, n_total_chunks bigint"
-PROCESSED_SCHEMA = "experiment string, subdir_str string, noise_subdir string"
 
 
 @dataclass
@@ -42,7 +41,7 @@ class Tables:
         return load_or_empty(spark, self.path("corrected"), STORED_SCHEMA)
 
     def processed(self, spark: SparkSession) -> DataFrame:
-        return load_or_empty(spark, self.path("processed"), PROCESSED_SCHEMA + ", batch_id bigint")
+        return load_processed(spark, self.root)
 
     def completed(self, spark: SparkSession) -> DataFrame:
         return load_or_empty(spark, self.path("completed"), COMPLETED_SCHEMA + ", batch_id bigint")
@@ -101,8 +100,8 @@ def correct_completed(
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler for the whole correction.
 
-    Each output is replaced per noise, per acquisition or per batch, so running a batch twice gives
-    what running it once gives.
+    Each output is written below the id of its batch, so running a batch twice gives what running it
+    once gives.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -119,10 +118,8 @@ def correct_completed(
             treat_extra_noise_as_signal=treat_extra_noise_as_signal,
             raw_name=raw_name,
         )
-        means_path, corrected_path = tables.path("noise_means"), tables.path("corrected")
-        store_corrections(packets, ready, calibration, geometry, means_path, corrected_path, rule, raw_name)
-        ready.signals.select("experiment", "subdir_str", "noise_subdir").write.mode("overwrite").parquet(
-            f"{tables.path('processed')}/batch_id={batch_id}"
+        store_corrections(
+            packets, ready, calibration, geometry, tables.root, batch_id, tables.partition_by, rule, raw_name
         )
 
     return handle

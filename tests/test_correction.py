@@ -12,6 +12,7 @@ from scanforge.plans import correction, joins
 from scanforge.plans.run import correct_packets, read_corrected, wave_count
 from scanforge.plans.tables import load, save
 from scanforge.schema import NOISE_MEANS_SCHEMA, PACKET_SCHEMA, STORED_SCHEMA
+from scanforge.sinks.tables import store_noise_means
 
 G = Geometry(12, 12)
 CALIBRATION = golden.make_calibration(G.pixels)
@@ -32,7 +33,7 @@ def packet_rows(sizes=(4, 4, 2)):
 def run(spark, rows, root, partition_by=None, **options):
     packets = check_integrity(spark.createDataFrame(rows, PACKET_SCHEMA))
     packets = save(packets, f"{root}/packets", partition_by)
-    correct_packets(packets, CALIBRATION, G, str(root), **options)
+    correct_packets(packets, CALIBRATION, G, str(root), partition_by=partition_by, **options)
     return results(spark, root)
 
 
@@ -62,6 +63,8 @@ def test_golden_covers_both_arms():
 @pytest.mark.parametrize("layout", [None, ["experiment", "subdir_str"]])
 def test_batch_equals_golden(spark, tmp_path, layout):
     assert_golden(run(spark, packet_rows(), tmp_path, layout))
+    # A second run finds nothing left to do.
+    assert_golden(run(spark, packet_rows(), tmp_path, layout))
 
 
 def disturbed(kind):
@@ -118,8 +121,8 @@ def test_processed_acquisitions_are_skipped_and_means_reused(spark, tmp_path):
     done = spark.createDataFrame([("lab", "s1")], "experiment string, subdir_str string")
     assert_golden(run(spark, packet_rows(), tmp_path, processed=done), names=["s2"])
     means = load(spark, str(tmp_path / "noise_means"), NOISE_MEANS_SCHEMA)
-    doubled = save(means.withColumn("pixels", F.transform("pixels", lambda v: v * 2)), str(tmp_path / "other"))
-    save(doubled, str(tmp_path / "second/noise_means"), ["experiment", "noise_subdir"])
+    doubled = means.withColumn("pixels", F.transform("pixels", lambda v: v * 2))
+    store_noise_means(doubled, str(tmp_path / "second/noise_means"))
     got = run(spark, packet_rows(), tmp_path / "second")
     frames = golden.decode(SIGNALS["s1"], CALIBRATION)
     mean = golden.means(golden.decode(NOISE, CALIBRATION))
