@@ -124,7 +124,7 @@ from best where filename = 'scan_x256_y256.raw'"""
 )
 def frame_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of irregular length: one byte stands for one frame."""
-    return assemble.frame_offsets(assemble.chunk_facts(_packets(spark, sf_dir)), frame_bytes=1)
+    return assemble.frame_offsets(assemble.chunk_facts(_packets(spark, sf_dir)), frame_bytes=1).drop("n_copies")
 
 
 @query(

@@ -138,6 +138,7 @@ def frame_offsets(chunks: DataFrame, frame_bytes: int, block: int = 1024) -> Dat
     keyed = chunks.select(
         *ACQUISITION,
         "chunk_i",
+        "n_copies",
         F.floor(F.col("n_bytes") / frame_bytes).alias("n_frames"),
         F.floor(F.col("chunk_i") / block).alias("block"),
     )
@@ -156,5 +157,5 @@ def frame_offsets(chunks: DataFrame, frame_bytes: int, block: int = 1024) -> Dat
     return (
         keyed.withColumn("_in", F.coalesce(F.sum("n_frames").over(in_block), F.lit(0)))
         .join(blocks, [*ACQUISITION, "block"])
-        .select(*ACQUISITION, "chunk_i", "n_frames", (F.col("block_start") + F.col("_in")).alias("frame_start"))
+        .select(*ACQUISITION, "chunk_i", "n_copies", "n_frames", (F.col("block_start") + F.col("_in")).alias("frame_start"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from scanforge.operators.decode import word_masks
 from scanforge.operators.integrity import copy_rank
 from scanforge.operators.select import raw_scans
 from scanforge.plans.joins import lookup_join, rows_within
-from scanforge.plans.tables import save
+from scanforge.plans.tables import save, shared_dir
 from scanforge.schema import CORRECTED_SCHEMA, STORED_SCHEMA
 
 
@@ -61,46 +62,76 @@ def find_ready(
     return Ready(facts, roles.filter("role = 'noise'"), roles.filter("role = 'signal'"))
 
 
+def _chunk_places(
+    packets: DataFrame, acquisitions: DataFrame, n: int, frame_bytes: int, raw_name: str
+) -> DataFrame:
+    """First frame and number of copies of each chunk, from metadata; stored for its several uses."""
+    metadata = raw_scans(packets, raw_name).select(
+        *ACQUISITION, "filename", "chunk_i", "n_total_chunks", "arrival_order", "hash_ok", "n_bytes"
+    )
+    names = acquisitions.select(*ACQUISITION, F.col("body_frames").isNull().alias("irregular"))
+    salt = F.struct("chunk_i", "arrival_order")
+    kept = lookup_join(metadata, names.select(*ACQUISITION), ACQUISITION, salt, "left_semi", small_rows=n)
+    places = assemble.frame_offsets(assemble.chunk_facts(kept, raw_name), frame_bytes)
+    places = lookup_join(places, names, ACQUISITION, salt=F.col("chunk_i"), small_rows=n)
+    return save(places, f"{shared_dir(packets.sparkSession)}/chunk_places")
+
+
 def select_chunks(
     packets: DataFrame, acquisitions: DataFrame, frame_bytes: int, raw_name: str = RAW_SCAN_NAME
 ) -> DataFrame:
     """Payload of the given acquisitions, one row per chunk, with ``frame_start`` and ``n_frames``.
 
-    Acquisitions whose chunks came once and have equal lengths, the normal case, need no shuffle of the
-    payload: a chunk's first frame follows from its index. The others are reduced to one copy per chunk
-    and take their starts from a running sum.
+    Where all chunks but the last have equal lengths, the normal case, a chunk's first frame follows from
+    its index and the payload is not shuffled. Other acquisitions look the first frame up. Only chunks
+    that came more than once are shuffled, after their copies were merged map-side.
     """
     columns = [c for c in ("n_frames", "noise_subdir") if c in acquisitions.columns]
     raw = raw_scans(packets, raw_name).select(*ACQUISITION, "chunk_i", "arrival_order", "hash_ok", "data")
-    plain = F.col("clean") & F.col("body_frames").isNotNull()
+    out = [*ACQUISITION, "chunk_i", "frame_start", *columns, "data"]
+    regular, clean = F.col("body_frames").isNotNull(), F.col("clean")
     sizes = acquisitions.agg(
-        F.count_if(plain).alias("regular"), F.count_if(~plain).alias("others")
+        F.count_if(regular).alias("regular"), F.count_if(~(regular & clean)).alias("others")
     ).first()
-    regular = acquisitions.filter(plain).select(*ACQUISITION, *columns, "body_frames")
-    start = (F.col("chunk_i") - 1) * F.col("body_frames")
-    out = [*ACQUISITION, "chunk_i", "frame_start", *columns, "data"]
-    chunks = (
-        lookup_join(raw, regular, ACQUISITION, salt=F.col("chunk_i"), small_rows=sizes["regular"])
-        .withColumn("frame_start", start)
-        .select(*out)
-    )
-    if not sizes["others"]:
-        return chunks
 
-    others = acquisitions.filter(~plain).select(*ACQUISITION, *columns)
-    names = others.select(*ACQUISITION)
-    # Payload-free pass for the starts; the copies of a chunk are merged before each shuffle.
-    metadata = raw_scans(packets, raw_name).select(
-        *ACQUISITION, "filename", "chunk_i", "n_total_chunks", "arrival_order", "hash_ok", "n_bytes"
-    )
-    salt, n = F.struct("chunk_i", "arrival_order"), sizes["others"]
-    kept = lookup_join(metadata, names, ACQUISITION, salt=salt, how="left_semi", small_rows=n)
-    starts = assemble.frame_offsets(assemble.chunk_facts(kept, raw_name), frame_bytes)
-    copies = lookup_join(raw, names, ACQUISITION, salt=salt, how="left_semi", small_rows=n)
-    single = copies.groupBy(*ACQUISITION, "chunk_i").agg(F.max_by("data", copy_rank()).alias("data"))
-    placed = single.join(starts.select(*ACQUISITION, "chunk_i", "frame_start"), [*ACQUISITION, "chunk_i"])
-    placed = lookup_join(placed, others, ACQUISITION, salt=F.col("chunk_i"), small_rows=n).select(*out)
-    return chunks.unionByName(placed) if sizes["regular"] else placed
+    by_index = lookup_join(
+        raw,
+        acquisitions.filter(regular).select(*ACQUISITION, *columns, "body_frames"),
+        ACQUISITION,
+        salt=F.col("chunk_i"),
+        small_rows=sizes["regular"],
+    ).withColumn("frame_start", (F.col("chunk_i") - 1) * F.col("body_frames"))
+    if not sizes["others"]:
+        return by_index.select(*out)
+
+    others = acquisitions.filter(~(regular & clean))
+    places = _chunk_places(packets, others, sizes["others"], frame_bytes, raw_name)
+    once = F.col("irregular") & (F.col("n_copies") == 1)
+    counts = places.agg(F.count_if(once).alias("once"), F.count_if(F.col("n_copies") > 1).alias("repeated")).first()
+    key, fits = [*ACQUISITION, "chunk_i"], rows_within(128)
+    repeated = places.filter("n_copies > 1").select(*key, "frame_start")
+    branches = []
+    if sizes["regular"]:
+        if counts["repeated"]:
+            salt, n = F.col("arrival_order"), counts["repeated"]
+            by_index = lookup_join(by_index, repeated.select(*key), key, salt, "left_anti", fits, n)
+        branches.append(by_index.select(*out))
+    parts = []
+    if counts["once"]:
+        # One packet per key, so no key is hot.
+        starts = places.filter(once).select(*key, "frame_start")
+        placed = lookup_join(raw, starts, key, None, max_rows=fits, small_rows=counts["once"])
+        parts.append(placed.select(*key, "frame_start", "data"))
+    if counts["repeated"]:
+        salt, n = F.col("arrival_order"), counts["repeated"]
+        copies = lookup_join(raw, repeated, key, salt, max_rows=fits, small_rows=n)
+        best = F.max_by("data", copy_rank()).alias("data")
+        parts.append(copies.groupBy(*key, "frame_start").agg(best))
+    facts = others.select(*ACQUISITION, *columns)
+    for part in parts:
+        part = lookup_join(part, facts, ACQUISITION, salt=F.col("chunk_i"), small_rows=sizes["others"])
+        branches.append(part.select(*out))
+    return reduce(DataFrame.unionByName, branches)
 
 
 def compute_means(

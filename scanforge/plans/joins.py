@@ -14,7 +14,7 @@ def lookup_join(
     big: DataFrame,
     small: DataFrame,
     on: list[str],
-    salt: Column,
+    salt: Column | None,
     how: str = "inner",
     max_rows: int | None = None,
     small_rows: int | None = None,
@@ -23,7 +23,8 @@ def lookup_join(
 
     ``small`` is counted first, up to the bound, unless ``small_rows`` gives its count. Within the bound it is broadcast and ``big`` keeps its
     partitioning. Beyond it both sides are shuffled on the key plus a salt taken from ``salt``, an
-    expression over ``big`` that varies inside a key, so one hot key is spread over many tasks.
+    expression over ``big`` that varies inside a key, so one hot key is spread over many tasks; None says
+    that no key can be hot.
     ``how`` may be inner, left, left_semi or left_anti.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
@@ -31,6 +32,8 @@ def lookup_join(
         small_rows = small.limit(max_rows + 1).count()
     if small_rows <= max_rows:
         return big.join(F.broadcast(small), on, how)
+    if salt is None:
+        return big.join(small, on, how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

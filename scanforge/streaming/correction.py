@@ -63,7 +63,12 @@ def touched_packets(spark: SparkSession, tables: Tables, batch_id: int) -> DataF
     """
     packets = tables.packets(spark)
     directories = packets.filter(F.col("batch_id") == batch_id).select("subdir_str").distinct()
-    experiments = packets.join(directories, "subdir_str", "left_semi").select("experiment").distinct()
+    names = packets.select("experiment", "subdir_str", "chunk_i")
+    experiments = (
+        lookup_join(names, directories, ["subdir_str"], salt=F.col("chunk_i"), how="left_semi")
+        .select("experiment")
+        .distinct()
+    )
     experiments = save(experiments, tables.path(f"gate/batch_id={batch_id}/experiments"))
     return lookup_join(packets, experiments, ["experiment"], salt=F.col("chunk_i"), how="left_semi")
 
