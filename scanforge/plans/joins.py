@@ -21,7 +21,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``big`` with ``small`` (at most one or few rows per key).
 
-    ``small`` is counted first, up to the bound, unless ``small_rows`` gives its count. Within the bound it is broadcast and ``big`` keeps its
+    ``small`` is counted first, unless ``small_rows`` gives its count. Within the bound it is broadcast and ``big`` keeps its
     partitioning. Beyond it both sides are shuffled on the key plus a salt taken from ``salt``, an
     expression over ``big`` that varies inside a key, so one hot key is spread over many tasks; None says
     that no key can be hot.
@@ -29,7 +29,7 @@ def lookup_join(
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     if small_rows is None:
-        small_rows = small.limit(max_rows + 1).count()
+        small_rows = small.count()
     if small_rows <= max_rows:
         return big.join(F.broadcast(small), on, how)
     if salt is None:
