@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from scanforge.llm.common import Scratch, text_batches
 from scanforge.llm.components import components
@@ -94,7 +95,7 @@ def sketch_of(text: Column, width: int) -> Column:
     return sketched(text.cast("binary"))
 
 
-@F.arrow_udf("boolean")
+@F.arrow_udf(BooleanType())
 def likely_similar(a: pa.Array, b: pa.Array) -> pa.Array:
     x, y = (np.frombuffer(b"".join(s.to_pylist()), "<u4").reshape(-1, HASHES) for s in (a, b))
     return pa.array((x == y).sum(1) >= MIN_EQUAL)

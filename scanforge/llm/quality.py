@@ -36,7 +36,7 @@ FENCE = 4
 # name: (numerator, denominator, factor, least spread, is there a lower limit)
 METRICS = {
     "symbol_share": ("n_symbols", "n_words", 10_000, 300, False),
-    "dup_line_share": ("n_dup_lines", "n_lines", 10_000, 700, False),
+    "dup_line_share": ("n_dup_lines", "n_lines", 10_000, 1000, False),
     "repeat_share": ("n_repeat_words", "n_words", 10_000, 740, False),
     "stutter_share": ("n_stutters", "n_words", 10_000, 500, False),
     "word_length": ("word_chars", "n_words", 100, 60, True),
@@ -139,23 +139,21 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def limits(sketch: DataFrame) -> DataFrame:
-    """Lower and upper limit of each metric by (lang, source); a group without own limits takes wider ones."""
-    everything = sketch.withColumn("any", F.lit(1))
-    own = quartiles(everything, ["lang", "source"])
+    """Lower and upper limit of each metric by (lang, source); a group without own limits takes wider ones.
+
+    The sketch merged over everything is one row of numbers and comes to the driver.
+    """
+    own = quartiles(sketch, ["lang", "source"])
     values = [c for c in own.columns if c not in ("lang", "source")]
     named = lambda df, mark: df.select(*[F.col(c).alias(f"{mark}_{c}" if c in values else c) for c in df.columns])
-    joined = (
-        named(own, "own")
-        .join(named(quartiles(everything, ["lang"]), "lang"), "lang")
-        .withColumn("any", F.lit(1))
-        .join(named(quartiles(everything, ["any"]), "all"), "any")
-    )
+    joined = named(own, "own").join(named(quartiles(sketch, ["lang"]), "lang"), "lang")
+    whole = quartiles(sketch.withColumn("any", F.lit(1)), ["any"]).first()
 
     def pick(c: str) -> Column:
         return (
             F.when(F.col("own_rows") >= MIN_ROWS, F.col(f"own_{c}"))
             .when(F.col("lang_rows") >= MIN_ROWS, F.col(f"lang_{c}"))
-            .otherwise(F.col(f"all_{c}"))
+            .otherwise(F.lit(whole[c] if whole else 0))
         )
 
     fences = []

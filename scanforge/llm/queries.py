@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scanforge.llm import near_text, near_vectors, quality
+from scanforge.llm import languages, licences, mixing, near_text, near_vectors, pieces, private_data, quality, secrets, spans, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,16 +20,103 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private_data.find_private(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[spans.count_kind("base", k).alias(f"n_{k}") for k in private_data.KINDS],
+        F.sha2(spans.joined(spans.by_kind(F.col("base"))), 256).alias("base_sha256"),
+        spans.joined(spans.by_kind(F.col("spans"))).alias("spans"),
+    )
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *[spans.count_kind("spans", k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(spans.joined(base), 256).alias("base_sha256"),
+        spans.joined(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(base)).cast("long").alias("n_random"),
+    )
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids as a digest, and whether they decode to the text (the piece mark being a blank)."""
+    found = pieces.tokenise(table(spark, sf_dir, "documents"))
+    plain = F.translate("text", pieces.MARK, " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), (F.col("restored") == plain).alias("restored"))
+
+
+def part_of(modulus: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = languages.train(docs.where(part_of(4) != 2).select("text", "lang"))
+    return languages.predict(docs, net).select("doc_id", (part_of(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(part_of(3) != 1).select("doc_id", "toxic")
+    lexicon = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id").select("text", "toxic"))
+    scored = toxicity.score(docs, lexicon)
+    return scored.select("doc_id", (part_of(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").alias("first_word"),
+        F.array_max("places").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+# The tree of the documents table: sources fall into three domains by their number.
+DOMAIN = "concat('d', coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 0) % 3)"
+PATH = ["domain", "lang", "source"]
+WEIGHTS = [
+    "case domain when 'd0' then 5 when 'd1' then 3 else 2 end",
+    "case lang when 'en' then 6 else 2 end",
+    "case source when 'src0' then 3 else 1 end",
+]
+
+
+def tree() -> dict[str, Column]:
+    return {"domain": F.expr(DOMAIN), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", F.expr(DOMAIN).alias("domain"))
+    return mixing.mix(docs, PATH, [F.expr(w) for w in WEIGHTS], budget_percent=60, epochs=2, seed=1)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
         op2_embedding_near_dedup,
+        op3_private_data,
+        op4_secret_scan,
         op5_minhash_near_dedup,
+        op6_sentencepiece,
+        op7_language_id,
+        op8_toxicity,
+        op9_license_scan,
+        op10_mixing,
     )
 }
 ORACLE_SQL: dict[str, str] = {}
