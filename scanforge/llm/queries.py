@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanforge.llm import languages, licences, mixing, near_text, near_vectors, pieces, private_data, quality, secrets, spans, toxicity
+from scanforge.llm import languages, licences, mixing, near_text, near_vectors, pieces, private_data, quality, secrets, spans, sql, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,4 +119,10 @@ QUERIES = {
         op10_mixing,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+# The other methods (models, automata, co-occurrence) have no SQL; tests compare them with brute-force versions.
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": sql.quality_rules(),
+    "op2_embedding_near_dedup": sql.near_vectors(),
+    "op5_minhash_near_dedup": sql.near_texts(),
+    "op10_mixing": sql.mixing_sources(DOMAIN, PATH, WEIGHTS, 60, 2, 1),
+}
