@@ -4,10 +4,10 @@ Texts become sets of word shingles. Minima of many universal hash functions form
 a band are candidates; signatures prune them, and full sets confirm them. Components of the confirmed links come from
 alternating large-star and small-star.
 
-Nothing emits all pairs of a group. Texts with equal sets are one node. Within a bucket every node is first compared with
-the bucket's smallest node only; that joins large groups of copies. What is left are buckets with nodes of several components: there
-nodes are compared in blocks, where only pairs of different components whose signatures agree leave the block. Blocks of
-one bucket are bounded and spread over tasks.
+Nothing emits all pairs of a group. Texts with equal sets are one node. Every node is first compared with the smallest node
+of all its buckets only; that joins large groups of copies. What is left are buckets with nodes of several components: there
+nodes outside of the largest component are compared with the others in blocks, and only pairs of different components
+whose signatures agree leave a block. Blocks of one bucket are bounded and spread over tasks.
 
 Chance of losing a link at exactly the threshold 0.8: below 1e-7 by banding (32 bands of 4), below 1e-6 by the
 signature test (five standard deviations). Links at a higher similarity are safer still.
@@ -151,42 +151,44 @@ def compare_block(table: pa.Table) -> pa.Table:
     """Pairs of one block pair that are in different components, have similar signatures, and meet in this bucket first."""
     node = table["node"].to_numpy()
     part = table["component"].to_numpy()
-    side = table["side"].to_numpy()
+    minor = table["minor"].to_numpy()
     band = table["band"][0].as_py()
     sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(-1, HASHES)
-    left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(node)),) * 2
+    right = np.flatnonzero(~minor)
     a, b = [], []
-    for i in left:
-        j = right[(part[right] != part[i]) & ((node[right] > node[i]) if left is right else True)]
+    for i in np.flatnonzero(minor):
+        j = right[part[right] != part[i]]
         same = sig[j] == sig[i]
-        bands = same.reshape(len(j), BANDS, ROWS).all(2)
-        ok = (same.sum(1) >= MIN_EQUAL) & (bands.argmax(1) == band) & (node[j] != node[i])
-        a += [node[i]] * int(ok.sum())
-        b += node[j[ok]].tolist()
+        j, same = j[same.sum(1) >= MIN_EQUAL], same[same.sum(1) >= MIN_EQUAL]
+        j = j[same.reshape(len(j), BANDS, ROWS).all(2).argmax(1) == band]
+        a += [node[i]] * len(j)
+        b += node[j].tolist()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def bucket_rest(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     """Likely pairs (a, b) within buckets that hold nodes of several components.
 
-    A bucket of m nodes is cut into m / BLOCK blocks by hash; each pair of blocks is a group of its own.
+    Nodes outside of a bucket's largest component meet all nodes of the bucket; either side is cut into blocks of about
+    BLOCK nodes by hash, and each pair of blocks is a group of its own.
     """
     marked = members.join(labels, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = (
-        marked.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("m"))
-        .where("low < high")
-        .select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    parts = marked.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
+    mixed = parts.agg(F.count("*").alias("parts"), F.sum("n").alias("m"), F.max(F.struct("n", "component")).alias("largest")).where("parts > 1")
+    mixed = mixed.select(
+        "key",
+        F.col("largest.component").alias("major"),
+        F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("m") - F.col("largest.n")) / BLOCK).cast("int").alias("minor_blocks"),
     )
     rows = marked.join(mixed, "key").join(nodes.select("node", "sig"), "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "key", "band", "node", "component", "sig",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-    )
-    return rows.groupBy("key", "i", "j").applyInArrow(compare_block, "a bigint, b bigint").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    block = lambda n: F.pmod(F.xxhash64("node", F.lit(5)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["key", "band", "node", "component", "sig"]
+    everyone = rows.select(*columns, block("blocks").alias("i"), every("minor_blocks").alias("j"), F.lit(False).alias("minor"))
+    minors = rows.where("component != major").select(*columns, every("blocks").alias("i"), block("minor_blocks").alias("j"), F.lit(True).alias("minor"))
+    found = everyone.union(minors).groupBy("key", "i", "j").applyInArrow(compare_block, "a bigint, b bigint")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERCENT, scratch: Scratch | None = None) -> DataFrame:
@@ -204,7 +206,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERC
     buckets = rows.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last").select("key", "center")
     members = scratch.save(rows.join(scratch.save(buckets, "buckets"), "key"), "members")
 
-    stars = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    # A node meets the smallest center of all its buckets, so this is one pair for each node however large the buckets are.
+    stars = members.groupBy("node").agg(F.min("center").alias("a")).where("a < node").select("a", F.col("node").alias("b"))
     star_links = confirm(docs, with_signatures(stars, nodes), width, min_percent, scratch, "stars")
     labels = scratch.save(components(star_links, scratch, "star_components"), "star_labels")
     rest = bucket_rest(members, labels, nodes).distinct()
