@@ -34,7 +34,8 @@ from scanforge.plans.joins import lookup_join
 
 # Rows that fit the codebooks and the stop: those of least hash. The index itself holds every row.
 SAMPLE = 20_000
-CELL_ROWS = 12
+# Code words for each half: this times the fourth root of the number of vectors, since finer grids have more cells within the stop.
+WORDS = 2.4
 MAX_WORDS = 1024
 BLOCK = 1024
 RECALL = 0.999
@@ -223,7 +224,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, recall: float = RE
     sample = nodes.orderBy(F.xxhash64("node"), "node").select("data").limit(SAMPLE).collect()
     if sample:
         sample = scaled(np.stack([np.frombuffer(r["data"], "<f8") for r in sample]))
-        words = min(MAX_WORDS, max(1, round((nodes.count() / CELL_ROWS) ** 0.5)))
+        words = min(MAX_WORDS, max(1, round(WORDS * nodes.count() ** 0.25)))
         grid, stop = fit_grid(sample, words, threshold, recall)
         coded = nodes.select("node", "n", "data").mapInArrow(coder(grid, stop), "node bigint, n bigint, data binary, cell bigint, visits array<bigint>")
         coded = scratch.save(coded, "coded")
