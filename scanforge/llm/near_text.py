@@ -6,8 +6,9 @@ alternating large-star and small-star.
 
 Nothing emits all pairs of a group. Texts with equal sets are one node. Every node is first compared with the smallest node
 of all its buckets only; that joins large groups of copies. What is left are buckets with nodes of several components: there
-nodes outside of the largest component are compared with the others in blocks, and only pairs of different components
-whose signatures agree leave a block. Blocks of one bucket are bounded and spread over tasks.
+nodes outside of the largest component are compared with the others in blocks by signature, and for each other component only the
+likeliest partner leaves a block. It is confirmed on the full sets; where it fails and more were likely, the node is
+compared with the whole component on the full sets, in blocks again. Blocks are bounded and spread over tasks.
 
 Chance of losing a link at exactly the threshold 0.8: below 1e-7 by banding (32 bands of 4), below 1e-6 by the
 signature test (five standard deviations). Links at a higher similarity are safer still.
@@ -25,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BinaryType, BooleanType
 
 from scanforge.llm.common import Scratch, text_batches
 from scanforge.llm.components import components
@@ -148,26 +149,40 @@ def with_signatures(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def compare_block(table: pa.Table) -> pa.Table:
-    """Pairs of one block pair that are in different components, have similar signatures, and meet in this bucket first."""
-    node = table["node"].to_numpy()
-    part = table["component"].to_numpy()
+    """For each minor node and other component of a block pair: the likeliest partner and the number of likely ones.
+
+    Pairs count in the first bucket where they meet.
+    """
+    node, part = table["node"].to_numpy(), table["component"].to_numpy()
     minor = table["minor"].to_numpy()
     band = table["band"][0].as_py()
     sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(-1, HASHES)
     right = np.flatnonzero(~minor)
-    a, b = [], []
+    rows = []
     for i in np.flatnonzero(minor):
         j = right[part[right] != part[i]]
         same = sig[j] == sig[i]
-        j, same = j[same.sum(1) >= MIN_EQUAL], same[same.sum(1) >= MIN_EQUAL]
-        j = j[same.reshape(len(j), BANDS, ROWS).all(2).argmax(1) == band]
-        a += [node[i]] * len(j)
-        b += node[j].tolist()
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        equal = same.sum(1)
+        likely = (equal >= MIN_EQUAL) & (same.reshape(len(j), BANDS, ROWS).all(2).argmax(1) == band)
+        j, equal = j[likely], equal[likely]
+        for c in np.unique(part[j]):
+            mine = part[j] == c
+            best = j[mine][equal[mine].argmax()]
+            rows.append((int(node[i]), int(c), int(node[best]), int(equal[mine].max()), int(mine.sum())))
+    columns = list(zip(*rows)) or [[]] * 5
+    return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("a", "c", "b", "equal", "n"), columns)})
+
+
+def block(n: str) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(5)), F.col(n)).cast("int")
+
+
+def every_block(n: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
 
 def bucket_rest(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) within buckets that hold nodes of several components.
+    """(a, c, b, n): node, another component with likely partners in a common bucket, the likeliest one, and their number.
 
     Nodes outside of a bucket's largest component meet all nodes of the bucket; either side is cut into blocks of about
     BLOCK nodes by hash, and each pair of blocks is a group of its own.
@@ -182,13 +197,63 @@ def bucket_rest(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> Data
         F.ceil((F.col("m") - F.col("largest.n")) / BLOCK).cast("int").alias("minor_blocks"),
     )
     rows = marked.join(mixed, "key").join(nodes.select("node", "sig"), "node")
-    block = lambda n: F.pmod(F.xxhash64("node", F.lit(5)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     columns = ["key", "band", "node", "component", "sig"]
-    everyone = rows.select(*columns, block("blocks").alias("i"), every("minor_blocks").alias("j"), F.lit(False).alias("minor"))
-    minors = rows.where("component != major").select(*columns, every("blocks").alias("i"), block("minor_blocks").alias("j"), F.lit(True).alias("minor"))
-    found = everyone.union(minors).groupBy("key", "i", "j").applyInArrow(compare_block, "a bigint, b bigint")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    everyone = rows.select(*columns, block("blocks").alias("i"), every_block("minor_blocks").alias("j"), F.lit(False).alias("minor"))
+    minors = rows.where("component != major").select(*columns, every_block("blocks").alias("i"), block("minor_blocks").alias("j"), F.lit(True).alias("minor"))
+    found = everyone.union(minors).groupBy("key", "i", "j").applyInArrow(compare_block, "a bigint, c bigint, b bigint, equal bigint, n bigint")
+    best = found.groupBy("a", "c").agg(F.max(F.struct("equal", "b")).alias("best"), F.sum("n").alias("n"))
+    return best.select("a", "c", "best.b", "n")
+
+
+def join_block(min_percent: int):
+    """A link from each single node of a block pair to the component's members, if one is similar on the full sets."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, single = table["node"].to_numpy(), table["single"].to_numpy()
+        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u4").reshape(-1, HASHES)
+        sets = [np.frombuffer(x, "<u8") for x in table["shingles"].to_pylist()]
+        members, a, b = np.flatnonzero(~single), [], []
+        for i in np.flatnonzero(single):
+            for j in members[(sig[members] == sig[i]).sum(1) >= MIN_EQUAL]:
+                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * common >= min_percent * (len(sets[i]) + len(sets[j]) - common):
+                    a.append(int(node[i]))
+                    b.append(int(node[j]))
+                    break
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
+def shingles_of(text: Column, width: int) -> Column:
+    @F.arrow_udf(BinaryType())
+    def hashed(texts: pa.Array) -> pa.Array:
+        return pa.array([x.astype("<u8").tobytes() for x in word_sets(texts.to_pylist(), width)], pa.binary())
+
+    return hashed(text.cast("binary"))
+
+
+def join_components(docs: DataFrame, wanted: DataFrame, labels: DataFrame, nodes: DataFrame, width: int, min_percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between nodes and components, at most one for each pair (a, c) of ``wanted`` and block.
+
+    A component is linked in itself, so one link joins a node to all of it. Nodes and members are cut into blocks.
+    """
+    members = labels.join(wanted.select(F.col("c").alias("component")).distinct(), "component").select(F.col("component").alias("c"), "node")
+    singles = wanted.select("c", F.col("a").alias("node"))
+    sizes = members.groupBy("c").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).join(
+        singles.groupBy("c").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("single_blocks")), "c"
+    )
+    sizes = scratch.save(sizes, "join_sizes")
+    ids = scratch.save(members.select("node").union(singles.select("node")).distinct(), "join_nodes")
+    texts = lookup_join(docs.select(F.col("doc_id").alias("node"), "text").where(F.col("text").isNotNull()), ids, ["node"], None, "left_semi")
+    sets = scratch.save(texts.select("node", shingles_of(F.col("text"), width).alias("shingles")), "join_sets")
+    sets = sets.join(nodes.select("node", "sig"), "node")
+    one = members.join(sizes, "c").select("c", "node", block("blocks").alias("i"), every_block("single_blocks").alias("j"), F.lit(False).alias("single"))
+    two = singles.join(sizes, "c").select("c", "node", every_block("blocks").alias("i"), block("single_blocks").alias("j"), F.lit(True).alias("single"))
+    rows = one.union(two).join(sets, "node")
+    found = scratch.save(rows.groupBy("c", "i", "j").applyInArrow(join_block(min_percent), "a bigint, b bigint"), "join_links")
+    scratch.drop("join_sizes", "join_nodes", "join_sets")
+    return found
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERCENT, scratch: Scratch | None = None) -> DataFrame:
@@ -210,9 +275,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERC
     stars = members.groupBy("node").agg(F.min("center").alias("a")).where("a < node").select("a", F.col("node").alias("b"))
     star_links = confirm(docs, with_signatures(stars, nodes), width, min_percent, scratch, "stars")
     labels = scratch.save(components(star_links, scratch, "star_components"), "star_labels")
-    rest = bucket_rest(members, labels, nodes).distinct()
-    rest_links = confirm(docs, rest.join(scratch_pairs(scratch), ["a", "b"], "left_anti"), width, min_percent, scratch, "rest")
-    labels = components(star_links.union(rest_links), scratch, "all_components")
+    rest = scratch.save(bucket_rest(members, labels, nodes), "rest")
+    likeliest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest_links = confirm(docs, likeliest, width, min_percent, scratch, "rest")
+    links = star_links.union(rest_links)
+    # Where the likeliest partner wasn't similar and there are more, the whole component is compared.
+    joined = scratch.save(components(links, scratch, "rest_components"), "rest_labels")
+    label = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_now"))
+    unsure = rest.where("n > 1").select("a", "c").join(label("a"), "a", "left").join(label("c"), "c", "left")
+    unsure = scratch.save(unsure.where(F.coalesce("a_now", "a") != F.coalesce("c_now", "c")).select("a", "c"), "unsure")
+    links = links.union(join_components(docs, unsure, labels, nodes, width, min_percent, scratch))
+    labels = components(links, scratch, "all_components")
 
     classes = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     classes = scratch.save(classes, "classes")
@@ -220,15 +293,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERC
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     result = result.select("doc_id", "n_shingles", component.alias("component_id"))
     result = scratch.save(result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "result")
-    scratch.drop("sketches", "nodes", "buckets", "members", "stars_pairs", "stars_links", "star_labels", "rest_pairs", "rest_links", "classes")
+    scratch.drop("sketches", "nodes", "buckets", "members", "stars_pairs", "stars_links", "star_labels", "rest")
+    scratch.drop("rest_pairs", "rest_links", "rest_labels", "unsure", "join_links", "classes")
     return result
 
 
-def scratch_pairs(scratch: Scratch) -> DataFrame:
-    """Pairs that were compared around the buckets' smallest nodes."""
-    return scratch.spark.read.parquet(f"{scratch.root}/stars_pairs")
-
-
 def keep_one(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERCENT, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates."""
     scratch = scratch or Scratch(docs.sparkSession)
