@@ -97,21 +97,28 @@ def entity_pairs(base: DataFrame) -> DataFrame:
     return split.select("key", "context", "terms", F.explode("entities").alias("entity")).select("key", "context", "entity", F.explode("terms").alias("term"))
 
 
+def disclosure(n_term: Column, n_contexts: int) -> Column:
+    """PMI by information of the entity, from n_entity and n_both; it falls as the term gets more frequent."""
+    information = F.log(F.lit(float(n_contexts)) / F.col("n_entity"))
+    lost = F.log(F.greatest(n_term, F.col("n_both")) / F.col("n_both"))
+    return F.when(information > 0, 1 - lost / information).otherwise(0.0)
+
+
 def disclosures(docs: DataFrame, pairs: DataFrame, n_contexts: int, scratch: Scratch) -> DataFrame:
     """entity, term, disclosure of the pairs with enough support."""
     together = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term")
     together = together.agg(F.sum("n").alias("n_both"), F.count("*").alias("support")).where(F.col("support") >= SUPPORT)
-    together = scratch.save(together, "together")
     entities = pairs.select("entity", "key", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # A term stands at least as often as it does near entities; where that is too often already, no count is needed.
+    near = pairs.select("term", "key", "context").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    together = together.join(entities, "entity").join(near, "term").where(disclosure(F.col("n_near"), n_contexts) >= GENERALISE)
+    together = scratch.save(together, "together")
     terms = scratch.save(together.select("term").distinct(), "terms")
     tokens = docs.select(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)).alias("tokens"))
     contexts = in_contexts(tokens, [])
     seen = contexts.select(F.explode(F.array_distinct("context")).alias("term"))
     seen = lookup_join(seen, terms, ["term"], F.rand(1), "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    scored = together.join(entities, "entity").join(seen, "term")
-    information = F.log(F.lit(float(n_contexts)) / F.col("n_entity"))
-    lost = F.log(F.greatest(F.col("n_term"), F.col("n_both")) / F.col("n_both"))
-    return scored.where(information > 0).select("entity", "term", (1 - lost / information).alias("disclosure"))
+    return together.join(seen, "term").select("entity", "term", disclosure(F.col("n_term"), n_contexts).alias("disclosure"))
 
 
 def term_spans(base: DataFrame, flagged: DataFrame) -> DataFrame:
