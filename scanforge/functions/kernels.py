@@ -271,13 +271,17 @@ def write_runs(root, byte_order, max_frames):
     """Writes runs of consecutive frames as headerless float32 files and reports each file.
 
     A run ends where the next frame does not follow, so frames should come in order at least within
-    their chunk. A file is written under a temporary name and then moved, so a repeated task leaves the
-    same files.
+    their chunk. Every attempt of a task writes files of its own name; the report names those of the attempt that counts,
+    and readers go by the report.
     """
 
     def run(batches):
+        import uuid
+
         from pyarrow import fs
 
+        attempt = uuid.uuid4().hex[:12]
+
         filesystem, base = fs.FileSystem.from_uri(root)
         stream = None
         report = []
@@ -286,7 +290,6 @@ def write_runs(root, byte_order, max_frames):
             nonlocal stream
             if stream is not None:
                 stream["out"].close()
-                filesystem.move(stream["path"] + ".tmp", stream["path"])
                 report.append((*stream["key"], stream["path"], stream["first"], stream["frames"]))
                 stream = None
 
@@ -309,8 +312,8 @@ def write_runs(root, byte_order, max_frames):
                     close()
                     folder = f"{base}/{experiment}/out_{subdir}.raw"
                     filesystem.create_dir(folder)
-                    path = f"{folder}/part-{number:012d}"
-                    out = filesystem.open_output_stream(path + ".tmp")
+                    path = f"{folder}/part-{number:012d}-{attempt}"
+                    out = filesystem.open_output_stream(path)
                     stream = {"key": key, "path": path, "out": out, "first": number, "frames": 0}
                 stream["out"].write(frame(i).astype(byte_order + "f4").tobytes())
                 stream["frames"] += 1

@@ -14,16 +14,17 @@ from scanforge.operators.select import kind, operation_files, raw_scans
 
 
 def chunk_facts(packets: DataFrame, raw_name: str = RAW_SCAN_NAME) -> DataFrame:
-    """One row per raw chunk, with its number of copies and the length of the copy that counts."""
+    """One row per raw chunk, with its number of copies, and rank and length of the copy that counts."""
     return (
         raw_scans(packets, raw_name)
         .groupBy(*ACQUISITION, "chunk_i")
         .agg(
             F.count("*").alias("n_copies"),
             F.max("n_total_chunks").alias("n_total_chunks"),
-            F.max_by("n_bytes", copy_rank()).alias("n_bytes"),
+            F.max(copy_rank()).alias("best"),
             F.min("arrival_order").alias("first_arrival"),
         )
+        .withColumn("n_bytes", F.when(F.col("best.n_bytes") >= 0, F.col("best.n_bytes")))
     )
 
 
@@ -32,7 +33,8 @@ def acquisition_facts(chunks: DataFrame, frame_bytes: int) -> DataFrame:
 
     ``body_frames`` is the frame count that all chunks before the last share, or null where they
     differ; with it a chunk's first frame follows from its index alone. ``clean`` says that no chunk
-    came more than once.
+    came more than once. A chunk that isn't a whole number of frames counts in ``n_broken``, and its acquisition is
+    not complete.
     """
     body = F.when(F.col("chunk_i") < F.col("n_total_chunks"), F.col("n_bytes"))
     facts = chunks.groupBy(*ACQUISITION).agg(
@@ -45,6 +47,7 @@ def acquisition_facts(chunks: DataFrame, frame_bytes: int) -> DataFrame:
         F.max("chunk_i").alias("_last"),
         F.min(body).alias("_short"),
         F.max(body).alias("_long"),
+        F.count_if(F.coalesce("n_bytes", F.lit(-1)) % frame_bytes != 0).alias("n_broken"),
     )
     regular = (
         (F.col("_first") == 1)
@@ -59,7 +62,8 @@ def acquisition_facts(chunks: DataFrame, frame_bytes: int) -> DataFrame:
         "n_received",
         "n_chunks",
         "n_total_chunks",
-        (F.col("n_chunks") == F.col("n_total_chunks")).alias("complete"),
+        ((F.col("n_chunks") == F.col("n_total_chunks")) & (F.col("n_broken") == 0)).alias("complete"),
+        "n_broken",
         F.floor(F.col("n_bytes") / frame_bytes).alias("n_frames"),
         F.when(regular, F.floor(body_frames)).alias("body_frames"),
         (F.col("n_received") == F.col("n_chunks")).alias("clean"),
@@ -67,6 +71,11 @@ def acquisition_facts(chunks: DataFrame, frame_bytes: int) -> DataFrame:
     )
 
 
+def malformed(facts: DataFrame) -> DataFrame:
+    """Acquisitions with chunks of broken length; they are left out of the correction until good copies arrive."""
+    return facts.filter("n_broken > 0").select(*ACQUISITION, "n_broken", "n_chunks", "n_total_chunks")
+
+
 def with_operation_file(facts: DataFrame, packets: DataFrame, raw_name: str = RAW_SCAN_NAME) -> DataFrame:
     """Only acquisitions whose directory holds an operation file."""
     directories = operation_files(packets, raw_name).select("subdir_str").distinct()
@@ -126,7 +135,7 @@ def ready_signals(
     else:
         wanted = wanted & (F.col("kind") == "signal")
     usable = noise.filter("usable").select("experiment", "noise_subdir")
-    return unprocessed(facts.join(usable, "experiment").filter(wanted), processed)
+    return unprocessed(facts.filter("complete"), processed).join(usable, "experiment").filter(wanted)
 
 
 def frame_offsets(chunks: DataFrame, frame_bytes: int, block: int = 1024) -> DataFrame:
@@ -139,6 +148,7 @@ def frame_offsets(chunks: DataFrame, frame_bytes: int, block: int = 1024) -> Dat
         *ACQUISITION,
         "chunk_i",
         "n_copies",
+        "best",
         F.floor(F.col("n_bytes") / frame_bytes).alias("n_frames"),
         F.floor(F.col("chunk_i") / block).alias("block"),
     )
@@ -157,5 +167,5 @@ def frame_offsets(chunks: DataFrame, frame_bytes: int, block: int = 1024) -> Dat
     return (
         keyed.withColumn("_in", F.coalesce(F.sum("n_frames").over(in_block), F.lit(0)))
         .join(blocks, [*ACQUISITION, "block"])
-        .select(*ACQUISITION, "chunk_i", "n_copies", "n_frames", (F.col("block_start") + F.col("_in")).alias("frame_start"))
+        .select(*ACQUISITION, "chunk_i", "n_copies", "best", "n_frames", (F.col("block_start") + F.col("_in")).alias("frame_start"))
     )

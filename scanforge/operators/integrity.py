@@ -13,25 +13,37 @@ def hash_matches(bits: int = 512) -> Column:
 
 
 def check_integrity(packets: DataFrame, policy: str = "keep") -> DataFrame:
-    """Add ``hash_ok`` and ``n_bytes``; keep all rows, only matching rows, or only the others."""
+    """Add ``hash_ok``, ``n_bytes`` and ``data_hash``; keep all rows, only matching rows, or only the others."""
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
-    checked = packets.withColumn("hash_ok", F.coalesce(hash_matches(), F.lit(False))).withColumn(
-        "n_bytes", F.octet_length("data").cast("bigint")
+    checked = packets.withColumns(
+        {
+            "hash_ok": F.coalesce(hash_matches(), F.lit(False)),
+            "n_bytes": F.octet_length("data").cast("bigint"),
+            "data_hash": F.xxhash64("data"),
+        }
     )
+    if "arrival_order" in packets.columns:
+        checked = checked.withColumn("arrival_order", F.col("arrival_order").cast("decimal(38,0)"))
     if policy == "keep":
         return checked
     return checked.filter(F.col("hash_ok") if policy == "drop" else ~F.col("hash_ok"))
 
 
+RANK_FIELDS = ("hash_ok", "arrival_order", "n_bytes", "data_hash")
+
+
 def copy_rank() -> Column:
-    """Order of the copies of one chunk: a matching hash first, then the latest arrival.
+    """Order of the copies of one chunk: a matching hash first, then the latest arrival, then length and content.
 
-    One BIGINT rather than a struct, so ``max_by`` runs in a hash aggregate. Arrival orders lie in
-    [0, 2**62); copies that tie are taken to be the same packet.
+    Columns that ``check_integrity`` adds, so the order is total up to equal payloads and needs no payload.
     """
-    penalty = F.when(F.col("hash_ok"), F.lit(0)).otherwise(F.lit(2**62))
-    return F.coalesce(F.col("arrival_order"), F.lit(0)) - penalty
+    return F.struct(
+        F.coalesce("hash_ok", F.lit(False)).alias("hash_ok"),
+        F.coalesce(F.col("arrival_order").cast("decimal(38,0)"), F.lit(-1).cast("decimal(38,0)")).alias("arrival_order"),
+        F.coalesce("n_bytes", F.lit(-1).cast("bigint")).alias("n_bytes"),
+        "data_hash",
+    )
 
 
 def latest_chunks(packets: DataFrame, columns: list[str] | None = None) -> DataFrame:

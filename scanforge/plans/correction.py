@@ -13,7 +13,7 @@ from scanforge.functions import kernels
 from scanforge.operators import assemble
 from scanforge.operators.background import means_by_noise, noise_means
 from scanforge.operators.decode import word_masks
-from scanforge.operators.integrity import copy_rank
+from scanforge.operators.integrity import RANK_FIELDS, copy_rank
 from scanforge.operators.select import raw_scans
 from scanforge.plans.joins import lookup_join, rows_within
 from scanforge.plans.tables import save, shared_dir
@@ -59,22 +59,27 @@ def find_ready(
         noises.withColumn("noise_subdir", F.col("subdir_str")).withColumn("role", F.lit("noise"))
     )
     roles = save(roles, f"{folder}/ready")
+    save(assemble.malformed(facts), f"{folder}/malformed")
     return Ready(facts, roles.filter("role = 'noise'"), roles.filter("role = 'signal'"))
 
 
 def _chunk_places(
     packets: DataFrame, acquisitions: DataFrame, n: int, frame_bytes: int, raw_name: str
 ) -> DataFrame:
-    """First frame and number of copies of each chunk, from metadata; stored for its several uses."""
+    """First frame, number of copies and the copy that counts of each chunk, from metadata; stored for its several uses."""
     metadata = raw_scans(packets, raw_name).select(
-        *ACQUISITION, "filename", "chunk_i", "n_total_chunks", "arrival_order", "hash_ok", "n_bytes"
+        *ACQUISITION, "filename", "chunk_i", "n_total_chunks", *RANK_FIELDS
     )
     names = acquisitions.select(*ACQUISITION, F.col("body_frames").isNull().alias("irregular"))
     salt = F.struct("chunk_i", "arrival_order")
     kept = lookup_join(metadata, names.select(*ACQUISITION), ACQUISITION, salt, "left_semi", small_rows=n)
     places = assemble.frame_offsets(assemble.chunk_facts(kept, raw_name), frame_bytes)
     places = lookup_join(places, names, ACQUISITION, salt=F.col("chunk_i"), small_rows=n)
-    return save(places, f"{shared_dir(packets.sparkSession)}/chunk_places")
+    # Copies that are equal in every field of the rank have equal payloads; how many there are decides if any must be dropped.
+    key = [*ACQUISITION, "chunk_i"]
+    ranked = kept.select(*key, copy_rank().alias("rank")).join(places.where("n_copies > 1").select(*key, "best"), key)
+    equal = ranked.where("rank = best").groupBy(*key).agg(F.count("*").alias("n_best"))
+    return save(places.join(equal, key, "left"), f"{shared_dir(packets.sparkSession)}/chunk_places")
 
 
 def select_chunks(
@@ -83,11 +88,12 @@ def select_chunks(
     """Payload of the given acquisitions, one row per chunk, with ``frame_start`` and ``n_frames``.
 
     Where all chunks but the last have equal lengths, the normal case, a chunk's first frame follows from
-    its index and the payload is not shuffled. Other acquisitions look the first frame up. Only chunks
-    that came more than once are shuffled, after their copies were merged map-side.
+    its index and the payload is not shuffled. Other acquisitions look the first frame up. Of chunks that came more than once
+    the copy is chosen by metadata, and the payload only filtered; where several copies are equal in every field, they
+    are merged map-side.
     """
     columns = [c for c in ("n_frames", "noise_subdir") if c in acquisitions.columns]
-    raw = raw_scans(packets, raw_name).select(*ACQUISITION, "chunk_i", "arrival_order", "hash_ok", "data")
+    raw = raw_scans(packets, raw_name).select(*ACQUISITION, "chunk_i", *RANK_FIELDS, "data")
     out = [*ACQUISITION, "chunk_i", "frame_start", *columns, "data"]
     regular, clean = F.col("body_frames").isNotNull(), F.col("clean")
     sizes = acquisitions.agg(
@@ -107,9 +113,11 @@ def select_chunks(
     others = acquisitions.filter(~(regular & clean))
     places = _chunk_places(packets, others, sizes["others"], frame_bytes, raw_name)
     once = F.col("irregular") & (F.col("n_copies") == 1)
-    counts = places.agg(F.count_if(once).alias("once"), F.count_if(F.col("n_copies") > 1).alias("repeated")).first()
+    counts = places.agg(
+        F.count_if(once).alias("once"), F.count_if(F.col("n_copies") > 1).alias("repeated"), F.count_if(F.col("n_best") > 1).alias("equal")
+    ).first()
     key, fits = [*ACQUISITION, "chunk_i"], rows_within(128)
-    repeated = places.filter("n_copies > 1").select(*key, "frame_start")
+    repeated = places.filter("n_copies > 1").select(*key, "frame_start", "best", "n_best")
     branches = []
     if sizes["regular"]:
         if counts["repeated"]:
@@ -124,9 +132,10 @@ def select_chunks(
         parts.append(placed.select(*key, "frame_start", "data"))
     if counts["repeated"]:
         salt, n = F.col("arrival_order"), counts["repeated"]
-        copies = lookup_join(raw, repeated, key, salt, max_rows=fits, small_rows=n)
-        best = F.max_by("data", copy_rank()).alias("data")
-        parts.append(copies.groupBy(*key, "frame_start").agg(best))
+        copies = lookup_join(raw, repeated, key, salt, max_rows=fits, small_rows=n).filter(copy_rank() == F.col("best"))
+        parts.append(copies.filter("n_best = 1").select(*key, "frame_start", "data"))
+        if counts["equal"]:
+            parts.append(copies.filter("n_best > 1").groupBy(*key, "frame_start").agg(F.first("data").alias("data")))
     facts = others.select(*ACQUISITION, *columns)
     for part in parts:
         part = lookup_join(part, facts, ACQUISITION, salt=F.col("chunk_i"), small_rows=sizes["others"])

@@ -5,8 +5,8 @@ PACKET_SCHEMA = (
     "chunk_i bigint, n_total_chunks bigint, chunk_hash binary, data binary, arrival_order bigint"
 )
 
-# Columns that landing adds so that later steps need not read the payload.
-LANDED_SCHEMA = PACKET_SCHEMA + ", n_bytes bigint, hash_ok boolean"
+# Landing widens the arrival order, which a topic gives as 122 bits, and adds columns so that later steps need not read the payload.
+LANDED_SCHEMA = PACKET_SCHEMA.replace("arrival_order bigint", "arrival_order decimal(38,0)") + ", n_bytes bigint, hash_ok boolean, data_hash bigint"
 
 CALIBRATION_SCHEMA = (
     "parity int, g1 array<float>, g2 array<float>, off array<float>, flat array<float>"

@@ -16,7 +16,7 @@ def log_lines(stats: DataFrame) -> DataFrame:
 
 
 def write_log(stats: DataFrame, path: str) -> None:
-    """A folder per log. Its files, read in name order, hold the lines in frame order.
+    """A folder per log. Its files, read in name order, hold the lines in frame order. Logs of other signals stay.
 
     Rows are range-partitioned on acquisition and frame, so a long acquisition is written by several tasks.
     """
@@ -25,4 +25,4 @@ def write_log(stats: DataFrame, path: str) -> None:
     ordered = [*folders, "frame_no"]
     lines = log_lines(stats).withColumns(folders).repartitionByRange(*ordered).sortWithinPartitions(*ordered)
     lines = lines.select(*folders, F.col("line").alias("value"))
-    lines.write.mode("overwrite").partitionBy(*folders).text(path)
+    lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).text(path)

@@ -18,9 +18,10 @@ def export_raw(
     frames_per_file: int = FRAMES_PER_FILE,
     merge_runs: bool = False,
 ) -> DataFrame:
-    """Write ``{root}/{experiment}/out_{subdir_str}.raw/part-{first frame}`` and return the list of files.
+    """Write ``{root}/{experiment}/out_{subdir_str}.raw/part-{first frame}-{attempt}`` and return the list of files.
 
-    The parts of a folder, joined in name order, are the frames of that acquisition in order. Each task
+    The list, kept in ``{root}.files``, says which files count; a failed or speculative attempt may leave others. The listed parts of a
+    folder, joined in name order, are the frames of that acquisition in order. Each task
     writes the runs of frames it holds, at least a chunk each, without a shuffle. ``merge_runs`` first
     range-partitions the frames, for frames in arbitrary order or for fewer and longer files; a long
     acquisition is still written by several tasks. ``root`` is a folder that all executors can write to

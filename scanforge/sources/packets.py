@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,13 +43,14 @@ def read_topic(
 
 
 def message_order():
-    """Arrival order of a message: its time in milliseconds, then partition and offset as tie-breakers.
+    """Arrival order of a message: its time in milliseconds, then partition, then offset, exactly.
 
-    Milliseconds take the upper 42 bits below 2**62, the hash of (partition, offset) the lower 20.
+    One number of 122 bits: 42 for the time, 20 for the partition, 60 for the offset. Values beyond that fail the job.
     """
-    millis = F.unix_millis("timestamp")
-    tie = F.pmod(F.xxhash64("partition", "offset"), F.lit(1 << 20))
-    return F.shiftleft(millis, 20) + tie
+    fits = F.col("partition").between(0, (1 << 20) - 1) & F.col("offset").between(0, (1 << 60) - 1)
+    wide = lambda c, bits: c.cast("decimal(13,0)") * F.lit(Decimal(1 << bits))
+    order = wide(F.unix_millis("timestamp"), 80) + wide(F.col("partition"), 60) + F.col("offset")
+    return F.when(fits, order.cast("decimal(38,0)")).otherwise(F.raise_error(F.lit("partition or offset out of range")).cast("decimal(38,0)"))
 
 
 def read_packet_files(spark: SparkSession, path: str, schema: str = PACKET_SCHEMA) -> DataFrame:

@@ -9,6 +9,7 @@ from scanforge.config import Geometry
 from scanforge.functions import kernels
 from scanforge.operators.decode import FRAME_COLUMNS
 from scanforge.operators.select import kind
+from scanforge.plans.joins import lookup_join
 
 
 def chunk_bytes(size: Column, n_chunks: int) -> Column:
@@ -17,12 +18,15 @@ def chunk_bytes(size: Column, n_chunks: int) -> Column:
 
 
 def cut_into_chunks(files: DataFrame, n_chunks: int = 1024, content: str = "content") -> DataFrame:
-    """Rows with a BINARY ``content`` to one row per chunk, numbered from 1, the last one possibly short."""
+    """Rows with a BINARY ``content`` to one row per chunk, numbered from 1, the last one possibly short.
+
+    Empty content is one empty chunk, so that no file vanishes.
+    """
     rest = [c for c in files.columns if c != content]
     size = F.octet_length(content).cast("bigint")
     sized = files.withColumn("_size", size).withColumn("_step", chunk_bytes(F.col("_size"), n_chunks))
-    total = F.ceil(F.col("_size") / F.col("_step")).cast("bigint")
-    numbered = sized.withColumn("n_total_chunks", total).filter("n_total_chunks > 0")
+    total = F.greatest(F.ceil(F.col("_size") / F.col("_step")), F.lit(1)).cast("bigint")
+    numbered = sized.withColumn("n_total_chunks", total).filter("_size is not null")
     numbered = numbered.withColumn("chunk_i", F.explode(F.sequence(F.lit(1).cast("bigint"), "n_total_chunks")))
     start = ((F.col("chunk_i") - 1) * F.col("_step") + 1).cast("int")
     return numbered.select(
@@ -83,13 +87,17 @@ def read_float_parts(parts: DataFrame, geometry: Geometry, byte_order: str = "<"
 
 
 def read_exported(spark: SparkSession, root: str, geometry: Geometry, byte_order: str = "<") -> DataFrame:
-    """Frames of an export written by ``sinks.raw.export_raw``."""
+    """Frames of an export written by ``sinks.raw.export_raw``: of the files that its list names, and no others."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     parts = F.split("path", "/")
-    first = F.regexp_extract("path", r"part-(\d+)$", 1).cast("bigint")
+    name = lambda: F.element_at(F.split("path", "/"), -1)
+    listed = spark.read.parquet(f"{root}.files").select("experiment", "subdir_str", name().alias("name"))
+    files = lookup_join(files.withColumn("name", name()).withColumn("experiment", F.element_at(parts, -3)).withColumn(
+        "subdir_str", F.regexp_extract(F.element_at(parts, -2), r"^out_(.*)\.raw$", 1)), listed, ["experiment", "subdir_str", "name"], None, "left_semi")
+    first = F.regexp_extract("path", r"part-(\d+)-\w+$", 1).cast("bigint")
     named = files.select(
-        F.element_at(parts, -3).alias("experiment"),
-        F.regexp_extract(F.element_at(parts, -2), r"^out_(.*)\.raw$", 1).alias("subdir_str"),
+        "experiment",
+        "subdir_str",
         F.lit(None).cast("bigint").alias("chunk_i"),
         first.alias("frame_start"),
         F.col("content").alias("data"),

@@ -13,14 +13,14 @@ def raw_operation_stream_join(
     packets: DataFrame,
     raw_name: str = RAW_SCAN_NAME,
     time_column: str | None = None,
-    delay: str = "1 hour",
-    max_gap: str = "1 day",
+    delay: str | None = None,
+    max_gap: str | None = None,
 ) -> DataFrame:
     """Inner stream-stream join on the directory.
 
-    Without ``time_column`` both sides stay in state for ever, as an unbounded join must. With it, a
-    watermark of ``delay`` and a largest distance ``max_gap`` between the two packets bound the state;
-    copies of an operation file are then dropped within the watermark.
+    Without ``time_column`` both sides stay in state for ever, as an unbounded join must. With it, ``delay`` and ``max_gap`` must be
+    given: rows later than ``delay`` are dropped, and packets further apart than ``max_gap`` don't meet. Copies of an
+    operation file are remembered for the sum of both, so a late copy can't match a raw packet again.
     """
     raw = packets.filter(is_raw_scan(raw_name))
     operations = packets.filter(is_operation_file(raw_name)).select(
@@ -29,10 +29,13 @@ def raw_operation_stream_join(
     if time_column is None:
         operations = operations.dropDuplicates(["subdir_str", "opr_filename"])
         return raw.join(operations, "subdir_str").select(*_joined_columns(raw))
+    if not (delay and max_gap):
+        raise ValueError("with a time column, delay and max_gap must be given: they decide which pairs are lost")
     raw = raw.withWatermark(time_column, delay)
     operations = (
         operations.withColumnRenamed(time_column, "opr_time")
-        .withWatermark("opr_time", delay)
+        # A copy matters while raw packets within max_gap on either side of it may still come.
+        .withWatermark("opr_time", f"{delay} {max_gap} {max_gap}")
         .dropDuplicatesWithinWatermark(["subdir_str", "opr_filename"])
         .withColumnRenamed("subdir_str", "opr_subdir")
     )

@@ -217,3 +217,28 @@ def test_means_of_noise_without_partner_frames(spark, tmp_path):
     np.testing.assert_allclose(means[1], expected[1], rtol=1e-12)
     wide = background.means_by_noise(correction.compute_means(packets, ready, CALIBRATION, G)).first()
     np.testing.assert_allclose(wide["mean_1"], expected[1], rtol=1e-12)
+
+
+def test_malformed_acquisition_is_set_aside(spark, tmp_path):
+    """A chunk that isn't a whole number of frames holds back its acquisition only; a good copy later frees it."""
+    rows = packet_rows()
+    broken = golden.packet("s2", 2, 3, b"12345", 5000)
+    others = [r for r in rows if not (r[1] == "s2" and r[2] == golden.RAW and r[4] == 2)]
+    got = run(spark, [*others, broken], tmp_path / "a")
+    assert_golden(got, ("s1",))
+    listed = spark.read.parquet(str(tmp_path / "a/gate/batch_id=0/malformed")).collect()
+    assert [(r["subdir_str"], r["n_broken"]) for r in listed] == [("s2", 1)]
+
+
+def test_tied_copies_give_one_result_in_any_order(spark, tmp_path):
+    """Copies with equal arrival and hashes of their own, of different lengths: one is chosen, whatever the order of rows."""
+    rows = packet_rows()
+    first = next(r for r in rows if r[1] == "s1" and r[2] == golden.RAW and r[4] == 2)
+    shorter = golden.packet("s1", 2, 3, SIGNALS["s1"][4:6].tobytes(), 0)
+    tied = [(*r[:-1], first[-1]) for r in (first, shorter)]
+    others = [r for r in rows if r != first]
+    seen = []
+    for i, pair in enumerate((tied, tied[::-1], [*tied, tied[0], tied[1]])):
+        got = run(spark, [*others, *pair], tmp_path / str(i))
+        seen.append([(r["frame_no"], tuple(r["pixels"])) for r in got["s1"]])
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == len(SIGNALS["s1"])

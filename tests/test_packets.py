@@ -64,7 +64,16 @@ def test_message_order_follows_time(spark):
     df = spark.createDataFrame(rows, "t string, partition int, offset bigint")
     df = df.withColumn("timestamp", F.col("t").cast("timestamp"))
     orders = [r["o"] for r in df.select("t", sources.message_order().alias("o")).orderBy("t").collect()]
-    assert orders == sorted(orders) and 0 < orders[-1] < 2**62
+    assert orders == sorted(orders) and 0 < orders[-1] < 2**122
+
+
+def test_message_order_is_exact_within_a_millisecond(spark):
+    rows = [(p, o) for p in (0, 1, 7) for o in range(1000)]
+    df = spark.createDataFrame(rows, "partition int, offset bigint").withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    ordered = df.orderBy(sources.message_order()).select("partition", "offset").collect()
+    assert [tuple(r) for r in ordered] == rows and df.select(sources.message_order()).distinct().count() == len(rows)
+    with pytest.raises(Exception, match="out of range"):
+        df.withColumn("partition", F.lit(1 << 20)).select(sources.message_order()).collect()
 
 
 def test_integrity_policies(spark):
@@ -119,3 +128,23 @@ def test_marks(spark):
     assert [r["k"] for r in out] == ["noise", "signal", "noise", "signal"]
     assert [r["p"] for r in out] == ["scan_1", "scan_1", "bkg_first", "s"]
     assert [r["filename"] for r in select.exclude_ancillary(df).collect()] == ["ok.raw"]
+
+
+def test_odd_envelopes_are_flagged(spark):
+    def text(b):
+        return bytes([0xDB]) + len(b).to_bytes(4, "big") + b
+
+    def blob(b):
+        return bytes([0xC6]) + len(b).to_bytes(4, "big") + b
+
+    def envelope(skipped=b"\xc0", chunk=b"\x01", data=None):
+        return b"\x99" + text(b"f") + skipped + blob(b"h") + b"\x93\x01\x02\x81\xa1a\x05" + chunk + text(b"12") + text(b"dir") + text(b"") + (data or blob(b"d"))
+
+    good = [envelope(), envelope(b"\x92\x01\x81\xa1k\xc4\x01z"), envelope(b"\xc7\x03\x01abc"), envelope(chunk=text(b"7"))]
+    bad = [envelope(chunk=text(b"x")), envelope(chunk=b"\xcb" + b"\x00" * 8), envelope(data=b"\x05"), b"", None, b"\x91\xa1a", b"\xff"]
+    messages = spark.createDataFrame([(None if m is None else bytearray(m), i) for i, m in enumerate(good + bad)], "value binary, arrival_order bigint")
+    rows = sources.decode_packets(messages, "lab", on_error="flag").orderBy("arrival_order").collect()
+    assert [r["decode_error"] is None for r in rows] == [True] * len(good) + [False] * len(bad)
+    assert [r["chunk_i"] for r in rows[: len(good)]] == [1, 1, 1, 7] and {r["n_total_chunks"] for r in rows[: len(good)]} == {12}
+    with pytest.raises(Exception, match="empty"):
+        sources.decode_packets(messages.filter("arrival_order = 7"), "lab").collect()

@@ -111,3 +111,27 @@ def test_calibration_from_named_matrices(spark):
         cal.as_arrays(table, Geometry(5, 5))
     with pytest.raises(ValueError, match="exactly one row"):
         cal.as_arrays(table.filter("parity = 0"), G)
+
+
+def test_log_keeps_other_signals(spark, tmp_path):
+    schema = "experiment string, subdir_str string, frame_no bigint, hist_max bigint, hist_arg int"
+    for s, peak in (("s1", 5), ("s2", 6), ("s1", 7)):
+        write_log(spark.createDataFrame([("lab", s, 0, peak, 1)], schema), str(tmp_path / "hist"))
+    lines = {s: "".join(open(p).read() for p in glob.glob(f"{tmp_path}/hist/experiment=lab/log_name=hist_{s}.txt/part-*")) for s in ("s1", "s2")}
+    assert lines == {"s1": "7 : 1\n", "s2": "6 : 1\n"}
+
+
+def test_leftover_parts_are_not_read(spark, tmp_path):
+    data, frames = frames_df(spark)
+    root = f"file:{tmp_path}/out"
+    export_raw(frames, root)
+    part = glob.glob(f"{tmp_path}/out/lab/out_s1.raw/part-*")[0]
+    open(part.rpartition("-")[0] + "-leftover", "wb").write(open(part, "rb").read())
+    open(part + ".tmp", "wb").write(b"abc")
+    assert raw_files.read_exported(spark, root, G).count() == len(data["s1"]) + len(data["s2"])
+
+
+def test_empty_file_is_one_empty_chunk(spark):
+    files = spark.createDataFrame([("a", bytearray()), ("b", bytearray(b"xyz")), ("c", None)], "name string, content binary")
+    rows = raw_files.cut_into_chunks(files, 2).orderBy("name", "chunk_i").collect()
+    assert [(r["name"], r["chunk_i"], r["n_total_chunks"], bytes(r["data"])) for r in rows] == [("a", 1, 1, b""), ("b", 1, 3, b"x"), ("b", 2, 3, b"y"), ("b", 3, 3, b"z")]

@@ -44,7 +44,8 @@ def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
     landed = tables.packets(spark)
     last = landed.agg(F.max("batch_id")).first()[0]
     columns = [c.split()[0] for c in PACKET_SCHEMA.split(", ")]
-    again = spark.createDataFrame(landed.filter(F.col("batch_id") == last).select(*columns).collect(), PACKET_SCHEMA)
+    repeated = landed.filter(F.col("batch_id") == last).withColumn("arrival_order", F.col("arrival_order").cast("bigint"))
+    again = spark.createDataFrame(repeated.select(*columns).collect(), PACKET_SCHEMA)
     before = landed.count()
     handler(tables)(again, last)
     assert tables.packets(spark).count() == before
@@ -70,7 +71,8 @@ def test_stream_join_equals_batch_join(spark, tmp_path, bounded):
     packets = stream_packet_files(spark, str(tmp_path / "in"), files_per_trigger=1)
     if bounded:
         packets = packets.withColumn("seen", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("arrival_order")))
-    joined = raw_operation_stream_join(packets, time_column="seen" if bounded else None)
+    bounds = {"time_column": "seen", "delay": "1 hour", "max_gap": "1 day"} if bounded else {}
+    joined = raw_operation_stream_join(packets, **bounds)
     query = (
         joined.writeStream.format("parquet")
         .option("checkpointLocation", str(tmp_path / "check"))
