@@ -30,7 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def conversation_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One acquisition per conversation, one raw chunk per turn, ten conversations per experiment.
 
-    Some chunks come twice, one copy possibly damaged; some last chunks and operation files are missing.
+    Some chunks come twice, one copy possibly damaged, some of these at the same time; some acquisitions declare a chunk more
+    than they have; some operation files are missing.
     """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     counts = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
@@ -43,16 +44,15 @@ def conversation_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = F.expr("(conv_id + turn) % 10 = 0 and copy = 0 or (conv_id + turn) % 15 = 0 and copy = 1")
     raw = (
         lookup_join(turns, counts, ["conv_id"], salt=F.col("turn"))
-        .filter("not (conv_id % 7 = 3 and turn = n - 1)")
         .select("*", copies)
         .select(
             *[c.alias(n) for n, c in names.items()],
             F.lit(RAW_SCAN_NAME).alias("filename"),
             (F.col("turn") + 1).alias("chunk_i"),
-            F.col("n").alias("n_total_chunks"),
+            F.expr("n + if(conv_id % 7 = 3, 1, 0)").alias("n_total_chunks"),
             F.unhex(F.sha2("text", 512)).alias("chunk_hash"),
             F.concat("text", F.when(damaged, "!").otherwise("")).cast("binary").alias("data"),
-            F.expr(f"(turn * 7919 + conv_id * 104729) % 1000003 + copy * {COPY_DELAY}").alias("arrival_order"),
+            F.expr(f"(turn * 7919 + conv_id * 104729) % 1000003 + copy * if(conv_id % 4 = 1, 0, {COPY_DELAY})").alias("arrival_order"),
         )
     )
     files = F.explode(
@@ -84,10 +84,11 @@ conv as (select conv_id, turn, coalesce(text, '') as text, n,
     concat('scan_', conv_id, case when conv_id % 10 = 0 then '_bkg' else '' end) as subdir_str
   from conversations join (select conv_id, count(*) as n from conversations group by conv_id) using (conv_id)),
 raw as (select *, unnest(case when (conv_id + turn) % 5 = 0 then [0, 1] else [0] end) as copy
-  from conv where not (conv_id % 7 = 3 and turn = n - 1)),
+  from conv),
 packets as (
-  select experiment, subdir_str, '{RAW_SCAN_NAME}' as filename, turn + 1 as chunk_i, n as n_total_chunks,
-    (turn * 7919 + conv_id * 104729) % 1000003 + copy * {COPY_DELAY} as arrival_order,
+  select experiment, subdir_str, '{RAW_SCAN_NAME}' as filename, turn + 1 as chunk_i,
+    n + case when conv_id % 7 = 3 then 1 else 0 end as n_total_chunks,
+    (turn * 7919 + conv_id * 104729) % 1000003 + copy * case when conv_id % 4 = 1 then 0 else {COPY_DELAY} end as arrival_order,
     not ((conv_id + turn) % 10 = 0 and copy = 0 or (conv_id + turn) % 15 = 0 and copy = 1) as hash_ok,
     case when hash_ok then text else concat(text, '!') end as data
   from raw
@@ -101,8 +102,8 @@ packets as (
 operations as (select distinct subdir_str, filename as opr_filename from packets
   where substr(filename, 1, length(filename) - 4) = subdir_str and filename <> '{RAW_SCAN_NAME}'),
 best as (select experiment, subdir_str, filename, chunk_i, max(n_total_chunks) as n_total_chunks, count(*) as n_copies,
-    min(arrival_order) as first_arrival, arg_max(data, arrival_order + case when hash_ok then 0 else -(2::bigint ** 62)::bigint end) as data,
-    max(arrival_order + case when hash_ok then 0 else -(2::bigint ** 62)::bigint end) >= 0 as hash_ok
+    min(arrival_order) as first_arrival,
+    arg_max(data, {{'ok': hash_ok, 'at': arrival_order, 'size': octet_length(encode(data)), 'text': data}}) as data, arg_max(hash_ok, {{'ok': hash_ok, 'at': arrival_order, 'size': octet_length(encode(data)), 'text': data}}) as hash_ok
   from packets group by all),
 facts as (select experiment, subdir_str, case when contains(subdir_str, 'bkg') then 'noise' else 'signal' end as kind,
     cast(sum(n_copies) as bigint) as n_received, count(*) as n_chunks, max(n_total_chunks) as n_total_chunks,

@@ -10,13 +10,14 @@ from scanforge.operators import assemble, background, debounce, decode, flatfiel
 from scanforge.plans import correction
 from scanforge.plans.tables import save, shared_dir
 from scanforge.schema import NOISE_MEANS_SCHEMA
-from scanforge.sinks.histogram_log import log_lines
+from scanforge.sinks.histogram_log import log_lines, write_log
 from scanforge.sinks.raw import export_raw
 from scanforge.sinks.tables import store_noise_means
 from scanforge.sources import calibration as cal
 from scanforge.sources import packets as sources
 from scanforge.sources.raw_files import cut_into_chunks, read_exported
 from scanforge.streaming import correction as streaming
+from scanforge.streaming.join import raw_operation_stream_join
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -124,7 +125,7 @@ from best where filename = 'scan_x256_y256.raw'"""
 )
 def frame_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of irregular length: one byte stands for one frame."""
-    return assemble.frame_offsets(assemble.chunk_facts(_packets(spark, sf_dir)), frame_bytes=1).drop("n_copies")
+    return assemble.frame_offsets(assemble.chunk_facts(_packets(spark, sf_dir)), frame_bytes=1).drop("n_copies", "best")
 
 
 @query(
@@ -139,7 +140,7 @@ def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         "subdir_str",
         "filename",
         "chunk_i",
-        "arrival_order",
+        F.col("arrival_order").cast("bigint").alias("arrival_order"),
         "hash_ok",
         "n_bytes",
         F.sha2("data", 256).alias("digest"),
@@ -154,7 +155,7 @@ from packets where not hash_ok"""
 )
 def integrity_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = integrity.check_integrity(I.conversation_packets(spark, sf_dir), policy="quarantine")
-    return refused.select("experiment", "subdir_str", "filename", "chunk_i", "arrival_order", "n_bytes")
+    return refused.select("experiment", "subdir_str", "filename", "chunk_i", F.col("arrival_order").cast("bigint").alias("arrival_order"), "n_bytes")
 
 
 @query(PACKETS + "select experiment, subdir_str, filename, chunk_i, hash_ok, data from best")
@@ -195,7 +196,7 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         "filename",
         "chunk_i",
         "n_total_chunks",
-        "arrival_order",
+        F.col("arrival_order").cast("bigint").alias("arrival_order"),
         "hash_ok",
         F.col("data").cast("string").alias("data"),
     )
@@ -203,8 +204,8 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """with f as (select doc_id, hex(encode(text)) as h, octet_length(encode(text)) as size,
-  greatest(octet_length(encode(text)) // 16, 1) as step from documents where octet_length(encode(text)) > 0),
-c as (select *, cast(ceil(size / step) as bigint) as n_total_chunks, unnest(range(cast(ceil(size / step) as bigint))) + 1 as chunk_i from f)
+  greatest(octet_length(encode(text)) // 16, 1) as step from documents where text is not null),
+c as (select *, greatest(cast(ceil(size / step) as bigint), 1) as n_total_chunks, unnest(range(greatest(cast(ceil(size / step) as bigint), 1))) + 1 as chunk_i from f)
 select doc_id, chunk_i, n_total_chunks, cast(least(step, size - (chunk_i - 1) * step) as bigint) as n_bytes,
   md5(substr(h, (chunk_i - 1) * step * 2 + 1, step * 2)) as digest from c"""
 )
@@ -239,6 +240,70 @@ def stream_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.completed(spark).select("experiment", "subdir_str", "n_chunks", "n_total_chunks")
 
 
+@query(
+    PACKETS
+    + """select distinct experiment, subdir_str from packets where filename = 'scan_x256_y256.raw'
+  and experiment in (select experiment from packets where contains(subdir_str, 'bkg'))"""
+)
+def noise_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw scans of experiments that have a noise: projection, filter and a semi-join on names."""
+    packets = I.conversation_packets(spark, sf_dir)
+    noisy = packets.filter(select.kind() == "noise").select("experiment").distinct()
+    return select.raw_scans(packets).join(noisy, "experiment", "left_semi").select("experiment", "subdir_str").distinct()
+
+
+@query(PACKETS + "select experiment, subdir_str, filename, chunk_i, cast(octet_length(encode(data)) as bigint) as n_bytes from packets where hash_ok")
+def integrity_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = integrity.check_integrity(I.conversation_packets(spark, sf_dir), policy="drop")
+    return kept.select("experiment", "subdir_str", "filename", "chunk_i", "n_bytes")
+
+
+@query(
+    PACKETS
+    + """select experiment, subdir_str, cast(count(*) filter (octet_length(encode(data)) % 7 <> 0) as bigint) as n_broken, count(*) as n_chunks,
+  max(n_total_chunks) as n_total_chunks from best where filename = 'scan_x256_y256.raw' group by all having n_broken > 0"""
+)
+def malformed_acquisitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acquisitions with chunks that aren't whole frames, a frame being seven bytes."""
+    facts = assemble.acquisition_facts(assemble.chunk_facts(_packets(spark, sf_dir)), frame_bytes=7)
+    return assemble.malformed(facts)
+
+
+@query(
+    PACKETS
+    + """select experiment, arg_min(subdir_str, first_arrival) as noise_subdir, false as stored, bool_or(complete) as usable
+from facts where kind = 'noise' and subdir_str = 'scan_0_bkg' group by experiment"""
+)
+def explicit_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assemble.active_noise(_facts(spark, sf_dir), noise_subdir="scan_0_bkg")
+
+
+@query(
+    PACKETS
+    + """select experiment, subdir_str, noise_subdir from facts join active using (experiment)
+where usable and complete and subdir_str <> noise_subdir"""
+)
+def extra_noise_as_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facts = save(_facts(spark, sf_dir), f"{shared_dir(spark)}/facts")
+    ready = assemble.ready_signals(facts, assemble.active_noise(facts), treat_extra_noise_as_signal=True)
+    return ready.select("experiment", "subdir_str", "noise_subdir")
+
+
+@query(
+    PACKETS
+    + """select chunk_i as raw_chunk_i, p.subdir_str as raw_subdir_str, opr_filename, experiment as my_experiment
+from packets p join operations o on o.subdir_str = p.subdir_str where filename = 'scan_x256_y256.raw'"""
+)
+def raw_operation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join of raw chunks and operation files as a stream in micro-batches."""
+    folder = shared_dir(spark)
+    packets = _incoming(I.conversation_packets(spark, sf_dir), f"{folder}/incoming")
+    joined = raw_operation_stream_join(packets).select("raw_chunk_i", "raw_subdir_str", "opr_filename", "my_experiment")
+    writer = joined.writeStream.format("parquet").option("checkpointLocation", f"{folder}/check").trigger(availableNow=True)
+    writer.start(f"{folder}/out").awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{folder}/out")
+
+
 # Detector frames from embeddings
 
 WORDS = "with " + I.WORDS_SQL
@@ -358,6 +423,24 @@ def histogram_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_lines(correction.frame_stats(_corrected(spark, sf_dir)))
 
 
+@query(
+    CORRECTED
+    + """select experiment, concat('hist_', subdir_str, '.txt') as log_name, frame_no,
+  concat(any_value(hist_max), ' : ', any_value(hist_arg)) as line from corrected group by experiment, subdir_str, frame_no"""
+)
+def histogram_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs written in two calls and read back; a line's place in its files, in name order, is its frame."""
+    root = f"{shared_dir(spark)}/logs"
+    stats = save(correction.frame_stats(_corrected(spark, sf_dir)), f"{root}.stats")
+    write_log(stats.filter("crc32(subdir_str) % 2 = 0"), root)
+    write_log(stats.filter("crc32(subdir_str) % 2 = 1"), root)
+    lines = spark.read.option("wholetext", "true").text(root).select("experiment", "log_name", F.input_file_name().alias("file"), "value")
+    # A log has one line per frame; its files are few, so they meet in one row per log.
+    whole = lines.groupBy("experiment", "log_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("file", "value")))["value"], "").alias("text"))
+    split = whole.select("experiment", "log_name", F.posexplode(F.split(F.rtrim(F.col("text"), F.lit("\n")), "\n")).alias("frame_no", "line"))
+    return split.withColumn("frame_no", F.col("frame_no").cast("bigint"))
+
+
 @query(
     CORRECTED
     + """select experiment, subdir_str, frame_no, any_value(hist_max) as hist_max, any_value(hist_arg) as hist_arg,
@@ -375,6 +458,13 @@ def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _corrected_pixels(read_exported(spark, root, I.SMALL))
 
 
+@query(CORRECTED_PIXELS)
+def raw_roundtrip_big_endian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{shared_dir(spark)}/output"
+    export_raw(_corrected(spark, sf_dir, packed=True), root, byte_order=">", frames_per_file=10)
+    return _corrected_pixels(read_exported(spark, root, I.SMALL, byte_order=">"))
+
+
 @query(CORRECTED_PIXELS)
 def stream_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same packets as a stream in two micro-batches."""

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from scanforge.catalog.queries import ORACLE_SQL, QUERIES
 from tools.check_queries import normal
 
 SF = "/root/testdata/sf0.001"
@@ -20,13 +21,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = normal(entry.queries()[name](spark, SF).toPandas())
-    want = normal(duck.execute(entry.oracle_sql()[name]).df())
+    got = normal(QUERIES[name](spark, SF).toPandas())
+    want = normal(duck.execute(ORACLE_SQL[name]).df())
     assert list(got.columns) == list(want.columns) and len(got) == len(want) > 0
     for c in got.columns:
         a, b = got[c].to_numpy(), want[c].to_numpy()
