@@ -8,7 +8,7 @@ semiring (weights add along a path, the least total wins).
 In a unigram model an arc weighs the negative score. In a BPE model merging decides, not a sum, so a state also holds the last
 piece, and an arc weighs 0 where merging leaves the two pieces apart and infinity otherwise: a sequence is the model's
 encoding if and only if each pair of neighbours is, so one path of finite weight is left, and one state for each position. Pairs
-are decided by merging the two pieces, once for each pair.
+are decided by merging the two pieces, once for each pair. The arcs into a position are found by an automaton over all pieces.
 
 Words are independent where no piece has the mark behind another character; then each different word is encoded once per
 task, in a cache of bounded size.
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,6 +113,7 @@ class Transducer:
     bytes_of: dict[int, int] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     words: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    endings: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
     longest: int = 1
     unknown: int = 0
     unknown_weight: float = 0.0
@@ -126,6 +128,9 @@ class Transducer:
                 self.unknown = i
             elif kind in (NORMAL, USER):
                 self.arcs[piece] = i
+        for piece in self.arcs or [MARK]:
+            self.endings.add_word(piece, piece)
+        self.endings.make_automaton()
         self.longest = max(map(len, self.arcs), default=1)
         self.by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
         self.unknown_weight = 10 - min(m.scores, default=0.0)
@@ -155,13 +160,11 @@ class Transducer:
         return known
 
     def bpe_path(self, word: str) -> list[str]:
-        last: list[str | None] = [""] + [None] * len(word)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece, before = word[start:end], last[start]
-                if before is not None and (piece in self.arcs or end - start == 1) and self.apart(before, piece):
-                    last[end] = piece
-                    break
+        # A character of which no longer piece fits stands alone. Pieces come by their end, the longest first.
+        last, decided = ["", *word], 0
+        for at, piece in self.endings.iter(word):
+            if at >= decided and self.apart(last[at + 1 - len(piece)], piece):
+                last[at + 1], decided = piece, at + 1
         path, end = [], len(word)
         while end:
             path.append(last[end])
