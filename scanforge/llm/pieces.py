@@ -8,7 +8,7 @@ semiring (weights add along a path, the least total wins).
 In a unigram model an arc weighs the negative score. In a BPE model merging decides, not a sum, so a state also holds the last
 piece, and an arc weighs 0 where merging leaves the two pieces apart and infinity otherwise: a sequence is the model's
 encoding if and only if each pair of neighbours is, so one path of finite weight is left, and one state for each position. Pairs
-are decided by merging the two pieces, once for each pair. The arcs into a position are found by an automaton over all pieces.
+are decided by undoing the merges of the two pieces at their border, once for each pair. The arcs into a position are found by an automaton over all pieces.
 
 Words are independent where no piece has the mark behind another character; then each different word is encoded once per
 task, in a cache of bounded size.
@@ -113,6 +113,10 @@ class Transducer:
     bytes_of: dict[int, int] = field(default_factory=dict)
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
     words: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    order: dict[str, int] = field(default_factory=dict)
+    made_of: dict[str, tuple[str, str]] = field(default_factory=dict)
+    unmade: set[str] = field(default_factory=set)
+    irregular: set[str] = field(default_factory=set)
     endings: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
     longest: int = 1
     unknown: int = 0
@@ -133,12 +137,14 @@ class Transducer:
         self.endings.make_automaton()
         self.longest = max(map(len, self.arcs), default=1)
         self.by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
+        if m.kind == BPE:
+            self.learn_merges()
         self.unknown_weight = 10 - min(m.scores, default=0.0)
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces that merging leaves: of all neighbours that join to a piece, the best score first, then the leftmost."""
+    def merged(self, text: str, n: int = 1) -> list[str]:
+        """Pieces that merging leaves, or the first ``n`` or fewer: the best score first, then the leftmost."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > n:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 piece = self.arcs.get(parts[i] + parts[i + 1])
@@ -149,6 +155,41 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def learn_merges(self) -> None:
+        """How merging makes each piece: its last two parts, and its place in the order of merges."""
+        place = {score: i for i, score in enumerate(sorted({self.model.scores[i] for i in self.arcs.values()}, reverse=True))}
+        self.order = {p: place[self.model.scores[i]] for p, i in self.arcs.items()}
+        parts = {p: self.merged(p, 2) for p in self.arcs if len(p) > 1}
+        self.made_of = {p: (x[0], x[1]) for p, x in parts.items() if len(x) == 2}
+        self.unmade = parts.keys() - self.made_of.keys()
+        for piece in sorted(self.arcs, key=len):
+            made = [p for p in self.made_of.get(piece, ()) if p in self.made_of]
+            if any(p in self.irregular or self.order[p] >= self.order[piece] for p in made):
+                self.irregular.add(piece)
+
+    def left_apart(self, left: str, right: str) -> bool:
+        """Undoes the merges of both pieces, latest first: do the parts at the border never join before the next merge?
+
+        Needs parts that merge before their whole. Of equal scores the leftmost merge comes first: left, border, right.
+        """
+        if left in self.unmade or right in self.unmade:
+            return False
+        until = float("inf")
+        while left:
+            joined = self.order.get(left + right)
+            if joined is not None and 3 * joined + 1 < until:
+                return False
+            made_left = 3 * self.order[left] if left in self.made_of else -1
+            made_right = 3 * self.order[right] + 2 if right in self.made_of else -1
+            if made_left == made_right:
+                break
+            until = max(made_left, made_right)
+            if made_left > made_right:
+                left = self.made_of[left][1]
+            else:
+                right = self.made_of[right][0]
+        return True
+
     def apart(self, left: str, right: str) -> bool:
         """Does merging leave these two neighbours as they are? Characters without a piece never merge."""
         key = (left, right)
@@ -156,7 +197,11 @@ class Transducer:
         if known is None:
             if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(left + right) == ([left, right] if left else [right])
+            if left in self.irregular or right in self.irregular:
+                known = self.merged(left + right) == ([left, right] if left else [right])
+            else:
+                known = self.left_apart(left, right)
+            self.pairs[key] = known
         return known
 
     def bpe_path(self, word: str) -> list[str]:
