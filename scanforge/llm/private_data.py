@@ -116,9 +116,9 @@ def disclosures(docs: DataFrame, pairs: DataFrame, n_contexts: int, scratch: Scr
     terms = scratch.save(together.select("term").distinct(), "terms")
     tokens = docs.select(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)).alias("tokens"))
     contexts = in_contexts(tokens, [])
-    # Counted before the join: a frequent term is one row of each task by then, whatever the number of terms asked for.
+    # Counted before the join: a frequent term is one row by then. An inner join, as a semi-join would be moved below the count.
     seen = contexts.select(F.explode(F.array_distinct("context")).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    seen = lookup_join(seen, terms, ["term"], None, "left_semi")
+    seen = lookup_join(seen, terms, ["term"], None)
     return together.join(seen, "term").select("entity", "term", disclosure(F.col("n_term"), n_contexts).alias("disclosure"))
 
 
