@@ -1,9 +1,9 @@
 """Licence scans by a positional rare-token index. Built-in functions only.
 
 Templates are short public licence notices. Their words are indexed with their positions; the words' frequencies over all
-texts tell which are rare. Of each text the ``TOP`` rarest licence words are looked up; postings that agree on the template and on the
-relative position are one alignment, scored by the share of the template's rarity that it covers; an alignment counts
-once the template's key phrase stands at its place in the text.
+texts tell which are rare. An alignment counts only with the template's key phrase at its place in the text, so the rarest word of each
+key phrase is looked up in all texts, which finds every alignment; it is scored by the share of the template's rarity that stands at its
+place around the hit.
 
 Some phrases are base findings of their own, whatever the index says.
 
@@ -24,7 +24,6 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-TOP = 12
 MIN_SCORE = 0.7
 # Words in more than this share of the texts aren't rare enough to be looked up.
 COMMON = 0.2
@@ -109,41 +108,41 @@ def rarity(base: DataFrame) -> dict[str, float]:
     return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-6 for w in VOCABULARY if counts.get(w, 0) <= max(1, COMMON * n)}
 
 
-def postings(idf: dict[str, float], docs: DataFrame) -> DataFrame:
-    """word, template, place, weight (share of the template's rarity). As many rows as the templates have words."""
+def notices(idf: dict[str, float], docs: DataFrame) -> DataFrame:
+    """word, template, place, start and phrase (key phrase), parts (place, word, share of the template's rarity). One row per template.
+
+    ``word`` is the rarest word of the key phrase. An alignment counts only with its key phrase, so each of them has this word at ``place``.
+    """
     rows = []
-    for t, (_, notice, _) in enumerate(TEMPLATES):
-        placed = [(w, p) for p, w in enumerate(notice.split()) if w in idf]
-        total = sum(idf[w] for w, _ in placed)
-        rows += [(w, t, p, idf[w] / total) for w, p in placed]
-    return docs.sparkSession.createDataFrame(rows, "word string, template int, place int, weight double")
+    for t, (_, notice, key) in enumerate(TEMPLATES):
+        words, phrase = notice.split(), key.split()
+        start = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
+        placed = [(p, w) for p, w in enumerate(words) if w in idf]
+        total = sum(idf[w] for _, w in placed)
+        place = max(range(start, start + len(phrase)), key=lambda i: (idf.get(words[i], 0.0), -i))
+        rows.append((words[place], t, place, start, phrase, [(p, w, idf[w] / total) for p, w in placed]))
+    schema = "word string, template int, place int, start int, phrase array<string>, parts array<struct<place:int,word:string,weight:double>>"
+    return docs.sparkSession.createDataFrame(rows, schema)
 
 
 def alignments(docs: DataFrame, idf: dict[str, float]) -> DataFrame:
-    """hash, template and score of each verified alignment, hash being that of the text."""
-    ordered = sorted(idf, key=lambda w: (-idf[w], w))
-    if not ordered:
-        return docs.sparkSession.createDataFrame([], "hash bigint, template int, score double")
+    """hash, template and best score of the verified alignments, hash being that of the text."""
+    index = notices(idf, docs)
+    anchors = sorted({r["word"] for r in index.select("word").collect()})
     rows = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("hash"), words_of(F.col("text")).alias("words"))
-    top = F.slice(F.array_intersect(strings(ordered), F.col("words")), 1, TOP)
-    rows = rows.select("hash", "words", F.when(F.arrays_overlap("words", strings(ordered)), top).alias("top")).where(F.size("top") > 0)
-    index = postings(idf, docs).groupBy("word").agg(F.collect_list(F.struct("template", "place", "weight")).alias("hits"))
-    keys = [(t, n.split(), k.split()) for t, (_, n, k) in enumerate(TEMPLATES)]
-    starts = [next(i for i in range(len(n)) if n[i : i + len(k)] == k) for _, n, k in keys]
-    phrase = docs.sparkSession.createDataFrame([(t, s, k) for (t, _, k), s in zip(keys, starts)], "template int, start int, phrase array<string>")
-    longest = max(len(n) for _, n, _ in keys)
-    placed = rows.select("hash", "words", "top", F.posexplode("words").alias("at", "word")).where(F.array_contains("top", F.col("word")))
-    # The words around a hit are enough to verify a notice, so that no row carries its whole text further.
+    rows = rows.where(F.arrays_overlap("words", strings(anchors)))
+    longest = max(len(n.split()) for _, n, _ in TEMPLATES)
+    placed = rows.select("hash", "words", F.posexplode("words").alias("at", "word")).where(F.col("word").isin(anchors))
+    # The words around a hit are enough to score a notice, so that no row carries its whole text further.
     first = F.greatest(F.col("at") - longest, F.lit(0))
     near = placed.select("hash", "at", "word", first.alias("first"), F.slice("words", first + 1, 2 * longest + 1).alias("near"))
-    hits = near.join(F.broadcast(index), "word").select("hash", "at", "first", "near", F.explode("hits").alias("x"))
-    hits = hits.select("hash", "x.template", (F.col("at") - F.col("x.place")).alias("offset"), "x.place", "x.weight", "first", "near")
-    verified = hits.join(F.broadcast(phrase), "template")
-    begin = F.col("offset") + F.col("start") - F.col("first")
+    hits = near.join(F.broadcast(index), "word").withColumn("offset", F.col("at") - F.col("place") - F.col("first"))
+    begin = F.col("offset") + F.col("start")
     there = (begin >= 0) & (F.slice("near", F.greatest(begin, F.lit(0)) + 1, F.size("phrase")) == F.col("phrase"))
-    # Equal texts give equal rows, which count once.
-    kept = verified.where(there).select("hash", "template", "offset", "place", "weight").distinct()
-    return kept.groupBy("hash", "template", "offset").agg(F.sum("weight").alias("score")).where(F.col("score") >= MIN_SCORE).select("hash", "template", "score")
+    stands = lambda x: F.coalesce(F.get("near", F.col("offset") + x["place"]) == x["word"], F.lit(False))
+    score = F.aggregate("parts", F.lit(0.0), lambda total, x: total + F.when(stands(x), x["weight"]).otherwise(0.0))
+    scored = hits.where(there).select("hash", "template", score.alias("score")).where(F.col("score") >= MIN_SCORE)
+    return scored.groupBy("hash", "template").agg(F.max("score").alias("score"))
 
 
 def scan(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:

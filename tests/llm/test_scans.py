@@ -118,3 +118,13 @@ def test_licence_labels(spark, docs, no_docs):
 def test_copies_of_a_notice_do_not_add_up(spark):
     texts = ["under mit license"] * 5 + [f"plain text number {i}" for i in range(50)]
     assert {r["score"] for r in licences.scan(frame(spark, texts)).collect()} == {0.0}
+
+
+def test_bundles_of_notices_keep_all_labels(spark):
+    bundle = ". ".join(notice for _, notice, _ in licences.TEMPLATES)
+    mit, bsd = licences.TEMPLATES[2][1], licences.TEMPLATES[9][1]
+    texts = [f"{mit}. {bsd}.", bundle] + [f"plain text number {i}" for i in range(50)]
+    rows = {r["doc_id"]: r for r in licences.scan(frame(spark, texts)).collect()}
+    assert rows[0]["labels"] == ["bsd", "mit"] and rows[0]["score"] > 0.99
+    assert set(rows[1]["labels"]) == {label for label, _, _ in licences.TEMPLATES}
+    assert all(rows[i]["labels"] == [] for i in range(2, len(texts)))
