@@ -25,8 +25,6 @@ ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 MIN_SCORE = 0.7
-# Words in more than this share of the texts aren't rare enough to be looked up.
-COMMON = 0.2
 
 # Wording of public licence notices, as (label, notice, key phrase).
 TEMPLATES = [
@@ -105,7 +103,8 @@ def rarity(base: DataFrame) -> dict[str, float]:
     n = base.count()
     seen = base.select(F.explode("licence_words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()
     counts = {r["w"]: r["n"] for r in seen}
-    return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-6 for w in VOCABULARY if counts.get(w, 0) <= max(1, COMMON * n)}
+    # A word of all texts keeps a small weight, so that every notice has words, however common they are.
+    return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) + 1e-6 for w in VOCABULARY}
 
 
 def notices(idf: dict[str, float], docs: DataFrame) -> DataFrame:
@@ -119,7 +118,7 @@ def notices(idf: dict[str, float], docs: DataFrame) -> DataFrame:
         start = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
         placed = [(p, w) for p, w in enumerate(words) if w in idf]
         total = sum(idf[w] for _, w in placed)
-        place = max(range(start, start + len(phrase)), key=lambda i: (idf.get(words[i], 0.0), -i))
+        place = max((p for p, _ in placed if start <= p < start + len(phrase)), key=lambda p: (idf[words[p]], -p))
         rows.append((words[place], t, place, start, phrase, [(p, w, idf[w] / total) for p, w in placed]))
     schema = "word string, template int, place int, start int, phrase array<string>, parts array<struct<place:int,word:string,weight:double>>"
     return docs.sparkSession.createDataFrame(rows, schema)

@@ -128,3 +128,11 @@ def test_bundles_of_notices_keep_all_labels(spark):
     assert rows[0]["labels"] == ["bsd", "mit"] and rows[0]["score"] > 0.99
     assert set(rows[1]["labels"]) == {label for label, _, _ in licences.TEMPLATES}
     assert all(rows[i]["labels"] == [] for i in range(2, len(texts)))
+
+
+def test_common_notices_keep_their_labels(spark):
+    notice, plain = "Released under the MIT License.", [f"plain text number {i}" for i in range(20)]
+    for texts in ([notice] * 2, [notice] * 10 + plain, [f"{notice} {p}" for p in plain]):
+        rows = licences.scan(frame(spark, texts)).collect()
+        assert [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])] == [["mit"] if t.startswith(notice) else [] for t in texts]
+        assert all(r["score"] > 0.99 for r in rows if r["labels"])
