@@ -5,7 +5,7 @@ reads a sequence in both directions and gives every position a probability for e
 the mean over all its positions. Equal words of a batch run through the network once and count as often as they stand.
 
 Training is on the driver in numpy, by backpropagation through time with Adam, on a bounded sample: per language the
-``SAMPLE_TEXTS`` texts of least hash among the training rows, and of those ``SAMPLE_WORDS`` words by seeded draw. Every whole
+``SAMPLE_TEXTS`` different texts of least hash among the training rows, and of those ``SAMPLE_WORDS`` words by seeded draw. Every whole
 text is predicted.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0; ties go to the language first in order;
@@ -166,7 +166,7 @@ def train(docs: DataFrame) -> Network | None:
     draw = np.random.default_rng(1)
     for i, lang in enumerate(languages):
         # A top-k by hash for each of at most MAX_LANGUAGES languages.
-        texts = named.where(F.col("lang") == lang).select(F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("t"))
+        texts = named.where(F.col("lang") == lang).groupBy(F.xxhash64("text").alias("h")).agg(F.min("text").cast("binary").alias("t"))
         own = [w for r in texts.orderBy("h", "t").limit(SAMPLE_TEXTS).collect() for w in cut(bytes(r["t"]))]
         if own:
             words += [own[k] for k in draw.integers(0, len(own), SAMPLE_WORDS)]

@@ -5,7 +5,7 @@ characters, one of random strings and one of ordinary identifiers, then judge ev
 ratio exceeds ``MARGIN``, the run is a secret.
 
 Labelled samples: random strings are the values that the rules find (at most ``RULE_VALUES``, those of least hash) and
-``RANDOM_ROWS`` digests in hexadecimal, base 64 and upper case; identifiers are the words of ``WORD_TEXTS`` texts of least hash,
+``RANDOM_ROWS`` digests in hexadecimal, base 64 and upper case; identifiers are the words of ``WORD_TEXTS`` different texts of least hash,
 as they stand, in upper case, and joined in pairs (camel and snake case). The models are tables of
 at most (characters + 1) squared counts each. Scoring covers every whole text.
 
@@ -52,7 +52,7 @@ def random_samples(docs: DataFrame) -> DataFrame:
         F.regexp_extract_all(text, F.lit(HEX), F.lit(0)),
     )
     found = docs.where(text.rlike(f"{ASSIGN}|{ACCESS}|{HEX}")).select(F.explode(values).alias("value")).where(F.length("value") >= 16)
-    found = found.select(F.xxhash64("value").alias("h"), "value").orderBy("h", "value").limit(RULE_VALUES).select("value")
+    found = found.groupBy(F.xxhash64("value").alias("h")).agg(F.min("value").alias("value")).orderBy("h", "value").limit(RULE_VALUES).select("value")
     digest = F.sha2(F.col("id").cast("string"), 256)
     packed = F.base64(F.unhex(digest))
     digests = docs.sparkSession.range(0, RANDOM_ROWS, 1, 1).select(F.explode(F.array(digest, packed, F.upper(F.translate(packed, "+/=", "")))).alias("value"))
@@ -60,7 +60,7 @@ def random_samples(docs: DataFrame) -> DataFrame:
 
 
 def identifier_samples(docs: DataFrame) -> DataFrame:
-    texts = docs.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(WORD_TEXTS)
+    texts = docs.where(F.col("text").isNotNull()).groupBy(F.xxhash64("text").alias("h")).agg(F.min("text").alias("text")).orderBy("h", "text").limit(WORD_TEXTS)
     words = texts.select(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("w"))
     pairs = words.select("w", F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, 1_000_000).alias("b")).alias("p"))
     forms = F.concat(

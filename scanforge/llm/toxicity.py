@@ -5,8 +5,8 @@ case. The lexicon holds beginnings of words with weights learned from labelled t
 short list of known insults. Matches within an exception phrase don't count. The sum of weights is divided by the
 logarithm of the text's length, and a logistic curve fitted to the labelled texts makes it a score.
 
-Learning is on bounded samples, those of least hash: at most ``TOXIC_TEXTS`` toxic and ``CLEAN_TEXTS`` other texts. The lexicon
-has at most ``ENTRIES`` entries. Every whole text is scored.
+Learning is on bounded samples of different texts, those of least hash: at most ``TOXIC_TEXTS`` toxic and ``CLEAN_TEXTS`` other texts,
+and of both together ``CURVE_TEXTS`` for the curve. The lexicon has at most ``ENTRIES`` entries. Every whole text is scored.
 
 Defined results: a null or empty text has no match, and so the score of the curve at 0; without labels the known insults and a
 fixed curve decide; equal texts get equal results; rows of labels without a text are left out; extra columns stay out; an
@@ -30,6 +30,7 @@ from scanforge.llm.common import text_batches
 
 TOXIC_TEXTS = 6000
 CLEAN_TEXTS = 12000
+CURVE_TEXTS = 4000
 ENTRIES = 5000
 SHORTEST, LONGEST = 4, 10
 MIN_TEXTS = 4
@@ -129,6 +130,8 @@ def count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def sample(labelled: DataFrame) -> DataFrame:
     """text and toxic of the rows to learn from, those of least hash."""
     keyed = labelled.where(F.col("text").isNotNull() & F.col("toxic").isin(0, 1)).select(F.xxhash64("text").alias("h"), "text", "toxic")
+    # Copies of a text count once for each label.
+    keyed = keyed.groupBy("h", "toxic").agg(F.min("text").alias("text"))
     parts = [keyed.where(F.col("toxic") == t).orderBy("h", "text").limit(n).select("text", "toxic") for t, n in ((1, TOXIC_TEXTS), (0, CLEAN_TEXTS))]
     return parts[0].union(parts[1]).repartition(16, F.xxhash64("text"))
 
@@ -177,7 +180,7 @@ def train(labelled: DataFrame) -> Lexicon:
     weights = dict.fromkeys(KNOWN, KNOWN_WEIGHT)
     weights |= entries(counts, sizes.get(1, 0), sizes.get(0, 0)) if sizes.get(1) and sizes.get(0) else {}
     lexicon = Lexicon(weights, EXCEPTIONS)
-    fit_curve(lexicon, [(r["text"], r["toxic"]) for r in rows.orderBy(F.xxhash64("text"), "text").limit(4000).collect()])
+    fit_curve(lexicon, [(r["text"], r["toxic"]) for r in rows.orderBy(F.xxhash64("text"), "text").limit(CURVE_TEXTS).collect()])
     rows.unpersist()
     return lexicon
 

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from scanforge.llm import languages, queries, toxicity
+from scanforge.llm import languages, queries, secrets, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -79,3 +79,13 @@ def test_odd_texts_have_a_score(spark, odd_docs, no_docs):
     empty = toxicity.train(no_docs.select("text", F.lit(1).alias("toxic")))
     assert set(empty.weights) == set(toxicity.KNOWN)
     assert toxicity.score(no_docs, empty).count() == 0
+
+
+def test_copies_are_sampled_once(spark):
+    rows = [("harmless windowsill", 1)] * 50 + [(f"plain text {i}", 0) for i in range(50)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int")
+    assert toxicity.sample(labelled).where("toxic = 1").count() == 1
+    assert set(toxicity.train(labelled).weights) == set(toxicity.KNOWN)
+    copies = spark.createDataFrame([("password=abcdefgh12345678 some words here",)] * 50, "text string")
+    assert secrets.random_samples(copies).where("value = 'abcdefgh12345678'").count() == 1
+    assert secrets.identifier_samples(copies).where("value = 'some'").count() == 1
