@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from scanforge.plans import tables
 
@@ -10,6 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Some hundred whole texts at a time: a batch stays within a few MiB, and one of the longest texts is a batch of its own size.
 TEXT_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
+# Bytes of a text that are split into words at a time.
+SLICE = 1 << 20
+# Tasks that the rows of one key are dealt over.
+SALTS = 16
+
 
 def text_batches(spark: SparkSession) -> None:
     """Settings for Python workers that read whole texts."""
@@ -38,3 +46,34 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def slices(data: bytes) -> Iterator[bytes]:
+    """Parts of a text in order, cut at blanks."""
+    start = 0
+    while start < len(data):
+        end = data.find(b" ", start + SLICE)
+        end = len(data) if end < 0 else end
+        yield data[start:end]
+        start = end
+
+
+def salted(rows: DataFrame, table: DataFrame, on: list[str], by: str) -> DataFrame:
+    """Join with a table of unique keys, a key's rows dealt over SALTS tasks by the column ``by``."""
+    salt = fresh_name(rows, "_salt")
+    many = rows.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return many.join(table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*on, salt]).drop(salt)
+
+
+def least_hashes(keyed: DataFrame, group: str, n: int, scratch: Scratch, name: str = "hashes") -> DataFrame:
+    """(group, h) of the ``n`` least different values of the long ``h`` in each group that isn't null.
+
+    Only hashes are shuffled. Counts in 2^20 cells of the hash's range tell the cell in which the n-th lies, so the last sort holds about
+    n + rows / 2^20 hashes of a group.
+    """
+    different = scratch.save(keyed.where(F.col(group).isNotNull()).select(group, "h").distinct(), name)
+    cells = different.groupBy(group, F.shiftright("h", 44).alias("cell")).count()
+    before = F.sum("count").over(Window.partitionBy(group).orderBy("cell")) - F.col("count")
+    last = cells.select(group, "cell", before.alias("before")).where(F.col("before") < n).groupBy(group).agg(F.max("cell").alias("last"))
+    near = salted(different, last, [group], "h").where(F.shiftright("h", 44) <= F.col("last"))
+    return near.withColumn("k", F.row_number().over(Window.partitionBy(group).orderBy("h"))).where(F.col("k") <= n).select(group, "h")

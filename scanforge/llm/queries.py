@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanforge.llm import languages, licences, mixing, near_text, near_vectors, pieces, private_data, quality, secrets, spans, sql, toxicity
+from scanforge.llm import collocations, languages, licences, mixing, near_text, near_vectors, passages, pieces, private_data, quality, secrets, spans, sql, toxicity, variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,6 +104,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, PATH, [F.expr(w) for w in WEIGHTS], budget_percent=60, epochs=2, seed=1)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = passages.train(docs, table(spark, sf_dir, "labels").where(part_of(3) != 1))
+    scored = passages.score(docs, model)
+    return scored.select("doc_id", (part_of(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -117,6 +132,9 @@ QUERIES = {
         op8_toxicity,
         op9_license_scan,
         op10_mixing,
+        op11_collocations,
+        op12_spelling_variants,
+        op13_quality_classifier,
     )
 }
 # The other methods (models, automata, co-occurrence) have no SQL; tests compare them with brute-force versions.
@@ -125,4 +143,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_embedding_near_dedup": sql.near_vectors(),
     "op5_minhash_near_dedup": sql.near_texts(),
     "op10_mixing": sql.mixing_sources(DOMAIN, PATH, WEIGHTS, 60, 2, 1),
+    "op11_collocations": sql.collocations(),
+    "op12_spelling_variants": sql.variants(),
 }

@@ -120,3 +120,66 @@ o as (select r.*, passes, rest, md5('{seed}:' || passes || ':' || coalesce(doc_i
 c as (select *, sum(n_tokens) over (partition by {on} order by key range unbounded preceding) <= rest as more from o)
 select doc_id, {on}, n_tokens, epoch::int as epoch from c, unnest(range(0, (passes + case when more then 1 else 0 end)::bigint)) t(epoch)
 """
+
+
+def collocations(min_count: int = 100, top: int = 2000, longest: int = 5) -> str:
+    grams = " union all ".join(
+        f"select lang, {k} as k, ws[i:i+{k - 1}] as p from w, unnest(range(1, len(ws) - {k - 2})) t(i) where len(ws) >= {k}" for k in range(1, longest + 1)
+    )
+    return f"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as ws from p),
+n as (select lang, sum(len(ws)) as n from w group by lang),
+f as (select lang, k, p, count(*) as f from ({grams}) group by all having count(*) >= {min_count}),
+covers as (
+  select lang, part, max(f) as cover from (
+    select lang, f, p[i:j] as part from f, unnest(range(1, k)) s(i), unnest(range(i + 1, k + 1)) e(j) where k > 2 and j - i + 1 < k)
+  group by all),
+free as (select f.* from f left join covers c on f.lang = c.lang and f.p = c.part where k > 1 and coalesce(100 * cover < 100 * f, true)),
+cuts as (
+  select c.lang, c.p, c.f as a, l.f as l, r.f as r, cut, (1000::hugeint * c.f * n.n) // (l.f::hugeint * r.f) as score
+  from (select *, unnest(range(1, k)) as cut from free) c
+  join f l on l.lang = c.lang and l.p = c.p[1:cut] join f r on r.lang = c.lang and r.p = c.p[cut+1:] join n on n.lang = c.lang),
+lowest as (select * from cuts qualify row_number() over (partition by lang, p order by score, cut) = 1),
+named as (select *, array_to_string(p, ' ') as phrase from lowest),
+ranks as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from named)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranks join n using (lang) where rank <= {top}
+"""
+
+
+def variants() -> str:
+    """crc32 by its table, near words by removing one code point from either or both."""
+    return f"""
+with recursive crc(i, turn, c) as (
+  select i, 0, i from unnest(range(256)) t(i)
+  union all select i, turn + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from crc where turn < 8),
+bits as (select list(c order by i) as t from crc where turn = 8),
+runs as (
+  select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\u00C0-\u00FF]+')) as run
+  from documents),
+counted as (select id, run, count(*) as n from runs group by all),
+bytes as (
+  select run, n, flatten(list_transform(string_split(id || ':' || run, ''), lambda x: case when ord(x) < 128 then [ord(x)] else [195, ord(x) - 64] end)) as b from counted),
+hashed as (
+  select run, n, xor(list_reduce(b, lambda h, x: xor(t[(xor(h, x::bigint) & 255) + 1], h >> 8), 4294967295::bigint), 4294967295) as h from bytes, bits),
+kept as (select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from hashed),
+words as (select word, sum(n)::bigint as n from kept group by word having sum(n) >= 3 and length(word) >= 5),
+cut as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from words, unnest(range(1, length(word) + 1)) t(i)),
+near as (
+  select a.word, b.word as other from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, b.word from cut a join words b on a.rest = b.word
+  union select b.word, a.word from cut a join words b on a.rest = b.word),
+best as (select near.word, count(*) as n_near, arg_max(struct_pack(w := other, n := o.n), (o.n, -place)) as top from near join (
+  select word, n, row_number() over (order by word) as place from words) o on o.word = other group by near.word),
+formed as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when top.n >= 2 * w.n then top.w end as form, case when top.n >= 2 * w.n then top.n end as form_n
+  from words w left join best using (word)),
+walk(word, step, held) as (
+  select word, 0, word from formed
+  union all select walk.word, step + 1, formed.form from walk join formed on formed.word = walk.held where formed.form is not null),
+ends as (select word, arg_max(held, step) as root from walk group by word)
+select word, form, root, n, n_near, form_n from formed join ends using (word)
+"""
