@@ -5,11 +5,12 @@ Everything here reads packet metadata only. Payload columns never enter these pl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanforge.config import ACQUISITION, RAW_SCAN_NAME
 from scanforge.operators.integrity import copy_rank
+from scanforge.operators.scan import running_sum
 from scanforge.operators.select import kind, operation_files, raw_scans
 
 
@@ -49,6 +50,11 @@ def acquisition_facts(chunks: DataFrame, frame_bytes: int) -> DataFrame:
         F.max(body).alias("_long"),
         F.count_if(F.coalesce("n_bytes", F.lit(-1)) % frame_bytes != 0).alias("n_broken"),
     )
+    return facts_of_sums(facts, frame_bytes)
+
+
+def facts_of_sums(sums: DataFrame, frame_bytes: int) -> DataFrame:
+    """``acquisition_facts`` from counts, lengths and extreme chunks of each acquisition."""
     regular = (
         (F.col("_first") == 1)
         & (F.col("_last") == F.col("n_total_chunks"))
@@ -56,7 +62,7 @@ def acquisition_facts(chunks: DataFrame, frame_bytes: int) -> DataFrame:
         & (F.coalesce("_short", F.lit(0)) % frame_bytes == 0)
     )
     body_frames = F.coalesce("_short", F.lit(0)) / frame_bytes
-    return facts.select(
+    return sums.select(
         *ACQUISITION,
         kind().alias("kind"),
         "n_received",
@@ -139,33 +145,6 @@ def ready_signals(
 
 
 def frame_offsets(chunks: DataFrame, frame_bytes: int, block: int = 1024) -> DataFrame:
-    """First frame number of every chunk, for chunks of any length.
-
-    A running sum in two levels: inside blocks of ``block`` consecutive chunks, and over the block
-    totals. No task sorts more than one block or one acquisition's block totals.
-    """
-    keyed = chunks.select(
-        *ACQUISITION,
-        "chunk_i",
-        "n_copies",
-        "best",
-        F.floor(F.col("n_bytes") / frame_bytes).alias("n_frames"),
-        F.floor(F.col("chunk_i") / block).alias("block"),
-    )
-    before = (Window.unboundedPreceding, -1)
-    in_block = Window.partitionBy(*ACQUISITION, "block").orderBy("chunk_i").rowsBetween(*before)
-    over_blocks = Window.partitionBy(*ACQUISITION).orderBy("block").rowsBetween(*before)
-    blocks = (
-        keyed.groupBy(*ACQUISITION, "block")
-        .agg(F.sum("n_frames").alias("block_frames"))
-        .select(
-            *ACQUISITION,
-            "block",
-            F.coalesce(F.sum("block_frames").over(over_blocks), F.lit(0)).alias("block_start"),
-        )
-    )
-    return (
-        keyed.withColumn("_in", F.coalesce(F.sum("n_frames").over(in_block), F.lit(0)))
-        .join(blocks, [*ACQUISITION, "block"])
-        .select(*ACQUISITION, "chunk_i", "n_copies", "best", "n_frames", (F.col("block_start") + F.col("_in")).alias("frame_start"))
-    )
+    """First frame number of every chunk, for chunks of any length: a running sum in blocks of ``block`` chunks."""
+    keyed = chunks.select(*ACQUISITION, "chunk_i", "n_copies", "best", F.floor(F.col("n_bytes") / frame_bytes).alias("n_frames"))
+    return running_sum(keyed, ACQUISITION, "chunk_i", "n_frames", "frame_start", block)

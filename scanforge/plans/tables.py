@@ -33,7 +33,11 @@ def save(df: DataFrame, path: str, partition_by: list[str] | None = None) -> Dat
 
 
 def load(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a table with its declared schema, so partition values keep their types."""
+    """Read a table with its declared schema, so partition values keep their types; of a table that grows, what its list names."""
+    if exists(spark, f"{path}/_lists"):
+        from scanforge.plans.ledger import Ledger
+
+        return Ledger(spark, path, schema).load()
     return spark.read.schema(schema).parquet(path)
 
 
@@ -52,6 +56,38 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it doesn't exist."""
+    fs, hadoop_path = _on_filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    fs, hadoop_path = _on_filesystem(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _on_filesystem(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under another name first, then renamed, so that no reader sees half of it."""
+    fs, final = _on_filesystem(spark, path)
+    _, draft = _on_filesystem(spark, f"{path}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(final, False)
+    if not fs.rename(draft, final):
+        raise OSError(f"can't write {path}")
+
+
 def load_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     if exists(spark, path):
         return load(spark, path, schema)
