@@ -9,8 +9,7 @@ from scanforge.catalog import inputs as I
 from scanforge.operators import assemble, background, debounce, decode, flatfield, integrity, matrix, select
 from scanforge.plans import correction
 from scanforge.plans.tables import save, shared_dir
-from scanforge.schema import NOISE_MEANS_SCHEMA
-from scanforge.sinks.histogram_log import log_lines, write_log
+from scanforge.sinks.histogram_log import log_lines, read_log, write_log
 from scanforge.sinks.raw import export_raw
 from scanforge.sinks.tables import store_noise_means
 from scanforge.sources import calibration as cal
@@ -240,6 +239,20 @@ def stream_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.completed(spark).select("experiment", "subdir_str", "n_chunks", "n_total_chunks")
 
 
+@query(
+    PACKETS
+    + """select experiment, subdir_str, count(*) as n_packets, cast(sum(octet_length(encode(data))) as bigint) as n_bytes
+from packets where filename = 'scan_x256_y256.raw' group by all"""
+)
+def packet_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets under a view's name, asked in SQL."""
+    select.register_packets(I.conversation_packets(spark, sf_dir), "scan_packets")
+    return spark.sql(
+        "select experiment, subdir_str, count(*) as n_packets, cast(sum(octet_length(data)) as bigint) as n_bytes "
+        "from scan_packets where filename = 'scan_x256_y256.raw' group by experiment, subdir_str"
+    )
+
+
 @query(
     PACKETS
     + """select distinct experiment, subdir_str from packets where filename = 'scan_x256_y256.raw'
@@ -394,13 +407,13 @@ def raw_decode_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.explode_pixels(decode.unpack_frames(chunks, I.SMALL), "w")
 
 
-def _corrected(spark: SparkSession, sf_dir: str, packed: bool = False) -> DataFrame:
+def _corrected(spark: SparkSession, sf_dir: str, packed: bool = False, with_pixels: bool = True) -> DataFrame:
     packets, folder = I.landed_embedding_packets(spark, sf_dir)
     calibration = cal.as_arrays(I.small_calibration(spark), I.SMALL)
     ready = correction.find_ready(packets, I.SMALL, folder)
     means = correction.compute_means(packets, ready, calibration, I.SMALL)
     means = store_noise_means(means, f"{folder}/noise_means")
-    return correction.correct_signals(packets, ready.signals, means, calibration, I.SMALL, packed=packed)
+    return correction.correct_signals(packets, ready.signals, means, calibration, I.SMALL, packed=packed, with_pixels=with_pixels)
 
 
 def _corrected_pixels(frames: DataFrame) -> DataFrame:
@@ -420,7 +433,7 @@ def corrected_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
   concat(any_value(hist_max), ' : ', any_value(hist_arg)) as line from corrected group by experiment, subdir_str, frame_no"""
 )
 def histogram_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_lines(correction.frame_stats(_corrected(spark, sf_dir)))
+    return log_lines(correction.frame_stats(_corrected(spark, sf_dir, with_pixels=False)))
 
 
 @query(
@@ -431,14 +444,10 @@ def histogram_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def histogram_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs written in two calls and read back; a line's place in its files, in name order, is its frame."""
     root = f"{shared_dir(spark)}/logs"
-    stats = save(correction.frame_stats(_corrected(spark, sf_dir)), f"{root}.stats")
+    stats = save(correction.frame_stats(_corrected(spark, sf_dir, with_pixels=False)), f"{root}.stats")
     write_log(stats.filter("crc32(subdir_str) % 2 = 0"), root)
     write_log(stats.filter("crc32(subdir_str) % 2 = 1"), root)
-    lines = spark.read.option("wholetext", "true").text(root).select("experiment", "log_name", F.input_file_name().alias("file"), "value")
-    # A log has one line per frame; its files are few, so they meet in one row per log.
-    whole = lines.groupBy("experiment", "log_name").agg(F.array_join(F.array_sort(F.collect_list(F.struct("file", "value")))["value"], "").alias("text"))
-    split = whole.select("experiment", "log_name", F.posexplode(F.split(F.rtrim(F.col("text"), F.lit("\n")), "\n")).alias("frame_no", "line"))
-    return split.withColumn("frame_no", F.col("frame_no").cast("bigint"))
+    return read_log(spark, root)
 
 
 @query(
@@ -447,7 +456,7 @@ def histogram_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
   floor((any_value("offset")) * 1e6 + 0.5e0) / 1e6 as "offset" from corrected group by experiment, subdir_str, frame_no"""
 )
 def frame_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(correction.frame_stats(_corrected(spark, sf_dir)), "offset")
+    return rounded(correction.frame_stats(_corrected(spark, sf_dir, with_pixels=False)), "offset")
 
 
 @query(CORRECTED_PIXELS)
@@ -491,8 +500,7 @@ def reuse_noise_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = correction.find_ready(
         packets.filter("cast(substring(experiment, 5) as bigint) % 2 = 0"), I.SMALL, f"{folder}/gate1"
     )
-    store_noise_means(correction.compute_means(packets, first, calibration, I.SMALL), means_path)
-    stored = spark.read.schema(NOISE_MEANS_SCHEMA).parquet(means_path)
+    stored = store_noise_means(correction.compute_means(packets, first, calibration, I.SMALL), means_path)
     second = correction.find_ready(packets, I.SMALL, f"{folder}/gate2", stored_means=stored)
     fresh = correction.compute_means(packets, second, calibration, I.SMALL)
     columns = ["experiment", "noise_subdir", "parity", "pixels"]

@@ -116,7 +116,7 @@ def list_rows(column):
 
 
 class FrameBatches:
-    """Collects the frames of consecutive chunks and releases them in batches of bounded size."""
+    """Collects the frames of consecutive chunks and releases them in batches of bounded size; without a pixel type their columns alone."""
 
     def __init__(self, keys, columns, pixel_type):
         self.keys, self.columns, self.pixel_type = keys, columns, pixel_type
@@ -124,22 +124,24 @@ class FrameBatches:
 
     def add(self, key_values, columns, pixels):
         self.parts.append((key_values, columns, pixels))
-        self.held += pixels.size
+        self.held += len(columns[0]) if pixels is None else pixels.size
         if self.held >= OUTPUT_VALUES:
             yield self.flush()
 
     def flush(self):
-        sizes = [len(p[2]) for p in self.parts]
+        sizes = [len(p[1][0]) for p in self.parts]
         arrays = []
         for k, arrow_type in enumerate(self.keys.values()):
             values = [v for p, n in zip(self.parts, sizes) for v in [p[0][k]] * n]
             arrays.append(pa.array(values, arrow_type))
         for c, arrow_type in enumerate(self.columns.values()):
             arrays.append(pa.array(np.concatenate([p[1][c] for p in self.parts]), arrow_type))
-        rows = np.concatenate([p[2] for p in self.parts])
-        packed = pa.types.is_binary(self.pixel_type)
-        arrays.append(binary_array(rows) if packed else list_array(rows, self.pixel_type))
-        names = [*self.keys, *self.columns, "pixels"]
+        names = [*self.keys, *self.columns]
+        if self.pixel_type is not None:
+            rows = np.concatenate([p[2] for p in self.parts])
+            packed = pa.types.is_binary(self.pixel_type)
+            arrays.append(binary_array(rows) if packed else list_array(rows, self.pixel_type))
+            names.append("pixels")
         self.parts, self.held = [], 0
         return pa.RecordBatch.from_arrays(arrays, names)
 
@@ -191,19 +193,22 @@ def decode_frames(pixels, calibration, masks):
     return run
 
 
-def noise_sums(pixels, calibration, masks):
-    """Chunks of noise acquisitions to one sum per task, acquisition and parity.
+def noise_sums(pixels, calibration, masks, width):
+    """Chunks of noise acquisitions to one sum per task, acquisition and parity, in blocks of ``width`` pixels with a column for each.
 
-    A last frame without partner is left out. Both parities are always given, zero if they have no frame.
+    A last frame without partner is left out. Both parities are always given, zero if they have no frame; so are pixels beyond the last.
     """
+    n_blocks = -(-pixels // width)
 
     def rows(sums):
-        keys = [(*key, parity) for key in sums for parity in (0, 1)]
-        columns = list(zip(*keys))
-        types = [pa.string(), pa.string(), pa.int64(), pa.int32()]
-        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-        arrays.append(list_array(np.concatenate([sums[key] for key in sums]), pa.float64()))
-        names = ["experiment", "noise_subdir", "n_frames", "parity", "sums"]
+        keys = [(*key, parity, block) for key in sums for parity in (0, 1) for block in range(n_blocks)]
+        types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int32()]
+        arrays = [pa.array(c, t) for c, t in zip(zip(*keys), types)]
+        values = np.zeros((2 * len(sums), n_blocks * width))
+        values[:, :pixels] = np.concatenate(list(sums.values()))
+        by_pixel = np.ascontiguousarray(values.reshape(-1, width).T)
+        arrays += [pa.array(column) for column in by_pixel]
+        names = ["experiment", "noise_subdir", "n_frames", "parity", "block", *[f"s{i}" for i in range(width)]]
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches):
@@ -226,8 +231,21 @@ def noise_sums(pixels, calibration, masks):
     return run
 
 
-def correct_frames(pixels, calibration, masks, rule, packed):
-    """Chunks with their noise means to corrected frames and frame statistics, in one pass."""
+def mean_frames(table):
+    """Means of an Arrow table (experiment, noise_subdir, mean_0, mean_1) as pairs of arrays by name."""
+    out = {}
+    for batch in table.to_batches():
+        names = zip(batch.column("experiment").to_pylist(), batch.column("noise_subdir").to_pylist())
+        means = [list_rows(batch.column("mean_0")), list_rows(batch.column("mean_1"))]
+        out |= {name: (means[0](i).copy(), means[1](i).copy()) for i, name in enumerate(names)}
+    return out
+
+
+def correct_frames(pixels, calibration, masks, rule, packed, means=None, with_pixels=True):
+    """Chunks to corrected frames and frame statistics, in one pass; without ``with_pixels`` to the statistics alone.
+
+    ``means`` is a broadcast variable of ``mean_frames``, looked up by (experiment, noise_subdir); without it each chunk brings both mean frames.
+    """
     columns = {
         "frame_no": pa.int64(),
         "parity": pa.int32(),
@@ -236,22 +254,27 @@ def correct_frames(pixels, calibration, masks, rule, packed):
         "offset": pa.float64(),
     }
 
+    def means_in(batch):
+        if means is None:
+            both = [list_rows(batch.column("mean_0")), list_rows(batch.column("mean_1"))]
+            return lambda i: (both[0](i), both[1](i))
+        known = means.value
+        names = list(zip(batch.column("experiment").to_pylist(), batch.column("noise_subdir").to_pylist()))
+        return lambda i: known[names[i]]
+
     def run(batches):
         masks_of = in_double(calibration)
         for batch in batches:
-            out = FrameBatches(CHUNK_KEYS, columns, pa.binary() if packed else pa.float32())
+            out = FrameBatches(CHUNK_KEYS, columns, (pa.binary() if packed else pa.float32()) if with_pixels else None)
             totals = batch.column("n_frames").to_pylist()
-            means = [list_rows(batch.column("mean_0")), list_rows(batch.column("mean_1"))]
+            mean_of = means_in(batch)
             for key, start, words, i in chunks_in(batch, pixels):
                 values = decode(words, start, masks_of, masks)
-                paired = max(0, totals[i] // 2 * 2 - start)
                 halves = by_parity(start, len(values))
+                own = mean_of(i)
                 for parity, rows in halves:
-                    values[rows] -= means[parity](i)
+                    values[rows] -= own[parity]
                 peak, peak_bin, offset = estimate_offsets(values, rule)
-                values -= offset[:, None]
-                for parity, rows in halves:
-                    values[:paired][rows] *= masks_of[parity]["flat"]
                 numbers = start + np.arange(len(values), dtype="i8")
                 stats = [
                     numbers,
@@ -260,6 +283,13 @@ def correct_frames(pixels, calibration, masks, rule, packed):
                     (peak_bin + 1).astype("i4"),
                     offset,
                 ]
+                if not with_pixels:
+                    yield from out.add(key, stats, None)
+                    continue
+                values -= offset[:, None]
+                paired = max(0, totals[i] // 2 * 2 - start)
+                for parity, rows in halves:
+                    values[:paired][rows] *= masks_of[parity]["flat"]
                 yield from out.add(key, stats, values.astype("f4"))
             if out.held:
                 yield out.flush()
@@ -294,29 +324,36 @@ def write_runs(root, byte_order, max_frames):
                 stream = None
 
         for batch in batches:
-            names = zip(*[batch.column(c).to_pylist() for c in ("experiment", "subdir_str", "frame_no")])
+            numbers = batch.column("frame_no").to_numpy()
+            names = list(zip(batch.column("experiment").to_pylist(), batch.column("subdir_str").to_pylist()))
             column = batch.column("pixels")
             if pa.types.is_binary(column.type):
-                frame = lambda i, c=column: np.frombuffer(c[i].as_buffer(), "<f4")
+                ends = np.frombuffer(column.buffers()[1], "i4", len(column) + 1, column.offset * 4) // 4
+                values = np.frombuffer(column.buffers()[2], "<f4") if column.buffers()[2] else np.empty(0, "<f4")
             else:
-                frame = list_rows(column)
-            for i, (experiment, subdir, number) in enumerate(names):
-                key = (experiment, subdir)
-                follows = (
-                    stream is not None
-                    and stream["key"] == key
-                    and stream["first"] + stream["frames"] == number
-                    and stream["frames"] < max_frames
-                )
-                if not follows:
-                    close()
-                    folder = f"{base}/{experiment}/out_{subdir}.raw"
-                    filesystem.create_dir(folder)
-                    path = f"{folder}/part-{number:012d}-{attempt}"
-                    out = filesystem.open_output_stream(path)
-                    stream = {"key": key, "path": path, "out": out, "first": number, "frames": 0}
-                stream["out"].write(frame(i).astype(byte_order + "f4").tobytes())
-                stream["frames"] += 1
+                ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+            # Rows that follow one another are written together.
+            breaks = [i for i in range(1, len(names)) if names[i] != names[i - 1] or numbers[i] != numbers[i - 1] + 1]
+            for lo, hi in zip([0, *breaks], [*breaks, len(names)]):
+                while lo < hi:
+                    number, key = int(numbers[lo]), names[lo]
+                    follows = (
+                        stream is not None
+                        and stream["key"] == key
+                        and stream["first"] + stream["frames"] == number
+                        and stream["frames"] < max_frames
+                    )
+                    if not follows:
+                        close()
+                        folder = f"{base}/{key[0]}/out_{key[1]}.raw"
+                        filesystem.create_dir(folder)
+                        path = f"{folder}/part-{number:012d}-{attempt}"
+                        out = filesystem.open_output_stream(path)
+                        stream = {"key": key, "path": path, "out": out, "first": number, "frames": 0}
+                    upto = min(hi, lo + max_frames - stream["frames"])
+                    stream["out"].write(values[ends[lo] : ends[upto]].astype(byte_order + "f4").tobytes())
+                    stream["frames"] += upto - lo
+                    lo = upto
         close()
         columns = list(zip(*report)) if report else [[]] * 5
         types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]

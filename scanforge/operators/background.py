@@ -11,7 +11,9 @@ from scanforge.functions.words import paired_frames
 from scanforge.operators.decode import word_masks
 from scanforge.plans.joins import lookup_join
 
-SUMS_SCHEMA = "experiment string, noise_subdir string, n_frames bigint, parity int, sums array<double>"
+# Pixels of a block: one column of sums for each, so that a hash aggregate adds them.
+SUM_WIDTH = 64
+SUMS_SCHEMA = "experiment string, noise_subdir string, n_frames bigint, parity int, block int, " + ", ".join(f"s{i} double" for i in range(SUM_WIDTH))
 
 
 def _mean(total: Column, n_frames: Column) -> Column:
@@ -24,22 +26,20 @@ def _mean(total: Column, n_frames: Column) -> Column:
 def noise_means(chunks: DataFrame, calibration: dict, geometry: Geometry) -> DataFrame:
     """Array form: noise chunks (with ``frame_start``, ``n_frames``) to one mean frame per noise and parity.
 
-    Each task sums its own frames first, so the shuffle carries two frames per task and noise. Its key
-    holds the pixel position, so even a single huge noise is reduced by many tasks.
+    Each task sums its own frames first, so the shuffle carries two frames per task and noise, 8 bytes a pixel. They go in blocks of
+    SUM_WIDTH pixels whose sums merge like any aggregate, and their key holds the block, so even a single huge noise is reduced by many tasks.
     """
     sums = chunks.select(*ACQUISITION, "chunk_i", "frame_start", "n_frames", "data").mapInArrow(
-        kernels.noise_sums(geometry.pixels, calibration, word_masks()), SUMS_SCHEMA
+        kernels.noise_sums(geometry.pixels, calibration, word_masks(), SUM_WIDTH), SUMS_SCHEMA
     )
     keys = ["experiment", "noise_subdir", "n_frames", "parity"]
-    by_pixel = (
-        sums.select(*keys, F.posexplode("sums").alias("pos", "s"))
-        .groupBy(*keys, "pos")
-        .agg(F.sum("s").alias("s"))
-        .select(*keys, "pos", _mean(F.col("s"), F.col("n_frames")).alias("m"))
-    )
-    # One entry per sensor pixel, so the list is bounded by the geometry.
-    pixels = F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda p: p.m)
-    return by_pixel.groupBy(*keys).agg(pixels.alias("pixels")).select(
+    columns = [f"s{i}" for i in range(SUM_WIDTH)]
+    blocks = sums.groupBy(*keys, "block").agg(*[F.sum(c).alias(c) for c in columns])
+    means = blocks.select(*keys, "block", F.array(*[_mean(F.col(c), F.col("n_frames")) for c in columns]).alias("m"))
+    # One entry per block of the sensor, so the list is bounded by the geometry.
+    ordered = F.array_sort(F.collect_list(F.struct("block", "m")))
+    pixels = F.slice(F.flatten(F.transform(ordered, lambda b: b.m)), 1, geometry.pixels)
+    return means.groupBy(*keys).agg(pixels.alias("pixels")).select(
         "experiment", "noise_subdir", "parity", "n_frames", "pixels"
     )
 

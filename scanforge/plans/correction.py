@@ -17,7 +17,7 @@ from scanforge.operators.integrity import RANK_FIELDS, copy_rank
 from scanforge.operators.select import raw_scans
 from scanforge.plans.joins import lookup_join, rows_within
 from scanforge.plans.tables import save, shared_dir
-from scanforge.schema import CORRECTED_SCHEMA, STORED_SCHEMA
+from scanforge.schema import CORRECTED_SCHEMA, STATS_SCHEMA, STORED_SCHEMA
 
 
 @dataclass
@@ -49,6 +49,18 @@ def find_ready(
         assemble.acquisition_facts(chunks, geometry.frame_bytes), packets, raw_name
     )
     facts = save(facts, f"{folder}/facts")
+    return choose_ready(facts, folder, stored_means, processed, noise_subdir, treat_extra_noise_as_signal)
+
+
+def choose_ready(
+    facts: DataFrame,
+    folder: str,
+    stored_means: DataFrame | None = None,
+    processed: DataFrame | None = None,
+    noise_subdir: str | None = None,
+    treat_extra_noise_as_signal: bool = False,
+) -> Ready:
+    """``find_ready`` from stored facts of the acquisitions."""
     noise = assemble.active_noise(facts, stored_means, noise_subdir)
     signals = assemble.ready_signals(facts, noise, processed, treat_extra_noise_as_signal)
     fresh = noise.filter(F.col("usable") & ~F.col("stored")).select(
@@ -159,23 +171,33 @@ def correct_signals(
     rule: OffsetRule = OffsetRule(),
     raw_name: str = RAW_SCAN_NAME,
     packed: bool = False,
+    with_pixels: bool = True,
 ) -> DataFrame:
     """Corrected frames with their statistics, one Arrow pass over the payload.
 
-    With ``packed`` the pixels of a frame are float32 little-endian bytes instead of an array.
-    ``means`` should be a stored table. Two mean frames per noise are joined to each chunk: broadcast
-    while they fit the budget, otherwise by a shuffle on experiment plus salt.
+    With ``packed`` the pixels of a frame are float32 little-endian bytes instead of an array; without ``with_pixels`` there are
+    the statistics alone, and no pixel leaves the kernel. ``means`` should be a stored table. The mean frames of the noises at hand are sent
+    once to each executor and looked up by name while they fit the budget; otherwise they are joined to each chunk by a shuffle on
+    experiment plus salt.
     """
+    spark = packets.sparkSession
+    names = ["experiment", "noise_subdir"]
     chunks = select_chunks(packets, signals, geometry.frame_bytes, raw_name)
-    used = signals.select("experiment", "noise_subdir").distinct()
-    wide = means_by_noise(means.join(used, ["experiment", "noise_subdir"], "left_semi"))
-    fits = rows_within(2 * 8 * geometry.pixels)
-    joined = lookup_join(chunks, wide, ["experiment", "noise_subdir"], salt=F.col("chunk_i"), max_rows=fits)
-    columns = [*ACQUISITION, "chunk_i", "frame_start", "n_frames", "mean_0", "mean_1", "data"]
-    return joined.select(*columns).mapInArrow(
-        kernels.correct_frames(geometry.pixels, calibration, word_masks(), rule, packed),
-        STORED_SCHEMA if packed else CORRECTED_SCHEMA,
-    )
+    known = means.join(signals.select(*names).distinct(), names, "left_semi")
+    noises = known.select(*names).distinct()
+    n_noises = noises.count()
+    columns = [*ACQUISITION, "chunk_i", "frame_start", "n_frames"]
+    schema = STORED_SCHEMA if packed else CORRECTED_SCHEMA
+    schema = schema if with_pixels else STATS_SCHEMA
+    if n_noises <= rows_within(2 * 8 * geometry.pixels):
+        sent = spark.sparkContext.broadcast(kernels.mean_frames(means_by_noise(known).toArrow()))
+        # Chunks of noises without a mean stay out.
+        joined = lookup_join(chunks, noises, names, salt=F.col("chunk_i"), small_rows=n_noises).select(*columns, "noise_subdir", "data")
+    else:
+        sent = None
+        wide = means_by_noise(known)
+        joined = lookup_join(chunks, wide, names, salt=F.col("chunk_i"), max_rows=0, small_rows=n_noises).select(*columns, "mean_0", "mean_1", "data")
+    return joined.mapInArrow(kernels.correct_frames(geometry.pixels, calibration, word_masks(), rule, packed, sent, with_pixels), schema)
 
 
 def frame_stats(corrected: DataFrame) -> DataFrame:

@@ -24,4 +24,6 @@ CORRECTED_SCHEMA = (
 # As stored: a frame's pixels are float32 little-endian bytes, half the write cost of an array.
 STORED_SCHEMA = CORRECTED_SCHEMA.replace("pixels array<float>", "pixels binary")
 
+STATS_SCHEMA = CORRECTED_SCHEMA.replace(", pixels array<float>", "")
+
 PROCESSED_SCHEMA = "experiment string, subdir_str string, noise_subdir string"

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from scanforge.operators.integrity import check_integrity
-from scanforge.plans.tables import load, save
+from scanforge.plans.ledger import Ledger
+from scanforge.plans.tables import save
 from scanforge.schema import NOISE_MEANS_SCHEMA
 
 
@@ -20,17 +21,15 @@ def land_packets(
     return save(check_integrity(packets, policy), path, partition_by)
 
 
+def noise_means_table(spark: SparkSession, path: str) -> Ledger:
+    return Ledger(spark, path, NOISE_MEANS_SCHEMA)
+
+
 def store_noise_means(means: DataFrame, path: str, batch_id: int = 0) -> DataFrame:
     """Store the means that one run computed and return all stored ones.
 
     A run that is repeated replaces its own means and leaves those of other runs.
     """
-    save(means, f"{path}/batch_id={batch_id}")
-    return load(means.sparkSession, path, NOISE_MEANS_SCHEMA)
-
-
-def store_corrected(frames: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = frames.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    table = noise_means_table(means.sparkSession, path)
+    table.append(means, batch_id)
+    return table.load()

@@ -88,10 +88,15 @@ def read_float_parts(parts: DataFrame, geometry: Geometry, byte_order: str = "<"
 
 def read_exported(spark: SparkSession, root: str, geometry: Geometry, byte_order: str = "<") -> DataFrame:
     """Frames of an export written by ``sinks.raw.export_raw``: of the files that its list names, and no others."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return read_listed(spark.read.parquet(f"{root}.files"), root, geometry, byte_order)
+
+
+def read_listed(listed: DataFrame, root: str, geometry: Geometry, byte_order: str = "<") -> DataFrame:
+    """Frames of the float32 files below ``root`` that ``listed`` (experiment, subdir_str, path) names."""
+    files = listed.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     parts = F.split("path", "/")
     name = lambda: F.element_at(F.split("path", "/"), -1)
-    listed = spark.read.parquet(f"{root}.files").select("experiment", "subdir_str", name().alias("name"))
+    listed = listed.select("experiment", "subdir_str", name().alias("name"))
     files = lookup_join(files.withColumn("name", name()).withColumn("experiment", F.element_at(parts, -3)).withColumn(
         "subdir_str", F.regexp_extract(F.element_at(parts, -2), r"^out_(.*)\.raw$", 1)), listed, ["experiment", "subdir_str", "name"], None, "left_semi")
     first = F.regexp_extract("path", r"part-(\d+)-\w+$", 1).cast("bigint")

@@ -10,72 +10,91 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scanforge.config import ACQUISITION, RAW_SCAN_NAME, Geometry, OffsetRule
-from scanforge.operators import assemble
-from scanforge.operators.integrity import check_integrity
-from scanforge.plans.correction import find_ready
-from scanforge.plans.joins import lookup_join
-from scanforge.plans.run import load_processed, store_corrections
-from scanforge.plans.tables import load, load_or_empty, save
-from scanforge.schema import LANDED_SCHEMA, NOISE_MEANS_SCHEMA, STORED_SCHEMA
+from scanforge.operators.integrity import POLICIES, check_integrity
+from scanforge.plans.correction import choose_ready
+from scanforge.plans.ledger import Ledger
+from scanforge.plans.run import Outputs, corrected_table, processed_table, store_corrections
+from scanforge.plans.tables import save
+from scanforge.schema import LANDED_SCHEMA
+from scanforge.sinks.histogram_log import log_table
+from scanforge.sinks.raw import raw_table
+from scanforge.sinks.tables import noise_means_table
+from scanforge.streaming.gate import Gate
+from scanforge.streaming.progress import ProgressLines, observe_packets
 
 COMPLETED_SCHEMA = "experiment string, subdir_str string, n_received bigint, n_chunks bigint, n_total_chunks bigint"
+BATCH = ", batch_id bigint"
 
 
 @dataclass
 class Tables:
-    """Folders of one stream. Everything it keeps is here, so a restart needs nothing else."""
+    """Folders of one stream. Everything it keeps is here, so a restart needs nothing else.
+
+    ``policy`` says what becomes of packets whose hash doesn't match: ``keep`` them with the others, ``drop`` them, or put them
+    into a table of their own (``quarantine``).
+    """
 
     root: str
     partition_by: list[str] = field(default_factory=lambda: list(ACQUISITION))
+    policy: str = "keep"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def packet_table(self, spark: SparkSession) -> Ledger:
+        return Ledger(spark, self.path("packets"), LANDED_SCHEMA + BATCH, tuple(self.partition_by))
+
+    def quarantine_table(self, spark: SparkSession) -> Ledger:
+        return Ledger(spark, self.path("quarantine"), LANDED_SCHEMA + BATCH)
+
+    def completed_table(self, spark: SparkSession) -> Ledger:
+        return Ledger(spark, self.path("completed"), COMPLETED_SCHEMA + BATCH)
+
     def packets(self, spark: SparkSession) -> DataFrame:
-        return load(spark, self.path("packets"), LANDED_SCHEMA + ", batch_id bigint")
+        return self.packet_table(spark).load()
+
+    def quarantined(self, spark: SparkSession) -> DataFrame:
+        return self.quarantine_table(spark).load()
 
     def noise_means(self, spark: SparkSession) -> DataFrame:
-        return load_or_empty(spark, self.path("noise_means"), NOISE_MEANS_SCHEMA)
+        return noise_means_table(spark, self.path("noise_means")).load()
 
     def corrected(self, spark: SparkSession) -> DataFrame:
-        return load_or_empty(spark, self.path("corrected"), STORED_SCHEMA)
+        return corrected_table(spark, self.root).load()
 
     def processed(self, spark: SparkSession) -> DataFrame:
-        return load_processed(spark, self.root)
+        return processed_table(spark, self.root).load()
 
     def completed(self, spark: SparkSession) -> DataFrame:
-        return load_or_empty(spark, self.path("completed"), COMPLETED_SCHEMA + ", batch_id bigint")
+        return self.completed_table(spark).load()
 
+    def log(self, spark: SparkSession) -> DataFrame:
+        return log_table(spark, self.root).load()
 
-def land_batch(batch: DataFrame, batch_id: int, tables: Tables) -> None:
-    """Store a micro-batch under its own id, so that a repeated batch replaces itself."""
-    writer = check_integrity(batch).write.mode("overwrite")
-    if tables.partition_by:
-        writer = writer.partitionBy(*tables.partition_by)
-    writer.parquet(f"{tables.path('packets')}/batch_id={batch_id}")
+    def raw_files(self, spark: SparkSession) -> DataFrame:
+        return raw_table(spark, self.root).load()
 
 
-def touched_packets(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
-    """All landed packets of the experiments that the batch can change.
+def land_batch(batch: DataFrame, batch_id: int, tables: Tables) -> DataFrame:
+    """Store a micro-batch's packets, by the policy in one or two tables, and return what was landed of it.
 
-    An acquisition becomes ready through a packet of its own directory or of its experiment's noise. The
-    experiments are stored first, since several steps filter with them.
+    A repeated batch replaces itself in both.
     """
-    packets = tables.packets(spark)
-    directories = packets.filter(F.col("batch_id") == batch_id).select("subdir_str").distinct()
-    names = packets.select("experiment", "subdir_str", "chunk_i")
-    experiments = (
-        lookup_join(names, directories, ["subdir_str"], salt=F.col("chunk_i"), how="left_semi")
-        .select("experiment")
-        .distinct()
-    )
-    experiments = save(experiments, tables.path(f"gate/batch_id={batch_id}/experiments"))
-    return lookup_join(packets, experiments, ["experiment"], salt=F.col("chunk_i"), how="left_semi")
-
-
-def before_batch(table: DataFrame, batch_id: int) -> DataFrame:
-    """What earlier batches wrote; a repeated batch must not see its own first attempt."""
-    return table.filter(F.col("batch_id") < batch_id).drop("batch_id")
+    spark = batch.sparkSession
+    if tables.policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}")
+    checked = check_integrity(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    landed = tables.packet_table(spark)
+    folder = landed.folder(batch_id)
+    if tables.policy == "quarantine":
+        # Two sinks read the batch; it is hashed once.
+        checked = checked.persist()
+    landed.write(checked if tables.policy == "keep" else checked.filter("hash_ok"), folder)
+    if tables.policy == "quarantine":
+        tables.quarantine_table(spark).append(checked.filter("not hash_ok"), batch_id)
+        checked.unpersist()
+    landed.commit(batch_id, [folder])
+    return landed.load(first=batch_id).filter(F.col("batch_id") == batch_id)
 
 
 def record_completed(tables: Tables, raw_name: str = RAW_SCAN_NAME) -> Callable[[DataFrame, int], None]:
@@ -83,14 +102,13 @@ def record_completed(tables: Tables, raw_name: str = RAW_SCAN_NAME) -> Callable[
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        land_batch(batch, batch_id, tables)
-        packets = touched_packets(spark, tables, batch_id)
-        facts = assemble.acquisition_facts(assemble.chunk_facts(packets, raw_name), frame_bytes=1)
-        facts = assemble.with_operation_file(facts, packets, raw_name).filter("complete")
-        new = assemble.unprocessed(facts, before_batch(tables.completed(spark), batch_id))
-        new.select("experiment", "subdir_str", "n_received", "n_chunks", "n_total_chunks").write.mode(
-            "overwrite"
-        ).parquet(f"{tables.path('completed')}/batch_id={batch_id}")
+        landed = land_batch(batch, batch_id, tables)
+        gate = Gate(spark, tables.root, tables.packet_table(spark), tables.completed_table(spark))
+        state, facts = gate.advance(landed, batch_id, 1, raw_name)
+        new = facts.filter("complete and not done").select("experiment", "subdir_str", "n_received", "n_chunks", "n_total_chunks")
+        new = save(new.withColumn("batch_id", F.lit(batch_id).cast("bigint")), tables.path(f"gate/batch_id={batch_id}/completed"))
+        tables.completed_table(spark).append(new, batch_id)
+        gate.retire(state, new, batch_id)
 
     return handle
 
@@ -102,37 +120,60 @@ def correct_completed(
     rule: OffsetRule = OffsetRule(),
     raw_name: str = RAW_SCAN_NAME,
     treat_extra_noise_as_signal: bool = False,
+    outputs: Outputs = Outputs(),
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler for the whole correction.
 
-    Each output is written below the id of its batch, so running a batch twice gives what running it
+    Each output is listed under the id of its batch, so running a batch twice gives what running it
     once gives.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        land_batch(batch, batch_id, tables)
-        # The gate looks at the touched experiments; payload is then picked by acquisition.
-        packets = tables.packets(spark)
-        ready = find_ready(
-            touched_packets(spark, tables, batch_id),
-            geometry,
+        landed = land_batch(batch, batch_id, tables)
+        packets = tables.packet_table(spark)
+        gate = Gate(spark, tables.root, packets, processed_table(spark, tables.root))
+        state, facts = gate.advance(landed, batch_id, geometry.frame_bytes, raw_name)
+        ready = choose_ready(
+            facts.drop("first_batch", "done"),
             tables.path(f"gate/batch_id={batch_id}"),
-            stored_means=tables.noise_means(spark),
-            processed=before_batch(tables.processed(spark), batch_id),
+            stored_means=noise_means_table(spark, tables.path("noise_means")).load(before=batch_id),
+            processed=facts.filter("done"),
             treat_extra_noise_as_signal=treat_extra_noise_as_signal,
-            raw_name=raw_name,
         )
+        # Payload is read of the acquisitions at hand, from the batches since the first of them began.
+        begun = ready.signals.select(*ACQUISITION).union(ready.noises.select(*ACQUISITION))
+        first = facts.join(begun, ACQUISITION, "left_semi").agg(F.min("first_batch")).first()[0]
         store_corrections(
-            packets, ready, calibration, geometry, tables.root, batch_id, tables.partition_by, rule, raw_name
+            packets.load(first=first), ready, calibration, geometry, tables.root, batch_id, tables.partition_by, rule, raw_name, outputs
         )
+        gate.retire(state, ready.signals, batch_id)
 
     return handle
 
 
 def start(
-    packets: DataFrame, handler: Callable[[DataFrame, int], None], tables: Tables, once: bool = False
+    packets: DataFrame,
+    handler: Callable[[DataFrame, int], None],
+    tables: Tables,
+    once: bool = False,
+    policy: str | None = None,
+    emit: Callable[[str], None] | None = print,
 ) -> StreamingQuery:
-    """Run a batch handler over a packet stream; progress is kept in ``{root}/checkpoint``."""
-    writer = packets.writeStream.foreachBatch(handler).option("checkpointLocation", tables.path("checkpoint"))
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    """Run a batch handler over a packet stream; progress is kept in ``{root}/checkpoint``.
+
+    ``policy`` overrides that of ``tables``, with which the handler lands. ``emit`` gets a line for each batch with packets, from a
+    listener that lives as long as the query; None means no lines.
+    """
+    if policy is not None:
+        tables.policy = policy
+    spark = packets.sparkSession
+    listener = ProgressLines(emit).attach(spark) if emit else None
+    observed = observe_packets(packets, listener.metrics) if listener else packets
+    writer = observed.writeStream.foreachBatch(handler).option("checkpointLocation", tables.path("checkpoint"))
+    try:
+        return (writer.trigger(availableNow=True) if once else writer).start()
+    except Exception:
+        if listener:
+            listener.detach()
+        raise
