@@ -32,7 +32,11 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 # Words of a block, at least; a block ends with a text.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 18
+# Phrases handed on at a time, and blocks that a reader holds.
+OUT_ROWS = 50_000
+BLOCKS_READ = 64
+READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 # Ids on a tile's side; pairs that a tile must hold to be counted densely.
 TILE = 256
 DENSE = TILE * TILE // 16
@@ -142,12 +146,13 @@ def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (hit(hashes & mask) & hit((hashes >> np.uint64(32)) & mask)).astype(bool)
 
 
-def phrases_of(lang: str, codes: np.ndarray, words: list[str], filters: list[np.ndarray]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Phrases of len(filters) + 1 words of a block whose parts pass the filters; their hashes and counts."""
+def phrases_of(lang: str, codes: np.ndarray, words: list[str], filters: list[np.ndarray]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Phrases of len(filters) + 1 words of a block whose parts pass the filters; their hashes and counts, OUT_ROWS at a time."""
     first_hashes = word_hashes(lang, words)
     good = np.append(passes(filters[0], first_hashes), False)
     seq, kept, _ = ranked(np.where(good[codes], codes, -1), len(words))
-    hashes, last, chain = first_hashes[kept], kept, []
+    names = np.array(words, object)
+    hashes, last, text = first_hashes[kept], kept, names[kept]
     for level in range(2, len(filters) + 2):
         n = max(1, len(hashes))
         at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
@@ -161,12 +166,10 @@ def phrases_of(lang: str, codes: np.ndarray, words: list[str], filters: list[np.
             found[at] = np.searchsorted(keys, seq[at] * n + seq[at + 1])
             seq, order, _ = ranked(np.where(good[found], found, -1), len(keys))
             left, last, hashes = left[order], last[order], hashes[order]
-        chain.append((left, last))
-    names = np.array(words, object)
-    text = names[kept]
-    for left, last in chain:
-        text = text[left] + " " + names[last] if len(left) else text[:0]
-    return text.tolist(), hashes, counts
+            text = text[left] + " " + names[last] if len(left) else text[:0]
+    for i in range(0, len(hashes), OUT_ROWS):
+        part = slice(i, i + OUT_ROWS)
+        yield (text[left[part]] + " " + names[last[part]]).tolist(), hashes[part], counts[part]
 
 
 PHRASES = "lang string, phrase string, hash bigint, n bigint"
@@ -179,12 +182,10 @@ def counter(filters):
         bits = [f.value for f in filters]
         for batch in batches:
             for i in range(batch.num_rows):
-                lang, raw = batch.column("lang")[i].as_py(), batch.column("codes")[i].as_py()
-                words = batch.column("words")[i].as_py()
-                text, hashes, counts = phrases_of(lang, np.frombuffer(raw, "<i4").astype(np.int64), words, bits) if words else ([], np.empty(0, np.uint64), [])
-                for k in range(0, len(text), 100_000):
-                    part = slice(k, k + 100_000)
-                    columns = [pa.array([lang] * len(text[part]), pa.string()), pa.array(text[part], pa.string()), pa.array(hashes[part].view(np.int64)), pa.array(counts[part], pa.int64())]
+                lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].as_py()
+                codes = np.frombuffer(batch.column("codes")[i].as_buffer(), "<i4").astype(np.int64)
+                for text, hashes, counts in phrases_of(lang, codes, words, bits) if words else ():
+                    columns = [pa.array([lang] * len(text), pa.string()), pa.array(text, pa.string()), pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "hash", "n"])
 
     return count
@@ -214,13 +215,15 @@ def count_phrases(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
     text_batches(spark)
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where(F.col("text").isNotNull())
     blocks = scratch.save(rows.mapInArrow(encode_blocks, BLOCKS), "blocks")
+    batch_size = spark.conf.get(READ_ROWS)
+    spark.conf.set(READ_ROWS, BLOCKS_READ)
     totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, x: s + x)).alias("n"))
     words = blocks.select("lang", F.explode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("w")).groupBy("lang", F.col("w.phrase").alias("phrase"))
     frequent = words.agg(F.sum("w.n").alias("n")).where(F.col("n") >= MIN_COUNT).mapInArrow(hash_words, PHRASES)
     found, filters = None, []
     for level in range(1, LONGEST + 1):
         if level > 1:
-            counted = blocks.mapInArrow(counter(filters), PHRASES).groupBy("lang", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+            counted = blocks.select("lang", "codes", "words").mapInArrow(counter(filters), PHRASES).groupBy("lang", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
             frequent = counted.where(F.col("n") >= MIN_COUNT)
         frequent = scratch.save(frequent, f"phrases_{level}")
         if level < LONGEST:
@@ -228,6 +231,7 @@ def count_phrases(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
         own = frequent.select("lang", F.lit(level).alias("n_words"), "phrase", F.col("n").alias("f"))
         found = own if found is None else found.unionByName(own)
     totals = scratch.save(totals, "totals")
+    spark.conf.set(READ_ROWS, batch_size)
     found = scratch.save(found, "phrases")
     scratch.drop("blocks", *[f"phrases_{level}" for level in range(1, LONGEST + 1)])
     return totals, found

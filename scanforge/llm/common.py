@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scanforge.operators.scan import running_sum
 from scanforge.plans import tables
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,7 +74,36 @@ def least_hashes(keyed: DataFrame, group: str, n: int, scratch: Scratch, name: s
     """
     different = scratch.save(keyed.where(F.col(group).isNotNull()).select(group, "h").distinct(), name)
     cells = different.groupBy(group, F.shiftright("h", 44).alias("cell")).count()
-    before = F.sum("count").over(Window.partitionBy(group).orderBy("cell")) - F.col("count")
-    last = cells.select(group, "cell", before.alias("before")).where(F.col("before") < n).groupBy(group).agg(F.max("cell").alias("last"))
+    # Cells are summed in blocks, so no task sorts all cells of a group.
+    counted = running_sum(cells, [group], "cell", "count", "before", levels=2)
+    last = counted.where(F.col("before") < n).groupBy(group).agg(F.max("cell").alias("last"))
     near = salted(different, last, [group], "h").where(F.shiftright("h", 44) <= F.col("last"))
     return near.withColumn("k", F.row_number().over(Window.partitionBy(group).orderBy("h"))).where(F.col("k") <= n).select(group, "h")
+
+
+def sample_by_hash(rows: DataFrame, group: str, value: str, n: int, scratch: Scratch, name: str = "hashes") -> DataFrame:
+    """(group, h, value) of the ``n`` different strings of least hash in each group, each of them once.
+
+    Two scans: the first moves hashes only, the second keeps what lies below each group's last hash. One row per group is broadcast.
+    """
+    hashed = rows.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(F.col(group).alias("g"), F.xxhash64(value).alias("h"), F.col(value).alias("v"))
+    last = least_hashes(hashed.select("g", "h"), "g", n, scratch, name).groupBy("g").agg(F.max("h").alias("last"))
+    chosen = hashed.join(F.broadcast(scratch.save(last, f"{name}_last")), "g").where(F.col("h") <= F.col("last"))
+    return chosen.groupBy("g", "h").agg(F.min("v").alias("v")).select(F.col("g").alias(group), "h", F.col("v").alias(value))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sizes: dict[int, int], scratch: Scratch) -> DataFrame:
+    """(label, h, text) of the different texts of least hash, ``sizes`` many of each label; texts stay where they are.
+
+    ``docs``: doc_id and text; ``labels``: doc_id and the label. The join of both is on ids and hashes. A text that stands in several documents is
+    represented by the least id; at most sum(sizes) ids are broadcast to fetch the texts.
+    """
+    known = labels.where(F.col(label).isin(*sizes)).select("doc_id", label).distinct()
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"), "text")
+    keyed = scratch.save(texts.select("doc_id", "h").join(known, "doc_id").groupBy(label, "h").agg(F.min("doc_id").alias("doc_id")), "keyed")
+    least = None
+    for value, n in sizes.items():
+        own = least_hashes(keyed.where(F.col(label) == value), label, n, scratch, f"hashes_{value}")
+        least = own if least is None else least.union(own)
+    chosen = scratch.save(keyed.join(F.broadcast(least), [label, "h"]), "chosen")
+    return texts.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy(label, "h").agg(F.min("text").alias("text"))

@@ -22,14 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanforge.llm.common import text_batches
+from scanforge.llm.common import Scratch, sample_by_hash, text_batches
 
 STEPS = 24
 HIDDEN = 12
 EMBED = 12
 SAMPLE_TEXTS = 300
 SAMPLE_WORDS = 6000
-MAX_LANGUAGES = 200
 TURNS = 700
 BATCH = 512
 RATE = 0.01
@@ -160,17 +159,18 @@ def fit(words: list[bytes], labels: list[int], languages: list[str], seed: int =
 
 def train(docs: DataFrame) -> Network | None:
     """``docs``: text and lang of the rows that may be learned from."""
-    named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    languages = [r["lang"] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    words, labels, languages = [], [], sorted(languages)
+    scratch = Scratch(docs.sparkSession)
+    chosen = sample_by_hash(docs.select("lang", "text"), "lang", "text", SAMPLE_TEXTS, scratch)
+    texts: dict[str, list[tuple[int, bytes]]] = {}
+    for r in chosen.select("lang", "h", F.col("text").cast("binary").alias("t")).collect():
+        texts.setdefault(r["lang"], []).append((r["h"], bytes(r["t"])))
+    scratch.drop("hashes", "hashes_last")
+    words, labels, languages = [], [], sorted(lang for lang, some in texts.items() if any(cut(t) for _, t in some))
     draw = np.random.default_rng(1)
     for i, lang in enumerate(languages):
-        # A top-k by hash for each of at most MAX_LANGUAGES languages.
-        texts = named.where(F.col("lang") == lang).groupBy(F.xxhash64("text").alias("h")).agg(F.min("text").cast("binary").alias("t"))
-        own = [w for r in texts.orderBy("h", "t").limit(SAMPLE_TEXTS).collect() for w in cut(bytes(r["t"]))]
-        if own:
-            words += [own[k] for k in draw.integers(0, len(own), SAMPLE_WORDS)]
-            labels += [i] * SAMPLE_WORDS
+        own = [w for _, t in sorted(texts[lang]) for w in cut(t)]
+        words += [own[k] for k in draw.integers(0, len(own), SAMPLE_WORDS)]
+        labels += [i] * SAMPLE_WORDS
     return fit(words, labels, languages) if words else None
 
 

@@ -18,6 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scanforge.llm import spans
 from scanforge.llm.common import Scratch
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
@@ -74,12 +75,12 @@ def phrase_places(line: Column, phrase: str) -> Column:
     """Word positions of a phrase in the words of a text, joined by blanks with one before and after; null where there are none."""
     n = len(phrase.split())
     gaps = F.split(line, f"(?<= ){phrase}(?= )", -1)
-    places = F.aggregate(
-        F.slice(gaps, 1, F.size(gaps) - 1),
-        F.array().cast("array<bigint>"),
-        # A gap holds the blank before the phrase and one more for each word in it; a later gap starts with the blank after the last phrase.
-        lambda found, gap: F.concat(found, F.array(F.when(F.size(found) == 0, spaces(gap) - 1).otherwise(F.element_at(found, -1) + n + spaces(gap) - 1).cast("bigint"))),
-    )
+    # A gap holds the blank before the phrase and one more for each word in it; a later gap starts with the blank after the last phrase.
+    def step(acc: Column, gap: Column, full: Column) -> tuple:
+        place = (acc["next"] + spaces(gap) - 1).cast("long")
+        return {"next": place + n}, place, F.lit(True)
+
+    places = spans.collecting(F.slice(gaps, 1, F.size(gaps) - 1), {"next": F.lit(0).cast("long")}, "bigint", step)
     return F.when(line.contains(f" {phrase} "), places)
 
 

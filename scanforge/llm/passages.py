@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanforge.llm.common import Scratch, least_hashes, slices, text_batches
+from scanforge.llm.common import Scratch, labelled_sample, slices, text_batches
 
 WIDTH = 48
 TEXTS = 1500
@@ -251,21 +251,14 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Model | None:
     spark = docs.sparkSession
     text_batches(spark)
     scratch = Scratch(spark)
-    known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality").distinct()
-    hashes = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"))
-    # A text that stands in several documents is represented by the least id.
-    keyed = scratch.save(hashes.join(known, "doc_id").groupBy("quality", "h").agg(F.min("doc_id").alias("doc_id")), "keyed")
-    least = keyed.join(F.broadcast(least_hashes(keyed, "quality", TEXTS, scratch)), ["quality", "h"])
-
     @F.arrow_udf("array<struct<words:string,repeated:array<double>>>")
     def passages(texts: pa.Array) -> pa.Array:
         rows = [[{"words": w, "repeated": r} for w, r in spread_passages(t)] for t in texts.to_pylist()]
         return pa.array(rows, pa.list_(pa.struct([("words", pa.string()), ("repeated", pa.list_(pa.float64()))])))
 
-    # At most 2 * TEXTS rows are broadcast, so texts stay where they are.
-    chosen = docs.where(F.col("text").isNotNull()).withColumn("h", F.xxhash64("text")).join(F.broadcast(least), ["doc_id", "h"]).groupBy("quality", "h").agg(F.min("text").alias("text"))
+    chosen = labelled_sample(docs, labels, "quality", {0: TEXTS, 1: TEXTS}, scratch)
     rows = chosen.select("quality", "h", passages("text").alias("p")).collect()
-    scratch.drop("keyed", "hashes")
+    scratch.drop("keyed", "chosen", "hashes_0", "hashes_1")
     sample = [(r["quality"], [(p["words"], p["repeated"]) for p in r["p"]]) for r in sorted(rows, key=lambda r: (r["h"], r["quality"]))]
     return fit(sample, seed)
 

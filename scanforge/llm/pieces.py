@@ -1,7 +1,7 @@
 """Encoding to SentencePiece ids and back by a weighted finite-state transducer.
 
-The transducer is composed of three parts, compiled once from the model: the normaliser (blanks to the piece mark, mark in
-front), the pieces with their weights, and byte pieces for characters outside of the vocabulary. An input is composed with
+The transducer is composed of three parts, compiled once from the model: the normaliser (a state that reads blanks as the piece mark, behind a
+mark on the way in), an arc for each piece with its weight, and an arc for each character outside of the vocabulary that gives its byte pieces. An input is composed with
 it lazily: states are positions in the input, arcs the pieces that start there; the encoding is the shortest path in the tropical
 semiring (weights add along a path, the least total wins).
 
@@ -10,8 +10,8 @@ piece, and an arc weighs 0 where merging leaves the two pieces apart and infinit
 encoding if and only if each pair of neighbours is, so one path of finite weight is left, and one state for each position. Pairs
 are decided by undoing the merges of the two pieces at their border, once for each pair. The arcs into a position are found by an automaton over all pieces.
 
-Words are independent where no piece has the mark behind another character; then each different word is encoded once per
-task, in a cache of bounded size.
+Words are independent where no piece has the mark behind another character; then each different word is searched once per
+task, in a cache of bounded size. Those of a batch are searched in order, each from what it shares with the one before.
 
 Defined results: a null text has null ids, an empty text none; text of any length is encoded whole; the mark itself is read as a
 blank; ids outside of the model decode to nothing, control pieces likewise, bytes that are no UTF-8 to U+FFFD. Each row stands
@@ -40,6 +40,10 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 # Piece types of the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
+BLANK_TO_MARK = {32: MARK}
+# A longer word isn't kept after its batch.
+LONG_WORD = 64
+CACHED_CHARACTERS = 100_000
 CACHED_WORDS = 300_000
 CACHED_PAIRS = 2_000_000
 
@@ -111,7 +115,12 @@ class Transducer:
     model: Model
     arcs: dict[str, int] = field(default_factory=dict)
     bytes_of: dict[int, int] = field(default_factory=dict)
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict)
+    # Arcs by number: what each gives, what it reads, and those of characters without a piece. Pieces have their ids.
+    labels: list[tuple[int, ...]] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+    other: dict[str, int] = field(default_factory=dict)
+    plain: list[str | None] = field(default_factory=list)
     words: dict[str, tuple[int, ...]] = field(default_factory=dict)
     order: dict[str, int] = field(default_factory=dict)
     made_of: dict[str, tuple[str, str]] = field(default_factory=dict)
@@ -121,7 +130,7 @@ class Transducer:
     longest: int = 1
     unknown: int = 0
     unknown_weight: float = 0.0
-    by_word: bool = True
+    words_in: re.Pattern = re.compile("")
 
     def __post_init__(self):
         m = self.model
@@ -132,11 +141,16 @@ class Transducer:
                 self.unknown = i
             elif kind in (NORMAL, USER):
                 self.arcs[piece] = i
-        for piece in self.arcs or [MARK]:
-            self.endings.add_word(piece, piece)
+        for piece in self.arcs:
+            self.endings.add_word(piece, (len(piece), self.arcs[piece]))
+        if not self.arcs:
+            self.endings.add_word("\0\0", (2, 0))
         self.endings.make_automaton()
+        self.labels, self.texts = [(i,) for i in range(len(m.pieces))], list(m.pieces)
+        self.plain = [None if k == BYTE else " ⁇ " if k == UNKNOWN else "" if k == CONTROL else p for p, k in zip(m.pieces, m.types)]
         self.longest = max(map(len, self.arcs), default=1)
-        self.by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
+        by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
+        self.words_in = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if by_word else ".+", re.DOTALL)
         if m.kind == BPE:
             self.learn_merges()
         self.unknown_weight = 10 - min(m.scores, default=0.0)
@@ -192,87 +206,137 @@ class Transducer:
 
     def apart(self, left: str, right: str) -> bool:
         """Does merging leave these two neighbours as they are? Characters without a piece never merge."""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            if left in self.irregular or right in self.irregular:
-                known = self.merged(left + right) == ([left, right] if left else [right])
-            else:
-                known = self.left_apart(left, right)
-            self.pairs[key] = known
+        if left in self.irregular or right in self.irregular:
+            return self.merged(left + right) == ([left, right] if left else [right])
+        return self.left_apart(left, right)
+
+    def byte_arc(self, char: str) -> int:
+        """Number of the arc that reads a character without a piece and gives its byte pieces, or the unknown piece."""
+        number = self.other.get(char)
+        if number is None:
+            number = self.other[char] = len(self.labels)
+            self.labels.append(tuple(self.bytes_of[b] for b in char.encode("utf-8", "surrogatepass")) if self.bytes_of else (self.unknown,))
+            self.texts.append(char)
+        return number
+
+    def first_arc(self, char: str) -> int:
+        """Number of the arc that reads one character."""
+        return self.arcs[char] if char in self.arcs else self.byte_arc(char)
+
+    def bpe_paths(self, words: list[str]) -> Iterator[list[int]]:
+        """Arcs of the path of finite weight through each word; words in order.
+
+        The last arc into a position depends on what is before it alone, so a word goes on from what it shares with the word before.
+        """
+        known, before, last, widths = self.pairs, "", [-1], [0]
+        for word in words:
+            shared = 0
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                shared += 1
+            # A character of which no longer piece fits stands alone.
+            last[shared + 1 :] = map(self.first_arc, word[shared:])
+            widths[shared + 1 :] = [1] * (len(word) - shared)
+            decided = shared
+            # Arcs come by their end, the longest first.
+            for at, (width, number) in self.endings.iter(word, max(0, shared + 1 - self.longest)):
+                if at >= decided:
+                    pair = (last[at + 1 - width] << 32) + number
+                    apart = known.get(pair)
+                    if apart is None:
+                        apart = self.decide(pair, last[at + 1 - width], number)
+                    if apart:
+                        last[at + 1], widths[at + 1], decided = number, width, at + 1
+            before = word
+            path, end = [], len(word)
+            while end:
+                path.append(last[end])
+                end -= widths[end]
+            yield path[::-1]
+
+    def decide(self, pair: int, left: int, right: int) -> bool:
+        """Weight of an arc after another, as whether it is finite; kept for the pair."""
+        if len(self.pairs) >= CACHED_PAIRS:
+            self.pairs.clear()
+        self.pairs[pair] = known = self.apart(self.texts[left] if left >= 0 else "", self.texts[right])
         return known
 
-    def bpe_path(self, word: str) -> list[str]:
-        # A character of which no longer piece fits stands alone. Pieces come by their end, the longest first.
-        last, decided = ["", *word], 0
-        for at, piece in self.endings.iter(word):
-            if at >= decided and self.apart(last[at + 1 - len(piece)], piece):
-                last[at + 1], decided = piece, at + 1
-        path, end = [], len(word)
-        while end:
-            path.append(last[end])
-            end -= len(last[end])
-        return path[::-1]
+    def unigram_paths(self, words: list[str]) -> Iterator[list[int]]:
+        """Arcs of the lightest path through each word."""
+        for word in words:
+            best, last, widths = [0.0] + [float("inf")] * len(word), [-1] * (len(word) + 1), [0] * (len(word) + 1)
+            for end in range(1, len(word) + 1):
+                for start in range(max(0, end - self.longest), end):
+                    number = self.arcs.get(word[start:end])
+                    if number is None:
+                        if end - start > 1:
+                            continue
+                        number, weight = self.byte_arc(word[start]), best[start] + self.unknown_weight
+                    else:
+                        weight = best[start] - self.model.scores[number]
+                    if weight < best[end]:
+                        best[end], last[end], widths[end] = weight, number, end - start
+            path, end = [], len(word)
+            while end:
+                path.append(last[end])
+                end -= widths[end]
+            yield path[::-1]
 
     def unigram_path(self, word: str) -> list[str]:
-        best, last = [0.0] + [float("inf")] * len(word), [""] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = self.arcs.get(word[start:end])
-                if piece is None and end - start > 1:
-                    continue
-                weight = best[start] + (self.unknown_weight if piece is None else -self.model.scores[piece])
-                if weight < best[end]:
-                    best[end], last[end] = weight, word[start:end]
-        path, end = [], len(word)
-        while end:
-            path.append(last[end])
-            end -= len(last[end])
-        return path[::-1]
-
-    def ids_of(self, piece: str) -> list[int]:
-        known = self.arcs.get(piece)
-        if known is not None:
-            return [known]
-        if self.bytes_of:
-            return [self.bytes_of[b] for b in piece.encode("utf-8", "surrogatepass")]
-        return [self.unknown]
-
-    def word_ids(self, word: str) -> tuple[int, ...]:
-        found = self.words.get(word)
-        if found is None:
-            path = self.bpe_path(word) if self.model.kind == BPE else self.unigram_path(word)
-            found = tuple(chain.from_iterable(map(self.ids_of, path)))
-            if len(word) <= 64:
-                if len(self.words) >= CACHED_WORDS:
-                    self.words.clear()
-                self.words[word] = found
-        return found
+        return [self.texts[n] for n in next(self.unigram_paths([word]))]
+
+    def normal(self, text: str) -> str:
+        """The normaliser: one state, an arc from each character to itself but for the blank, and a mark on the way in."""
+        return ((MARK if self.model.front_mark else "") + text).translate(BLANK_TO_MARK)
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int] | None]:
+        """Ids of each text. Different words that aren't known yet are searched together, in order."""
+        split = [self.words_in.findall(self.normal(t)) if t else [] for t in texts]
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        new = sorted({w for words in split for w in words if w not in self.words})
+        search = self.bpe_paths if self.model.kind == BPE else self.unigram_paths
+        labels, words = self.labels, self.words
+        for word, path in zip(new, search(new)):
+            words[word] = tuple(chain.from_iterable([labels[n] for n in path]))
+        out = [None if t is None else list(chain.from_iterable([words[w] for w in some])) for t, some in zip(texts, split)]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del words[word]
+        if len(self.labels) > len(self.model.pieces) + CACHED_CHARACTERS:
+            self.forget_characters()
+        return out
+
+    def forget_characters(self) -> None:
+        n = len(self.model.pieces)
+        del self.labels[n:], self.texts[n:]
+        self.other.clear()
+        self.pairs.clear()
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        text = (MARK if self.model.front_mark else "") + text.replace(" ", MARK)
-        words = re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text) if self.by_word else [text]
-        return list(chain.from_iterable(map(self.word_ids, words)))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
-        parts: list[str] = []
-        held = bytearray()
-        for i in ids:
-            kind = self.model.types[i] if i is not None and 0 <= i < len(self.model.types) else CONTROL
-            if kind == BYTE:
+        """The way back: bytes are read together, the mark gives a blank, and the mark in front goes."""
+        size = len(self.plain)
+        parts = [self.plain[i] if i is not None and 0 <= i < size else "" for i in ids]
+        if None in parts:
+            parts = self.with_bytes(ids, parts)
+        text = "".join(parts).replace(MARK, " ")
+        return text[1:] if self.model.front_mark and text.startswith(" ") else text
+
+    def with_bytes(self, ids: list[int], parts: list[str | None]) -> list[str]:
+        out, held = [], bytearray()
+        for i, part in zip(ids, parts):
+            if part is None:
                 held.append(int(self.model.pieces[i][3:5], 16))
                 continue
             if held:
-                parts.append(held.decode("utf-8", "replace"))
+                out.append(held.decode("utf-8", "replace"))
                 held = bytearray()
-            parts.append(" ⁇ " if kind == UNKNOWN else "" if kind == CONTROL else self.model.pieces[i])
-        parts.append(held.decode("utf-8", "replace"))
-        text = "".join(parts).replace(MARK, " ")
-        return text[1:] if self.model.front_mark and text.startswith(" ") else text
+            out.append(part)
+        return [*out, held.decode("utf-8", "replace")]
 
 
 def compiled(model: Model) -> Transducer:
@@ -290,7 +354,7 @@ def encode(text: Column, model) -> Column:
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         machine = compiled(model.value)
-        return pa.array([None if t is None else machine.encode(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+        return pa.array(machine.encode_all(texts.to_pylist()), pa.list_(pa.int32()))
 
     return encoded(text)
 

@@ -66,7 +66,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(part_of(3) != 1).select("doc_id", "toxic")
-    lexicon = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id").select("text", "toxic"))
+    lexicon = toxicity.train_on(docs, labels)
     scored = toxicity.score(docs, lexicon)
     return scored.select("doc_id", (part_of(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

@@ -32,12 +32,41 @@ def with_spans(df: DataFrame, text: str, rules: list[tuple[str, str, Column | No
     return found.select(*quoted, F.array_sort(F.concat(*parts)).alias(out))
 
 
+# Values collected by a fold are copied with each new one, so they are set aside in blocks of this many.
+BLOCK = 256
+
+
+def collecting(array: Column, state: dict[str, Column], of: str, step, finish=None) -> Column:
+    """A fold over ``array`` that collects values of type ``of``, linear in its length but for a copy of n / BLOCK references a block.
+
+    ``step(acc, x, full)`` gives (next state, value, whether it is collected); ``full`` is true once in BLOCK values, as a chance to
+    tidy the state up. ``finish(acc, values)`` gives the result, the values alone by default.
+    """
+    none = F.array().cast(f"array<{of}>")
+    first = F.struct(*[v.alias(k) for k, v in state.items()], F.array().cast(f"array<array<{of}>>").alias("done"), none.alias("kept"))
+
+    def merge(acc: Column, x: Column) -> Column:
+        full = F.size(acc["kept"]) >= BLOCK
+        after, value, wanted = step(acc, x, full)
+        done = F.when(full, F.concat(acc["done"], F.array(acc["kept"]))).otherwise(acc["done"])
+        kept = F.when(full, none).otherwise(acc["kept"])
+        kept = F.when(wanted, F.concat(kept, F.array(value))).otherwise(kept)
+        return F.struct(*[after[k].alias(k) for k in state], done.alias("done"), kept.alias("kept"))
+
+    values = lambda acc: F.concat(F.flatten(acc["done"]), acc["kept"])
+    return F.aggregate(array, first, merge, lambda acc: finish(acc, values(acc)) if finish else values(acc))
+
+
+def sums_before(array: Column) -> Column:
+    """The sum of all entries of an array of longs before each entry."""
+    return collecting(array, {"sum": F.lit(0).cast("long")}, "bigint", lambda acc, x, full: ({"sum": acc["sum"] + x}, acc["sum"], F.lit(True)))
+
+
 def _rule_spans(m: Column, g: Column, rank: int, kind: str, valid) -> Column:
     """Spans of the matches ``m``, given the texts between them, ``g``."""
     zipped = F.arrays_zip(g.alias("g"), m.alias("m"))
     lengths = F.transform(zipped, lambda x: (F.length(x["g"]) + F.coalesce(F.length(x["m"]), F.lit(0))).cast("long"))
-    before = F.aggregate(lengths, F.array(F.lit(0).cast("long")), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
-    placed = F.arrays_zip(before.alias("b"), g.alias("g"), m.alias("m"))
+    placed = F.arrays_zip(sums_before(lengths).alias("b"), g.alias("g"), m.alias("m"))
     rows = F.filter(placed, lambda x: x["m"].isNotNull() & valid(x["m"]) if valid else x["m"].isNotNull())
 
     def span(x: Column) -> Column:
@@ -48,6 +77,25 @@ def _rule_spans(m: Column, g: Column, rank: int, kind: str, valid) -> Column:
     return F.when(m.isNotNull(), F.transform(rows, span)).otherwise(no_spans())
 
 
+def outside_of(spans: Column, is_base) -> Column:
+    """``spans``, ordered by start, without those that overlap a base span; ``is_base(span)`` tells which those are.
+
+    One sweep forward for base spans that start before, one backward for those that start behind.
+    """
+
+    def forward(acc: Column, s: Column, full: Column) -> tuple:
+        reach = F.when(is_base(s), F.greatest(acc["reach"], s["end"])).otherwise(acc["reach"])
+        return {"reach": reach}, s, is_base(s) | (s["start"] >= acc["reach"])
+
+    def backward(acc: Column, s: Column, full: Column) -> tuple:
+        reach = F.when(is_base(s), F.least(acc["reach"], s["start"])).otherwise(acc["reach"])
+        return {"reach": reach}, s, is_base(s) | (s["end"] <= acc["reach"])
+
+    far = lambda x: {"reach": F.lit(x).cast("long")}
+    swept = collecting(spans, far(-1), SPAN, forward)
+    return F.reverse(collecting(F.reverse(swept), far(1 << 62), SPAN, backward))
+
+
 def count_kind(spans: str, kind: str) -> Column:
     return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
 
@@ -68,16 +116,17 @@ def rewrite(text: Column, spans: Column, replacement) -> Column:
 
     ``replacement(span)`` gives a string column.
     """
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
+    zero = F.lit(0).cast("long")
 
-    def step(acc: Column, s: Column) -> Column:
-        taken = F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["parts"], F.array(F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), replacement(s))).alias("parts"),
-        )
-        return F.when(s["start"] >= acc["at"], taken).otherwise(acc)
+    def left(acc: Column) -> Column:
+        return F.substring(acc["rest"], (acc["at"] - acc["first"] + 1).cast("int"), F.length(acc["rest"]))
 
-    def finish(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["parts"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+    def step(acc: Column, s: Column, full: Column) -> tuple:
+        # What is left of the text is cut off now and then, so that places are looked up near its beginning.
+        first, rest = F.when(full, acc["at"]).otherwise(acc["first"]), F.when(full, left(acc)).otherwise(acc["rest"])
+        taken = s["start"] >= acc["at"]
+        gap = F.substring(rest, (acc["at"] - first + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        return {"first": first, "at": F.when(taken, s["end"]).otherwise(acc["at"]), "rest": rest}, F.concat(gap, replacement(s)), taken
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, state, step, finish)).otherwise(text)
+    whole = collecting(spans, {"first": zero, "at": zero, "rest": text}, "string", step, lambda acc, values: F.concat(F.array_join(values, ""), left(acc)))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)

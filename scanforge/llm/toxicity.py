@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon, matched with Aho-Corasick.
 
 Texts are folded first: compatibility forms and look-alike letters to Latin ones, digits and signs that stand for letters, accents and
-case. The lexicon holds beginnings of words with weights learned from labelled texts (log odds of standing in a toxic text), over a
-short list of known insults. Matches within an exception phrase don't count. The sum of weights is divided by the
+case. The lexicon holds beginnings of words (of ``SHORTEST`` to ``LONGEST`` letters), shorter words as a whole, and runs of letters of scripts without blanks, with
+weights learned from labelled texts (log odds of standing in a toxic text), over a short list of known insults. Matches within an
+exception phrase, whole or in the plural, don't count. The sum of weights is divided by the
 logarithm of the text's length, and a logistic curve fitted to the labelled texts makes it a score.
 
 Learning is on bounded samples of different texts, those of least hash: at most ``TOXIC_TEXTS`` toxic and ``CLEAN_TEXTS`` other texts,
@@ -26,13 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanforge.llm.common import text_batches
+from scanforge.llm.common import Scratch, labelled_sample, sample_by_hash, text_batches
 
 TOXIC_TEXTS = 6000
 CLEAN_TEXTS = 12000
+SIZES = {1: TOXIC_TEXTS, 0: CLEAN_TEXTS}
 CURVE_TEXTS = 4000
 ENTRIES = 5000
+# Letters of a beginning; shorter words are entries as a whole, and longer words are known by their beginning.
 SHORTEST, LONGEST = 4, 10
+# Scripts without blanks between words (Thai to Khmer, kana, Han), and lengths of their entries.
+UNSPACED = [("\u0e00", "\u0eff"), ("\u1000", "\u109f"), ("\u1780", "\u17ff"), ("\u3040", "\u30ff"), ("\u3400", "\u9fff")]
+GRAMS = range(1, 5)
 MIN_TEXTS = 4
 # An entry stands in toxic texts at least this many times as often (log odds), with this much certainty.
 MIN_WEIGHT = 2.5
@@ -43,7 +49,7 @@ KNOWN_WEIGHT = 4.0
 KNOWN = "idiot moron stupid loser scum trash pathetic worthless disgusting clown imbecile".split()
 EXCEPTIONS = ["trash can", "trash bin", "trash collection", "clown fish", "clownfish", "idiot proof", "class clown", "pond scum", "sympathetic"]
 # Look-alike letters, and digits and signs that stand for letters.
-LOOKALIKES = dict(zip("аеорсухіјѕкмтнвԁɡӏαεορυικντ", "aeopcyxijskmthbdglaeopuikvt"))
+LOOKALIKES = dict(zip("аеорсухіјѕкмтнвԁɡӏαεορυικντıłøđƒɑɪʀʏɴʟʙɢʜßæœþħŧŋ", "aeopcyxijskmthbdglaeopuikvtilodfairynlbghsaophtn"))
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
 
@@ -68,6 +74,16 @@ def fold(text: str) -> str:
     return f" {' '.join(kept.translate(FOLDER).split())} "
 
 
+def unspaced(char: str) -> bool:
+    """Whether a letter belongs to a script that is written without blanks between words."""
+    return any(lo <= char <= hi for lo, hi in UNSPACED)
+
+
+def key_of(entry: str) -> str:
+    """What is looked for in a folded text: the beginning of a word, a whole word (an entry that ends with a blank), or letters anywhere."""
+    return entry if unspaced(entry[0]) else f" {entry}"
+
+
 @dataclass
 class Lexicon:
     """Entries with weights, exception phrases, and the logistic curve."""
@@ -80,10 +96,11 @@ class Lexicon:
     def machine(self):
         found = ahocorasick.Automaton()
         for word, weight in self.weights.items():
-            found.add_word(f" {word}", (len(word), weight))
+            found.add_word(key_of(word), (len(key_of(word)), weight))
         for phrase in self.exceptions:
-            key = f" {phrase}"
-            found.add_word(key, (len(phrase), None))
+            # A phrase ends with its word, or with the plural of it.
+            for key in (f" {phrase} ", f" {phrase}s "):
+                found.add_word(key, (len(key), None))
         found.make_automaton()
         return found
 
@@ -92,7 +109,7 @@ class Lexicon:
 
 
 def strength(machine, text: str | None) -> float:
-    """Sum of the weights of the words that start with an entry, the longest entry of each, by the logarithm of the length."""
+    """Sum of the weights of the entries that stand in the text, the longest from each place, by the logarithm of the length."""
     if not text or not len(machine):
         return 0.0
     folded = fold(text)
@@ -106,12 +123,29 @@ def strength(machine, text: str | None) -> float:
             best[start] = (n, weight)
     if not best:
         return 0.0
-    total = sum(w for start, (n, w) in best.items() if not any(a <= start <= b for a, b in barred))
+    # Both in order of their starts; a place is barred if a phrase that starts before it ends behind it.
+    barred.sort()
+    total, at, until = 0.0, 0, -1
+    for start in sorted(best):
+        while at < len(barred) and barred[at][0] <= start:
+            until = max(until, barred[at][1])
+            at += 1
+        # The blank that ends a phrase may begin the next word.
+        total += best[start][1] if start >= until else 0.0
     return total / math.log2(8 + folded.count(" "))
 
 
 def beginnings(text: str) -> set[str]:
-    return {w[:n] for w in set(fold(text).split()) for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    """Entries that a text could give: beginnings of words, whole words shorter than those, and runs of letters of unspaced scripts."""
+    out = set()
+    for w in set(fold(text).split()):
+        if any(map(unspaced, w)):
+            out |= {w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1) if unspaced(w[i])}
+        elif len(w) < SHORTEST:
+            out.add(f"{w} ")
+        else:
+            out |= {w[:n] for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    return out
 
 
 def count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,12 +162,13 @@ def count_beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def sample(labelled: DataFrame) -> DataFrame:
-    """text and toxic of the rows to learn from, those of least hash."""
-    keyed = labelled.where(F.col("text").isNotNull() & F.col("toxic").isin(0, 1)).select(F.xxhash64("text").alias("h"), "text", "toxic")
-    # Copies of a text count once for each label.
-    keyed = keyed.groupBy("h", "toxic").agg(F.min("text").alias("text"))
-    parts = [keyed.where(F.col("toxic") == t).orderBy("h", "text").limit(n).select("text", "toxic") for t, n in ((1, TOXIC_TEXTS), (0, CLEAN_TEXTS))]
-    return parts[0].union(parts[1]).repartition(16, F.xxhash64("text"))
+    """text and toxic of the rows to learn from, those of least hash; copies of a text count once for each label."""
+    scratch, out = Scratch(labelled.sparkSession), None
+    for label, n in SIZES.items():
+        own = labelled.where(F.col("toxic") == label).select("text", "toxic")
+        own = sample_by_hash(own, "toxic", "text", n, scratch, f"hashes_{label}").select("text", "toxic")
+        out = own if out is None else out.union(own)
+    return out
 
 
 def entries(counts: DataFrame, n_toxic: int, n_other: int) -> dict[str, float]:
@@ -171,10 +206,10 @@ def fit_curve(lexicon: Lexicon, rows: list[tuple[str, int]]) -> None:
         lexicon.slope, lexicon.middle = float(beta[0]), float(-beta[1] / beta[0])
 
 
-def train(labelled: DataFrame) -> Lexicon:
-    """``labelled``: text and toxic of the rows that may be learned from."""
-    text_batches(labelled.sparkSession)
-    rows = sample(labelled).persist()
+def learn(rows: DataFrame) -> Lexicon:
+    """``rows``: text and toxic of a bounded sample."""
+    text_batches(rows.sparkSession)
+    rows = rows.repartition(16, F.xxhash64("text")).persist()
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     counts = rows.mapInArrow(count_beginnings, "part string, toxic bigint, other bigint").groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     weights = dict.fromkeys(KNOWN, KNOWN_WEIGHT)
@@ -185,6 +220,16 @@ def train(labelled: DataFrame) -> Lexicon:
     return lexicon
 
 
+def train(labelled: DataFrame) -> Lexicon:
+    """``labelled``: text and toxic of the rows that may be learned from."""
+    return learn(sample(labelled))
+
+
+def train_on(docs: DataFrame, labels: DataFrame) -> Lexicon:
+    """The same from documents (doc_id, text) and labels (doc_id, toxic), without moving texts for their join."""
+    return learn(labelled_sample(docs, labels, "toxic", SIZES, Scratch(docs.sparkSession)).select("text", "toxic"))
+
+
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id and score of each row of ``docs`` (doc_id, text)."""
     text_batches(docs.sparkSession)

@@ -1,6 +1,7 @@
 """Plain versions of what the queries compute, one text or all pairs at a time."""
 
 import re
+import zlib
 from collections import Counter
 
 BLANK = r"[^\x20\x09-\x0D]+"
@@ -91,3 +92,71 @@ def licence(text):
         places += starts
         labels |= {label} if starts else set()
     return len(words), sorted(places), sorted(labels)
+
+
+def collocations(rows, min_count, top, longest=5):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, totals = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(CAPITALS)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    key = (lang, tuple(words[i : i + k]))
+                    f[key] = f.get(key, 0) + 1
+    out = {}
+    long = {key: a for key, a in f.items() if a >= min_count and len(key[1]) > 1}
+    for (lang, p), a in long.items():
+        inside = lambda q: any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+        if any(x == lang and len(q) > len(p) and 100 * b >= 100 * a and inside(q) for (x, q), b in long.items()):
+            continue
+        n = totals[lang]
+        cuts = [(1000 * a * n // (f[lang, p[:k]] * f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p))]
+        score, _, left, right = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(p).encode(), left, right, n))
+    found = []
+    for lang, rows_ in out.items():
+        for rank, (score, a, p, left, right, n) in enumerate(sorted(rows_)[:top], 1):
+            found.append((lang, rank, p.decode(), -a, left, right, n, -score))
+    return sorted(found)
+
+
+def variant_words(rows, min_count=3, shortest=5):
+    """word -> n of (id, text) rows."""
+    counts = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(CAPITALS)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 97 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= min_count and len(w) >= shortest}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
+
+
+def variants(words):
+    """(word, form, root, n, n_near, form_n) of word -> n."""
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * words[w] else None
+    out = []
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, words[w], len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(out)
