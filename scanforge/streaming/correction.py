@@ -108,7 +108,7 @@ def record_completed(tables: Tables, raw_name: str = RAW_SCAN_NAME) -> Callable[
         new = facts.filter("complete and not done").select("experiment", "subdir_str", "n_received", "n_chunks", "n_total_chunks")
         new = save(new.withColumn("batch_id", F.lit(batch_id).cast("bigint")), tables.path(f"gate/batch_id={batch_id}/completed"))
         tables.completed_table(spark).append(new, batch_id)
-        gate.retire(state, new, batch_id)
+        gate.retire(state, landed, new, batch_id, raw_name)
 
     return handle
 
@@ -147,7 +147,7 @@ def correct_completed(
         store_corrections(
             packets.load(first=first), ready, calibration, geometry, tables.root, batch_id, tables.partition_by, rule, raw_name, outputs
         )
-        gate.retire(state, ready.signals, batch_id)
+        gate.retire(state, landed, ready.signals, batch_id, raw_name)
 
     return handle
 

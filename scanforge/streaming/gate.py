@@ -85,6 +85,7 @@ class Gate:
     root: str
     packets: Ledger
     processed: Ledger
+    found_exact: DataFrame | None = None
 
     def _table(self, name: str, schema: str) -> Ledger:
         return Ledger(self.spark, f"{self.root}/state/{name}", schema)
@@ -108,49 +109,63 @@ class Gate:
         """
         folder = f"{self.root}/gate/batch_id={batch_id}"
         before = self.state.load(before=batch_id)
-        fresh = save(batch_state(landed, batch_id, frame_bytes, raw_name), f"{folder}/fresh")
-        new = fresh.select(*ACQUISITION).distinct().join(before.select(*ACQUISITION), ACQUISITION, "left_anti")
+        fresh = batch_state(landed, batch_id, frame_bytes, raw_name)
+        # Noises stay in the state when they are processed, so only acquisitions that left it are late.
         processed = self.processed.load(before=batch_id).select(*ACQUISITION)
-        known = save(new.join(processed.withColumn("_done", F.lit(True)), ACQUISITION, "left").distinct(), f"{folder}/new")
-        fresh = fresh.join(known.where("_done"), ACQUISITION, "left_anti")
-        seen = self.operations.load(before=batch_id).union(operation_files(landed, raw_name).select("subdir_str"))
-        elsewhere = processed.join(known.where("_done is null").select("subdir_str").distinct(), "subdir_str", "left_semi").select("subdir_str")
-        operations = save(seen.union(elsewhere).distinct(), f"{folder}/operations")
-        merged = merge_states(before.unionByName(fresh)).join(operations.withColumn("_found", F.lit(True)), "subdir_str", "left")
+        gone = processed.join(before.select(*ACQUISITION), ACQUISITION, "left_anti")
+        merged = merge_states(before.unionByName(fresh.join(gone, ACQUISITION, "left_anti")))
+        directories = self._operations(landed, batch_id, raw_name).union(processed.select("subdir_str")).distinct().withColumn("_found", F.lit(True))
         has = F.col("has_operation") | F.coalesce("_found", F.lit(False))
-        state = save(merged.withColumn("has_operation", has).drop("_found").select(*before.columns), f"{folder}/state")
-        return state, save(self._facts(state, batch_id, frame_bytes, raw_name, folder), f"{folder}/open_facts")
-
-    def _facts(self, state: DataFrame, batch_id: int, frame_bytes: int, raw_name: str, folder: str) -> DataFrame:
-        sums = save(state_sums(state).where("has_operation"), f"{folder}/sums")
-        repeated = F.col("n_received") != F.col("n_chunks")
-        full = sums.where(repeated & (F.col("n_chunks") >= F.col("n_total_chunks")))
-        names = full.select(*ACQUISITION, "first_batch", "last_batch")
-        kept = self.exact.load(before=batch_id).join(names.select(*ACQUISITION, F.col("last_batch").alias("as_of")), [*ACQUISITION, "as_of"], "left_semi")
+        state = merged.join(directories, "subdir_str", "left").withColumn("has_operation", has).select(*before.columns)
+        state = save(state, f"{folder}/state")
+        return state, save(self._facts(state, batch_id, frame_bytes, raw_name), f"{folder}/open_facts")
+
+    def _operations(self, landed: DataFrame, batch_id: int, raw_name: str) -> DataFrame:
+        """Directories whose operation file came in this batch, or came before and aren't processed."""
+        return self.operations.load(before=batch_id).union(operation_files(landed, raw_name).select("subdir_str"))
+
+    def _repeated(self, state: DataFrame) -> DataFrame:
+        """Acquisitions with all their chunks of which some came more than once."""
+        sums = state_sums(state).where("has_operation")
+        full = (F.col("n_received") != F.col("n_chunks")) & (F.col("n_chunks") >= F.col("n_total_chunks"))
+        return sums.where(full).select(*ACQUISITION, "first_batch", F.col("last_batch").alias("as_of"))
+
+    def _exact(self, state: DataFrame, batch_id: int, frame_bytes: int, raw_name: str) -> DataFrame | None:
+        """Exact facts of those; None if there are none."""
+        names = self._repeated(state)
+        kept = self.exact.load(before=batch_id).join(names.select(*ACQUISITION, "as_of"), [*ACQUISITION, "as_of"], "left_semi")
         stale = names.join(kept, ACQUISITION, "left_anti")
-        first = stale.agg(F.min("first_batch")).first()[0]
-        exact = kept
-        if first is not None:
-            packets = lookup_join(self.packets.load(first=first), stale.select(*ACQUISITION), ACQUISITION, salt=F.col("chunk_i"), how="left_semi")
-            read = assemble.acquisition_facts(assemble.chunk_facts(packets, raw_name), frame_bytes)
-            exact = kept.unionByName(read.join(stale.select(*ACQUISITION, F.col("last_batch").alias("as_of")), ACQUISITION).select(*kept.columns))
-        exact = save(exact, f"{folder}/exact")
-        # What isn't complete by number is not complete, whatever its copies hold.
-        plain = assemble.facts_of_sums(sums.join(exact.select(*ACQUISITION), ACQUISITION, "left_anti"), frame_bytes)
-        columns = plain.columns
-        facts = plain.unionByName(exact.select(*columns))
+        known, first = names.join(stale.select(*ACQUISITION, F.lit(True).alias("stale")), ACQUISITION, "left").agg(
+            F.count("*"), F.min(F.when(F.col("stale"), F.col("first_batch")))
+        ).first()
+        if not known:
+            return None
+        if first is None:
+            return kept
+        packets = lookup_join(self.packets.load(first=first), stale.select(*ACQUISITION), ACQUISITION, salt=F.col("chunk_i"), how="left_semi")
+        read = assemble.acquisition_facts(assemble.chunk_facts(packets, raw_name), frame_bytes)
+        return kept.unionByName(read.join(stale.select(*ACQUISITION, "as_of"), ACQUISITION).select(*kept.columns))
+
+    def _facts(self, state: DataFrame, batch_id: int, frame_bytes: int, raw_name: str) -> DataFrame:
+        sums = state_sums(state).where("has_operation")
+        exact = self._exact(state, batch_id, frame_bytes, raw_name)
+        self.found_exact = None
+        if exact is None:
+            facts = assemble.facts_of_sums(sums, frame_bytes)
+        else:
+            self.found_exact = exact = save(exact, f"{self.root}/gate/batch_id={batch_id}/exact")
+            # What isn't complete by number is not complete, whatever its copies hold.
+            plain = assemble.facts_of_sums(sums.join(exact.select(*ACQUISITION), ACQUISITION, "left_anti"), frame_bytes)
+            facts = plain.unionByName(exact.select(*plain.columns))
         return facts.join(sums.select(*ACQUISITION, "first_batch", "done"), ACQUISITION)
 
-    def retire(self, state: DataFrame, done: DataFrame, batch_id: int) -> None:
+    def retire(self, state: DataFrame, landed: DataFrame, done: DataFrame, batch_id: int, raw_name: str) -> None:
         """Store the state after a batch, without the acquisitions ``done`` that it processed."""
         names = done.select(*ACQUISITION).distinct().withColumn("_now", F.lit(True))
         marked = state.join(names, ACQUISITION, "left").withColumn("done", F.col("done") | F.coalesce("_now", F.lit(False))).drop("_now")
-        folder = f"{self.root}/gate/batch_id={batch_id}"
-        spark = self.spark
-        still = marked.where((kind() == "noise") | ~F.col("done")).select(*state.columns)
-        self.state.replace(still.coalesce(8), batch_id)
-        operations = spark.read.schema(OPERATIONS_SCHEMA).parquet(f"{folder}/operations")
+        self.state.replace(marked.where((kind() == "noise") | ~F.col("done")).select(*state.columns).coalesce(8), batch_id)
         # The list of processed acquisitions stands for the directories of those.
-        self.operations.replace(operations.join(done.select("subdir_str").distinct(), "subdir_str", "left_anti").coalesce(8), batch_id)
-        exact = spark.read.schema(EXACT_SCHEMA).parquet(f"{folder}/exact")
-        self.exact.replace(exact.join(done.select(*ACQUISITION), ACQUISITION, "left_anti").coalesce(8), batch_id)
+        operations = self._operations(landed, batch_id, raw_name).distinct().join(done.select("subdir_str").distinct(), "subdir_str", "left_anti")
+        self.operations.replace(operations.coalesce(8), batch_id)
+        if self.found_exact is not None:
+            self.exact.replace(self.found_exact.join(done.select(*ACQUISITION), ACQUISITION, "left_anti").coalesce(8), batch_id)

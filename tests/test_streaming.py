@@ -217,10 +217,9 @@ def test_gate_equals_batch_for_any_split(spark, tmp_path):
     random.Random(4).shuffle(rows)
     tables = streaming.Tables(str(tmp_path / "stream"), partition_by=[])
     handle = handler(tables)
-    for i in range(0, len(rows), 5):
-        handle(spark.createDataFrame(rows[i : i + 5], PACKET_SCHEMA), i // 5)
-        if i % 3 == 0:
-            handle(spark.createDataFrame(rows[i : i + 5], PACKET_SCHEMA), i // 5)
+    for i in range(0, len(rows), 8):
+        for _ in range(2 if i == 8 else 1):
+            handle(spark.createDataFrame(rows[i : i + 8], PACKET_SCHEMA), i // 8)
     got = batch.results(spark, tables.root)
     want = batch.run(spark, rows, tmp_path / "batch")
     assert {s: [(r["frame_no"], r["offset"], r["pixels"]) for r in x] for s, x in got.items()} == {s: [(r["frame_no"], r["offset"], r["pixels"]) for r in x] for s, x in want.items()}
@@ -240,12 +239,12 @@ import test_streaming as t
 from scanforge.schema import PACKET_SCHEMA
 from scanforge.streaming import correction as streaming
 tables = streaming.Tables({stream!r})
-handle = t.handler(tables)
+handle = streaming.record_completed(tables)
 for i, rows in enumerate(t.many_acquisitions(20)):
     batch = spark.createDataFrame(rows, PACKET_SCHEMA)
     spark.sparkContext.setJobGroup(str(i), "batch")
     handle(batch, i)
-assert tables.processed(spark).count() == 20
+assert tables.completed(spark).count() == 21
 spark.stop()
 """
 
