@@ -32,9 +32,9 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 # Words of a block, at least; a block ends with a text.
-BLOCK_WORDS = 1 << 18
+BLOCK_WORDS = 1 << 16
 # Phrases handed on at a time, and blocks that a reader holds.
-OUT_ROWS = 50_000
+OUT_ROWS = 20_000
 BLOCKS_READ = 64
 READ_ROWS = "spark.sql.parquet.columnarReaderBatchSize"
 # Ids on a tile's side; pairs that a tile must hold to be counted densely.
