@@ -71,17 +71,22 @@ def spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def phrase_places(line: Column, phrase: str) -> Column:
-    """Word positions of a phrase in the words of a text, joined by blanks with one before and after; null where there are none."""
-    n = len(phrase.split())
+def phrase_gaps(line: Column, phrase: str) -> Column:
+    """The words of a text between places of a phrase, the words being joined by blanks with one before and after; null where there are none."""
     gaps = F.split(line, f"(?<= ){phrase}(?= )", -1)
+    return F.when(line.contains(f" {phrase} "), F.slice(gaps, 1, F.size(gaps) - 1))
+
+
+def phrase_places(gaps: Column, phrase: str) -> Column:
+    """Word positions of a phrase from its gaps, a column of its own."""
+
     # A gap holds the blank before the phrase and one more for each word in it; a later gap starts with the blank after the last phrase.
-    def step(acc: Column, gap: Column, full: Column) -> tuple:
+    def step(acc: Column, gap: Column) -> tuple:
         place = (acc["next"] + spaces(gap) - 1).cast("long")
-        return {"next": place + n}, place, F.lit(True)
+        return {"next": place + len(phrase.split())}, F.array(place)
 
-    places = spans.collecting(F.slice(gaps, 1, F.size(gaps) - 1), {"next": F.lit(0).cast("long")}, "bigint", step)
-    return F.when(line.contains(f" {phrase} "), places)
+    places = spans.collecting(gaps, {"next": F.lit(0).cast("long")}, "bigint", step)
+    return F.when(F.size(gaps) > 0, places).otherwise(F.array().cast("array<bigint>"))
 
 
 def scan_base(docs: DataFrame) -> DataFrame:
@@ -95,7 +100,8 @@ def scan_base(docs: DataFrame) -> DataFrame:
         F.array_intersect(strings(VOCABULARY), F.col("words")).alias("licence_words"),
         F.when(some, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))).alias("line"),
     )
-    places = [F.coalesce(phrase_places(F.col("line"), p), F.array().cast("array<bigint>")).alias(label) for p, label in BASE.items()]
+    listed = listed.select("*", *[phrase_gaps(F.col("line"), p).alias(f"gaps_{i}") for i, p in enumerate(BASE)])
+    places = [phrase_places(F.col(f"gaps_{i}"), p).alias(label) for i, (p, label) in enumerate(BASE.items())]
     return listed.select("doc_id", "hash", "n_words", "licence_words", F.array(*places).alias("places"))
 
 

@@ -28,44 +28,55 @@ def with_spans(df: DataFrame, text: str, rules: list[tuple[str, str, Column | No
     found = df.select(*quoted, *[F.when(may(t, p), F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0))).alias(f"{out}_m{i}") for i, (_, p, t, _) in enumerate(rules)])
     columns = [*found.columns]
     found = found.select(*[F.col(f"`{c}`") for c in columns], *[F.when(F.col(f"{out}_m{i}").isNotNull(), F.split(F.col(text), p, -1)).alias(f"{out}_g{i}") for i, (_, p, _, _) in enumerate(rules)])
-    parts = [_rule_spans(F.col(f"{out}_m{i}"), F.col(f"{out}_g{i}"), i, kind, valid) for i, (kind, _, _, valid) in enumerate(rules)]
+    columns = [*found.columns]
+    found = found.select(*[F.col(f"`{c}`") for c in columns], *[_lengths(F.col(f"{out}_m{i}"), F.col(f"{out}_g{i}")).alias(f"{out}_l{i}") for i in range(len(rules))])
+    parts = [_rule_spans(F.col(f"{out}_m{i}"), F.col(f"{out}_g{i}"), F.col(f"{out}_l{i}"), i, kind, valid) for i, (kind, _, _, valid) in enumerate(rules)]
     return found.select(*quoted, F.array_sort(F.concat(*parts)).alias(out))
 
 
-# Values collected by a fold are copied with each new one, so they are set aside in blocks of this many.
+# A fold copies what it has collected with each step, so it works in blocks of this many entries, whose results it sets aside.
 BLOCK = 256
 
 
-def collecting(array: Column, state: dict[str, Column], of: str, step, finish=None) -> Column:
-    """A fold over ``array`` that collects values of type ``of``, linear in its length but for a copy of n / BLOCK references a block.
+def collecting(array: Column, state: dict[str, Column], of: str, step, enter=None, leave=None, finish=None) -> Column:
+    """A fold over ``array``, a column of its own, that collects values of type ``of``: n / BLOCK folds of BLOCK steps.
 
-    ``step(acc, x, full)`` gives (next state, value, whether it is collected); ``full`` is true once in BLOCK values, as a chance to
-    tidy the state up. ``finish(acc, values)`` gives the result, the values alone by default.
+    ``step(acc, x)`` gives (next state, array of values). ``enter(acc, entries)`` gives the state within a block, ``leave(acc, inner)`` the one
+    after it, the same by default. ``finish(acc, values)`` gives the result, the values alone by default.
     """
+    last = F.floor((F.size(array) - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.slice(array, i * BLOCK + 1, BLOCK))
     none = F.array().cast(f"array<{of}>")
-    first = F.struct(*[v.alias(k) for k, v in state.items()], F.array().cast(f"array<array<{of}>>").alias("done"), none.alias("kept"))
+    first = F.struct(*[v.alias(k) for k, v in state.items()], F.array().cast(f"array<array<{of}>>").alias("done"))
 
     def merge(acc: Column, x: Column) -> Column:
-        full = F.size(acc["kept"]) >= BLOCK
-        after, value, wanted = step(acc, x, full)
-        done = F.when(full, F.concat(acc["done"], F.array(acc["kept"]))).otherwise(acc["done"])
-        kept = F.when(full, none).otherwise(acc["kept"])
-        kept = F.when(wanted, F.concat(kept, F.array(value))).otherwise(kept)
-        return F.struct(*[after[k].alias(k) for k in state], done.alias("done"), kept.alias("kept"))
+        after, values = step(acc, x)
+        return F.struct(*[after[k].alias(k) for k in state], F.concat(acc["kept"], values).alias("kept"))
+
+    def block(acc: Column, entries: Column) -> Column:
+        def end(x: Column) -> Column:
+            after = leave(acc, x) if leave else {k: x[k] for k in state}
+            return F.struct(*[after[k].alias(k) for k in state], F.concat(acc["done"], F.array(x["kept"])).alias("done"))
+
+        inside = enter(acc, entries) if enter else {k: acc[k] for k in state}
+        return F.aggregate(entries, F.struct(*[inside[k].alias(k) for k in state], none.alias("kept")), merge, end)
 
-    values = lambda acc: F.concat(F.flatten(acc["done"]), acc["kept"])
-    return F.aggregate(array, first, merge, lambda acc: finish(acc, values(acc)) if finish else values(acc))
+    return F.aggregate(blocks, first, block, lambda acc: finish(acc, F.flatten(acc["done"])) if finish else F.flatten(acc["done"]))
 
 
 def sums_before(array: Column) -> Column:
     """The sum of all entries of an array of longs before each entry."""
-    return collecting(array, {"sum": F.lit(0).cast("long")}, "bigint", lambda acc, x, full: ({"sum": acc["sum"] + x}, acc["sum"], F.lit(True)))
+    return collecting(array, {"sum": F.lit(0).cast("long")}, "bigint", lambda acc, x: ({"sum": acc["sum"] + x}, F.array(acc["sum"])))
 
 
-def _rule_spans(m: Column, g: Column, rank: int, kind: str, valid) -> Column:
-    """Spans of the matches ``m``, given the texts between them, ``g``."""
+def _lengths(m: Column, g: Column) -> Column:
+    """Length of each text between matches together with the match behind it."""
     zipped = F.arrays_zip(g.alias("g"), m.alias("m"))
-    lengths = F.transform(zipped, lambda x: (F.length(x["g"]) + F.coalesce(F.length(x["m"]), F.lit(0))).cast("long"))
+    return F.transform(zipped, lambda x: (F.length(x["g"]) + F.coalesce(F.length(x["m"]), F.lit(0))).cast("long"))
+
+
+def _rule_spans(m: Column, g: Column, lengths: Column, rank: int, kind: str, valid) -> Column:
+    """Spans of the matches ``m``, given the texts between them, ``g``."""
     placed = F.arrays_zip(sums_before(lengths).alias("b"), g.alias("g"), m.alias("m"))
     rows = F.filter(placed, lambda x: x["m"].isNotNull() & valid(x["m"]) if valid else x["m"].isNotNull())
 
@@ -78,22 +89,19 @@ def _rule_spans(m: Column, g: Column, rank: int, kind: str, valid) -> Column:
 
 
 def outside_of(spans: Column, is_base) -> Column:
-    """``spans``, ordered by start, without those that overlap a base span; ``is_base(span)`` tells which those are.
+    """``spans``, a column ordered by start, without those that overlap a base span; ``is_base(span)`` tells which those are.
 
-    One sweep forward for base spans that start before, one backward for those that start behind.
+    The others mustn't overlap one another. Each waits for the next span, which is a base span within its reach or shows that there is none.
     """
+    waiting = F.array().cast(f"array<{SPAN}>")
 
-    def forward(acc: Column, s: Column, full: Column) -> tuple:
+    def step(acc: Column, s: Column) -> tuple:
         reach = F.when(is_base(s), F.greatest(acc["reach"], s["end"])).otherwise(acc["reach"])
-        return {"reach": reach}, s, is_base(s) | (s["start"] >= acc["reach"])
-
-    def backward(acc: Column, s: Column, full: Column) -> tuple:
-        reach = F.when(is_base(s), F.least(acc["reach"], s["start"])).otherwise(acc["reach"])
-        return {"reach": reach}, s, is_base(s) | (s["end"] <= acc["reach"])
+        freed = F.filter(acc["held"], lambda h: ~is_base(s) | (h["end"] <= s["start"]))
+        held = F.when(is_base(s) | (s["start"] < acc["reach"]), waiting).otherwise(F.array(s))
+        return {"reach": reach, "held": held}, F.concat(freed, F.when(is_base(s), F.array(s)).otherwise(waiting))
 
-    far = lambda x: {"reach": F.lit(x).cast("long")}
-    swept = collecting(spans, far(-1), SPAN, forward)
-    return F.reverse(collecting(F.reverse(swept), far(1 << 62), SPAN, backward))
+    return collecting(spans, {"reach": F.lit(-1).cast("long"), "held": waiting}, SPAN, step, finish=lambda acc, values: F.concat(values, acc["held"]))
 
 
 def count_kind(spans: str, kind: str) -> Column:
@@ -118,15 +126,20 @@ def rewrite(text: Column, spans: Column, replacement) -> Column:
     """
     zero = F.lit(0).cast("long")
 
-    def left(acc: Column) -> Column:
-        return F.substring(acc["rest"], (acc["at"] - acc["first"] + 1).cast("int"), F.length(acc["rest"]))
-
-    def step(acc: Column, s: Column, full: Column) -> tuple:
-        # What is left of the text is cut off now and then, so that places are looked up near its beginning.
-        first, rest = F.when(full, acc["at"]).otherwise(acc["first"]), F.when(full, left(acc)).otherwise(acc["rest"])
+    def step(acc: Column, s: Column) -> tuple:
         taken = s["start"] >= acc["at"]
-        gap = F.substring(rest, (acc["at"] - first + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return {"first": first, "at": F.when(taken, s["end"]).otherwise(acc["at"]), "rest": rest}, F.concat(gap, replacement(s)), taken
+        gap = F.substring(acc["rest"], (acc["at"] - acc["first"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        new = F.when(taken, F.array(F.concat(gap, replacement(s)))).otherwise(F.array().cast("array<string>"))
+        return {"first": acc["first"], "at": F.when(taken, s["end"]).otherwise(acc["at"]), "rest": acc["rest"]}, new
+
+    # A block works on its own piece of the text, and what is left of the text begins behind it.
+    def enter(acc: Column, entries: Column) -> dict:
+        upto = F.array_max(F.transform(entries, lambda s: s["end"]))
+        return {"first": acc["first"], "at": acc["at"], "rest": F.substring(acc["rest"], 1, (upto - acc["first"]).cast("int"))}
+
+    def leave(acc: Column, inner: Column) -> dict:
+        rest = F.substring(acc["rest"], (inner["at"] - acc["first"] + 1).cast("int"), F.length(acc["rest"]))
+        return {"first": inner["at"], "at": inner["at"], "rest": rest}
 
-    whole = collecting(spans, {"first": zero, "at": zero, "rest": text}, "string", step, lambda acc, values: F.concat(F.array_join(values, ""), left(acc)))
+    whole = collecting(spans, {"first": zero, "at": zero, "rest": text}, "string", step, enter, leave, lambda acc, values: F.concat(F.array_join(values, ""), acc["rest"]))
     return F.when(F.size(spans) > 0, whole).otherwise(text)

@@ -89,3 +89,46 @@ def test_copies_are_sampled_once(spark):
     copies = spark.createDataFrame([("password=abcdefgh12345678 some words here",)] * 50, "text string")
     assert secrets.random_samples(copies).where("value = 'abcdefgh12345678'").count() == 1
     assert secrets.identifier_samples(copies).where("value = 'some'").count() == 1
+
+
+def test_exception_phrases_end_with_their_words():
+    lexicon = toxicity.Lexicon({"idiot": 4.0, "trash": 4.0, "ass ": 3.0, "蠢": 2.0, "蠢货": 5.0}, ["trash can", "idiot proof"])
+    machine = lexicon.machine()
+    of = lambda text: toxicity.strength(machine, text)
+    assert of("two trash cans") == of("an idiot-proof lock") == of("the trash can") == 0
+    assert of("you are trash cannot code") > 0 and of("idiot proofreader") > 0 and of("trash can trash") == of("x can trash")
+    assert of("what an ass") > 0 == of("assemble the class") and of("ıdıot") == of("idiot")
+    assert of("你是蠢货吗") == 5.0 / np.log2(8 + 2) and of("你很蠢") == 2.0 / np.log2(8 + 2)
+
+
+def test_strength_equals_brute_force():
+    draw = np.random.default_rng(4)
+    weights = {"clown": 4.0, "clownish": 5.0, "trash": 4.0, "ass ": 3.0, "moron": 2.5}
+    phrases = ["trash can", "class clown", "clown fish"]
+    machine = toxicity.Lexicon(weights, phrases).machine()
+    words = "clown clowns clownish trash can cans class fish ass assembly moron the".split()
+    for _ in range(300):
+        folded = f" {' '.join(draw.choice(words, draw.integers(1, 12)))} "
+        barred = {i for p in phrases for q in (f" {p} ", f" {p}s ") for k in range(len(folded)) if folded.startswith(q, k) for i in range(k, k + len(q) - 1)}
+        total = 0.0
+        for k in range(len(folded)):
+            hits = [(len(w), x) for w, x in weights.items() if folded.startswith(f" {w}", k)]
+            total += max(hits)[1] if hits and k not in barred else 0.0
+        assert toxicity.strength(machine, folded) == pytest.approx(total / np.log2(8 + folded.count(" ")))
+
+
+def test_short_words_and_unspaced_scripts_are_learned():
+    assert {"bad ", "good", "goodn"} <= toxicity.beginnings("bad goodn") and "蠢货" in toxicity.beginnings("他是蠢货。")
+
+
+def test_equal_texts_in_different_partitions_score_alike(spark, docs):
+    """Predictions of copies that stand in batches of different company."""
+    net = languages.train(docs)
+    lexicon = toxicity.train(docs.select("text", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    copies = docs.select("text").distinct().crossJoin(spark.range(3).withColumnRenamed("id", "part")).select(F.monotonically_increasing_id().alias("doc_id"), "text", "part").repartition(7, "part")
+    for found in (languages.predict(copies, net).select("doc_id", "lang_pred", F.round("score", 5).alias("score")), toxicity.score(copies, lexicon).select("doc_id", F.lit("").alias("lang_pred"), "score")):
+        by = {}
+        texts = {r["doc_id"]: r["text"] for r in copies.select("doc_id", "text").collect()}
+        for r in found.collect():
+            by.setdefault(texts[r["doc_id"]], set()).add((r["lang_pred"], r["score"]))
+        assert all(len(v) == 1 for v in by.values())

@@ -1,4 +1,9 @@
 import hashlib
+import random
+import re
+import time
+
+import pytest
 
 from llm import brute
 from pyspark.sql import functions as F
@@ -136,3 +141,84 @@ def test_common_notices_keep_their_labels(spark):
         rows = licences.scan(frame(spark, texts)).collect()
         assert [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])] == [["mit"] if t.startswith(notice) else [] for t in texts]
         assert all(r["score"] > 0.99 for r in rows if r["labels"])
+
+
+def test_identifiers_are_no_secrets(spark, docs):
+    """Over a thousand held-out words in capitals, camel case, snake case and pairs in capitals; and as many random strings."""
+    rows = docs.select("doc_id", "text")
+    held = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id >= 500").select("text")
+    words = sorted({w.lower() for r in held.collect() if r["text"] for w in re.findall(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][a-z]{7,}(?![A-Za-z0-9+/_=-])", r["text"])})[:2000]
+    plain = [f for a, b in zip(words[::2], words[1::2]) for f in (f"{a}{b.title()}", f"{a}_{b}", (a + b).upper(), f"{a}_{b}".upper(), a.upper() * 2)]
+    plain = [p for p in plain if len(p) >= 16]
+    draw = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    secret = ["".join(draw.choice(letters) for _ in range(n)) for n in (20, 24, 32) for _ in range(300)]
+    texts = spark.createDataFrame([(10_000 + i, f"see {t} here") for i, t in enumerate(plain + secret)], "doc_id bigint, text string")
+    ratios = secrets.train(rows)
+    got = {r["doc_id"]: [s["value"] for s in r["spans"] if s["kind"] == "random"] for r in secrets.with_secrets(texts, ratios, "text", "spans").collect()}
+    assert len(plain) > 1000 and sum(bool(got[10_000 + i]) for i in range(len(plain))) == 0
+    assert sum(bool(got[10_000 + len(plain) + i]) for i in range(len(secret))) > 0.95 * len(secret)
+
+
+def plain_ratio(value, ratios):
+    codes = [secrets.CHARACTERS.index(c) for c in value]
+    return sum(ratios[a * len(secrets.CHARACTERS) + b] for a, b in zip(codes, codes[1:]))
+
+
+def test_added_spans_equal_brute_force(spark, docs):
+    """Random runs that overlap no rule span, judged one by one."""
+    more = [(20_000, "a token=Zx9Qp3LmT7vRk2WbN8sYd4Hc, Zx9Qp3LmT7vRk2WbN8sYd4Hc q7Gh2LxPz9VtRw4KmB3nCy8Js1"), (20_001, ""), (20_002, None)]
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()} | dict(more)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    ratios = secrets.train(docs)
+    found = secrets.with_secrets(rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ratios, "text", "spans").collect()
+    n_random = 0
+    for r in found:
+        text = texts[r["doc_id"]] or ""
+        base = brute.secret(text)
+        runs = [m for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}", text) if plain_ratio(m[0], ratios) >= secrets.MARGIN]
+        want = [("random", m.start(), m.end()) for m in runs if not any(a < m.end() and m.start() < b for _, a, b in base)]
+        assert [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"] == want
+        n_random += len(want)
+    assert n_random >= 2
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000])
+def test_folds_over_spans(spark, n):
+    draw = random.Random(n)
+    at, free, rows = 0, 0, []
+    for i in range(n):
+        at += draw.randrange(0, 6)
+        end = at + draw.randrange(1, 8)
+        kind = draw.choice(["random", "hex"]) if at >= free else "hex"
+        free = end if kind == "random" else free
+        rows.append((at, i % 3, end, kind, "v"))
+    rows = sorted(rows)
+    text = "".join(draw.choice("abcé😀") for _ in range(at + 20))
+    df = spark.createDataFrame([(text, rows, [r[2] - r[0] for r in rows])], f"text string, spans array<{spans.SPAN}>, n array<bigint>")
+    got = df.select(
+        spans.outside_of(F.col("spans"), lambda s: s["kind"] != "random").alias("outside"), spans.sums_before(F.col("n")).alias("sums"),
+        spans.rewrite(F.col("text"), F.col("spans"), lambda s: F.concat(F.lit("<"), s["kind"], F.lit(">"))).alias("new"),
+    ).first()
+    base = [r for r in rows if r[3] == "hex"]
+    assert [tuple(s) for s in got["outside"]] == [r for r in rows if r[3] == "hex" or not any(b[0] < r[2] and r[0] < b[2] for b in base)]
+    assert got["sums"] == [sum(r[2] - r[0] for r in rows[:i]) for i in range(n)]
+    new, end = [], 0
+    for r in rows:
+        if r[0] >= end:
+            new += [text[end : r[0]], f"<{r[3]}>"]
+            end = r[2]
+    assert got["new"] == "".join(new) + text[end:]
+
+
+def test_many_matches_in_one_text(spark):
+    """200,000 matches in a text take seconds, not hours."""
+    n = 200_000
+    start = time.time()
+    row = private_data.find_base(spark.createDataFrame([(1, "10.0.0.1 é " * n)], "doc_id bigint, text string")).select(F.size("spans").alias("n"), F.element_at("spans", -1).alias("last")).first()
+    assert row["n"] == n and (row["last"]["start"], row["last"]["end"]) == (11 * (n - 1), 11 * (n - 1) + 8)
+    marked = secrets.redact(spark.createDataFrame([(1, "token=abcdef1 é " * n)], "doc_id bigint, text string"))
+    assert marked.first()["text"] == "[assign] é " * n
+    places = licences.scan_base(spark.createDataFrame([(1, "cc by é " * n)], "doc_id bigint, text string")).select(F.get("places", 0).alias("p")).first()["p"]
+    assert places == list(range(0, 3 * n, 3))
+    assert time.time() - start < 120

@@ -115,7 +115,7 @@ def test_variants_equal_brute_force(spark):
         i = draw.randrange(len(w))
         return draw.choice([w, w[:i] + w[i + 1 :], w[:i] + draw.choice(letters) + w[i:], w[:i] + draw.choice(letters) + w[i + 1 :]])
 
-    rows = [(i, " ".join(draw.choice(["", "", "-", "9"]).join([edited(edited(draw.choice(stems)))]) for _ in range(400))) for i in range(6)]
+    rows = [(i, " ".join(draw.choice(["", "", "-", "9"]).join([edited(edited(draw.choice(stems)))]) for _ in range(900))) for i in range(6)]
     rows += [(None, "HARBOUR harbour harbour"), (7, None), (8, ""), (8, "signal signal"), (8, "signal signal")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("word", F.lit("x"))
     words = brute.variant_words(rows)
