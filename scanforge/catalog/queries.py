@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from scanforge.catalog import inputs as I
 from scanforge.operators import assemble, background, debounce, decode, flatfield, integrity, matrix, select
 from scanforge.plans import correction
+from scanforge.plans.run import Outputs, correct_packets
 from scanforge.plans.tables import save, shared_dir
-from scanforge.sinks.histogram_log import log_lines, read_log, write_log
-from scanforge.sinks.raw import export_raw
+from scanforge.sinks.histogram_log import log_lines, log_table, read_log, write_log
+from scanforge.sinks.raw import export_raw, raw_table
 from scanforge.sinks.tables import store_noise_means
 from scanforge.sources import calibration as cal
 from scanforge.sources import packets as sources
-from scanforge.sources.raw_files import cut_into_chunks, read_exported
+from scanforge.sources.raw_files import cut_into_chunks, read_exported, read_listed
 from scanforge.streaming import correction as streaming
 from scanforge.streaming.join import raw_operation_stream_join
 
@@ -157,6 +158,20 @@ def integrity_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused.select("experiment", "subdir_str", "filename", "chunk_i", F.col("arrival_order").cast("bigint").alias("arrival_order"), "n_bytes")
 
 
+@query(
+    PACKETS
+    + """select experiment, subdir_str, filename, chunk_i, arrival_order, cast(octet_length(encode(data)) as bigint) as n_bytes
+from packets where not hash_ok"""
+)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream sets aside by its policy."""
+    folder = shared_dir(spark)
+    tables = streaming.Tables(f"{folder}/stream", partition_by=[])
+    packets = _incoming(I.conversation_packets(spark, sf_dir), f"{folder}/incoming")
+    streaming.start(packets, streaming.record_completed(tables), tables, once=True, policy="quarantine", emit=None).awaitTermination()
+    return tables.quarantined(spark).select("experiment", "subdir_str", "filename", "chunk_i", F.col("arrival_order").cast("bigint").alias("arrival_order"), "n_bytes")
+
+
 @query(PACKETS + "select experiment, subdir_str, filename, chunk_i, hash_ok, data from best")
 def latest_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = integrity.latest_chunks(_packets(spark, sf_dir), ["hash_ok", "data"])
@@ -486,6 +501,22 @@ def stream_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _corrected_pixels(decode.unpack_pixels(tables.corrected(spark), I.SMALL))
 
 
+@query(
+    CORRECTED
+    + """select experiment, subdir_str, frame_no, pos, floor((cast(value as double)) * 1e4 + 0.5e0) / 1e4 as value,
+  concat(hist_max, ' : ', hist_arg) as line from corrected"""
+)
+def run_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole run that also writes its logs and raw files; both read back and joined."""
+    packets, folder = I.landed_embedding_packets(spark, sf_dir)
+    calibration = cal.as_arrays(I.small_calibration(spark), I.SMALL)
+    correct_packets(packets, calibration, I.SMALL, f"{folder}/run", outputs=Outputs(log=True, raw="<"))
+    raw = raw_table(spark, f"{folder}/run")
+    pixels = _corrected_pixels(read_listed(raw.load(), raw.files_path, I.SMALL))
+    lines = log_table(spark, f"{folder}/run").load().withColumn("subdir_str", F.regexp_extract("log_name", r"^hist_(.*)\.txt$", 1)).drop("log_name")
+    return pixels.join(lines, FRAME)
+
+
 @query(
     WORDS
     + """select m.experiment, m.noise_subdir, m.parity, m.pos, floor(m.mean * 1e6 + 0.5e0) / 1e6 as mean,
@@ -525,6 +556,20 @@ def frame_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debounce.frame_histogram(I.event_readings(spark, sf_dir), ["frame"])
 
 
+@query(
+    READINGS
+    + """select cast(-205 + 10 * i as double) as edge, count(r.value) as n from unnest(range(42)) t(i)
+left join readings r on least(cast(floor((r.value + 205) / 10) as bigint), 41) = i and r.value >= -205 and r.value < 215 group by i"""
+)
+def edge_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of all frames on the layout's edges, empty bins included."""
+    rule = debounce.RULE
+    edges = matrix.arange(rule.low, rule.high - rule.step, rule.step)
+    layout = spark.range(1).select(F.posexplode(edges).alias("bin", "edge"))
+    counts = debounce.frame_histogram(I.event_readings(spark, sf_dir), ["frame"]).groupBy(F.col("bin").cast("int").alias("bin")).agg(F.sum("n").alias("n"))
+    return layout.join(counts, "bin", "left").select("edge", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
 @query(READING_OFFSETS + "select frame, hist_max, hist_arg from offsets")
 def histogram_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debounce.histogram_mode(I.event_readings(spark, sf_dir), ["frame"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1024
-LEVELS = 4
+LEVELS = 2
 
 
 def running_sum(rows: DataFrame, by: list[str], position: str, value: str, out: str, block: int | None = None, levels: int = LEVELS) -> DataFrame:

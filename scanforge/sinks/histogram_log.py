@@ -13,7 +13,7 @@ from scanforge.plans.ledger import Ledger, Part
 
 LOG_SCHEMA = "experiment string, log_name string, frame_no bigint, line string"
 # A task may write a log in several files, numbered after its own number.
-FILES_OF_TASK = 1_000_000
+FILES_OF_TASK = 1024
 
 
 def log_lines(stats: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scanforge.config import ENVELOPE_FIELDS
 from scanforge.functions.envelope import decode_envelopes
+from scanforge.operators.select import with_experiment
 from scanforge.schema import PACKET_SCHEMA
 
 TEXT_FIELDS = ("filename", "subdir_str", "filename_append")
@@ -86,5 +87,5 @@ def decode_packets(messages: DataFrame, experiment: str, on_error: str = "fail")
     decoded = ordered.mapInArrow(
         decode_envelopes(dict(ENVELOPE_FIELDS), TEXT_FIELDS, on_error == "flag"), schema
     )
-    packets = decoded.withColumn("experiment", F.lit(experiment))
+    packets = with_experiment(decoded, experiment)
     return packets if on_error == "flag" else packets.drop("decode_error")
