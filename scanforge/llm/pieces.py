@@ -29,6 +29,7 @@ from dataclasses import dataclass, field
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +41,10 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 # Piece types of the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-BLANK_TO_MARK = {32: MARK}
 # A longer word isn't kept after its batch.
 LONG_WORD = 64
 CACHED_CHARACTERS = 100_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 CACHED_PAIRS = 2_000_000
 
 
@@ -131,6 +131,7 @@ class Transducer:
     unknown: int = 0
     unknown_weight: float = 0.0
     words_in: re.Pattern = re.compile("")
+    lead: str = ""
 
     def __post_init__(self):
         m = self.model
@@ -141,15 +142,17 @@ class Transducer:
                 self.unknown = i
             elif kind in (NORMAL, USER):
                 self.arcs[piece] = i
-        for piece in self.arcs:
+        # Single characters need no search: each is the arc where no longer one fits.
+        for piece in [p for p in self.arcs if len(p) > 1]:
             self.endings.add_word(piece, (len(piece), self.arcs[piece]))
-        if not self.arcs:
+        if not len(self.endings):
             self.endings.add_word("\0\0", (2, 0))
         self.endings.make_automaton()
         self.labels, self.texts = [(i,) for i in range(len(m.pieces))], list(m.pieces)
         self.plain = [None if k == BYTE else " ⁇ " if k == UNKNOWN else "" if k == CONTROL else p for p, k in zip(m.pieces, m.types)]
         self.longest = max(map(len, self.arcs), default=1)
         by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
+        self.lead = MARK if by_word and m.front_mark else ""
         self.words_in = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if by_word else ".+", re.DOTALL)
         if m.kind == BPE:
             self.learn_merges()
@@ -288,19 +291,26 @@ class Transducer:
 
     def normal(self, text: str) -> str:
         """The normaliser: one state, an arc from each character to itself but for the blank, and a mark on the way in."""
-        return ((MARK if self.model.front_mark else "") + text).translate(BLANK_TO_MARK)
+        return (MARK if self.model.front_mark else "") + text.replace(" ", MARK)
+
+    def split(self, text: str) -> list[str]:
+        """Words of a text, without the mark that they all begin with (``lead``)."""
+        if self.lead and "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        words = self.words_in.findall(self.normal(text))
+        return [w[1:] for w in words] if self.lead else words
 
     def encode_all(self, texts: list[str | None]) -> list[list[int] | None]:
         """Ids of each text. Different words that aren't known yet are searched together, in order."""
-        split = [self.words_in.findall(self.normal(t)) if t else [] for t in texts]
+        split = [self.split(t) if t else [] for t in texts]
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        new = sorted({w for words in split for w in words if w not in self.words})
+        labels, words, lead = self.labels, self.words, self.lead
+        new = sorted(set(chain.from_iterable(split)).difference(words))
         search = self.bpe_paths if self.model.kind == BPE else self.unigram_paths
-        labels, words = self.labels, self.words
-        for word, path in zip(new, search(new)):
+        for word, path in zip(new, search([lead + w for w in new])):
             words[word] = tuple(chain.from_iterable([labels[n] for n in path]))
-        out = [None if t is None else list(chain.from_iterable([words[w] for w in some])) for t, some in zip(texts, split)]
+        out = [None if t is None else list(chain.from_iterable(map(words.__getitem__, some))) for t, some in zip(texts, split)]
         for word in new:
             if len(word) > LONG_WORD:
                 del words[word]
@@ -348,13 +358,31 @@ def compiled(model: Model) -> Transducer:
     return kept[model.name]
 
 
+def as_lists(rows: list[list[int] | None]) -> pa.Array:
+    """Arrow lists by way of one flat array, since Arrow takes single Python numbers slowly."""
+    ends = np.cumsum([0, *[len(r) if r else 0 for r in rows]], dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable([r for r in rows if r]), np.int32, ends[-1])
+    nulls = np.array([r is None for r in rows] + [False])
+    return pa.ListArray.from_arrays(pa.array(ends, mask=nulls), pa.array(flat))
+
+
+def from_lists(rows: pa.Array) -> Iterator[list[int | None] | None]:
+    """The way back; lists with nulls within take the slow one."""
+    if rows.values.null_count:
+        yield from rows.to_pylist()
+        return
+    ends, flat = rows.offsets.to_numpy(), rows.values.to_numpy()
+    for i, known in enumerate(rows.is_valid().to_pylist()):
+        yield flat[ends[i] : ends[i + 1]].tolist() if known else None
+
+
 def encode(text: Column, model) -> Column:
     """Ids of each text; ``model`` is a broadcast Model."""
 
     @F.arrow_udf("array<int>")
     def encoded(texts: pa.Array) -> pa.Array:
         machine = compiled(model.value)
-        return pa.array(machine.encode_all(texts.to_pylist()), pa.list_(pa.int32()))
+        return as_lists(machine.encode_all(texts.to_pylist()))
 
     return encoded(text)
 
@@ -363,7 +391,7 @@ def decode(ids: Column, model) -> Column:
     @F.arrow_udf("string")
     def decoded(rows: pa.Array) -> pa.Array:
         machine = compiled(model.value)
-        return pa.array([None if r is None else machine.decode(r) for r in rows.to_pylist()], pa.string())
+        return pa.array([None if r is None else machine.decode(r) for r in from_lists(rows)], pa.string())
 
     return decoded(ids)
 
