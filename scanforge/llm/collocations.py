@@ -32,7 +32,7 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 # Words of a block, at least; a block ends with a text.
-BLOCK_WORDS = 1 << 16
+BLOCK_WORDS = 1 << 17
 # Phrases handed on at a time, and blocks that a reader holds.
 OUT_ROWS = 20_000
 BLOCKS_READ = 64
@@ -110,10 +110,11 @@ def encode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def count_pairs(left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Different pairs of ids below ``n`` as left * n + right, ordered, and their counts; ids are ranks, commonest first."""
     keys, counts = [], []
-    low = (left < SIDE * TILE) & (right < SIDE * TILE)
-    tile = np.where(low, (left // TILE) * SIDE + right // TILE, SIDE * SIDE)
-    dense = np.flatnonzero(np.bincount(tile, minlength=SIDE * SIDE + 1)[:-1] >= DENSE)
-    slot = np.full(SIDE * SIDE + 1, -1)
+    side = min(SIDE, n // TILE + 1)
+    low = (left < side * TILE) & (right < side * TILE)
+    tile = np.where(low, (left // TILE) * side + right // TILE, side * side)
+    dense = np.flatnonzero(np.bincount(tile, minlength=side * side + 1)[:-1] >= DENSE)
+    slot = np.full(side * side + 1, -1)
     slot[dense] = np.arange(len(dense))
     slot = slot[tile]
     for i in range(0, len(dense), TILES_AT_ONCE):
@@ -121,7 +122,7 @@ def count_pairs(left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray
         cells = np.bincount(((slot[inside] - i) * TILE + left[inside] % TILE) * TILE + right[inside] % TILE)
         at = np.flatnonzero(cells)
         t = dense[i + at // (TILE * TILE)]
-        keys.append((t // SIDE * TILE + at // TILE % TILE) * n + t % SIDE * TILE + at % TILE)
+        keys.append((t // side * TILE + at // TILE % TILE) * n + t % side * TILE + at % TILE)
         counts.append(cells[at])
     coo = np.sort((left * n + right)[slot < 0])
     first = np.flatnonzero(np.concatenate([[True], coo[1:] != coo[:-1]])) if len(coo) else np.empty(0, np.int64)
