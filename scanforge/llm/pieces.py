@@ -10,8 +10,10 @@ piece, and an arc weighs 0 where merging leaves the two pieces apart and infinit
 encoding if and only if each pair of neighbours is, so one path of finite weight is left, and one state for each position. Pairs
 are decided by undoing the merges of the two pieces at their border, once for each pair. The arcs into a position are found by an automaton over all pieces.
 
-Words are independent where no piece has the mark behind another character; then each different word is searched once per
-task, in a cache of bounded size. Those of a batch are searched in order, each from what it shares with the one before.
+Words are independent where no piece has the mark behind another character. A BPE model's words fall into parts further, at borders between
+two characters that stand side by side in no piece, since no arc but those of the characters themselves ends or starts across one. The words of a
+batch, and then their parts, become a dictionary; each different part is searched once and kept in a cache of bounded size. Those of a batch are
+searched in order, each from what it shares with the one before. Caches end with their task, as a worker may serve other queries afterwards.
 
 Defined results: a null text has null ids, an empty text none; text of any length is encoded whole; the mark itself is read as a
 blank; ids outside of the model decode to nothing, control pieces likewise, bytes that are no UTF-8 to U+FFFD. Each row stands
@@ -31,6 +33,7 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +44,12 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 # Piece types of the model format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-# A longer word isn't kept after its batch.
+# A longer part isn't kept after its batch.
 LONG_WORD = 64
+# Some 200 bytes each.
 CACHED_CHARACTERS = 100_000
-CACHED_WORDS = 600_000
-CACHED_PAIRS = 2_000_000
+CACHED_WORDS = 300_000
+CACHED_PAIRS = 400_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -122,6 +126,10 @@ class Transducer:
     other: dict[str, int] = field(default_factory=dict)
     plain: list[str | None] = field(default_factory=list)
     words: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    # Characters side by side in a piece, as numbers in order.
+    beside: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    by_word: bool = False
+    shown: pa.Array | None = None
     order: dict[str, int] = field(default_factory=dict)
     made_of: dict[str, tuple[str, str]] = field(default_factory=dict)
     unmade: set[str] = field(default_factory=set)
@@ -151,11 +159,17 @@ class Transducer:
         self.labels, self.texts = [(i,) for i in range(len(m.pieces))], list(m.pieces)
         self.plain = [None if k == BYTE else " ⁇ " if k == UNKNOWN else "" if k == CONTROL else p for p, k in zip(m.pieces, m.types)]
         self.longest = max(map(len, self.arcs), default=1)
-        by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
-        self.lead = MARK if by_word and m.front_mark else ""
-        self.words_in = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if by_word else ".+", re.DOTALL)
+        self.by_word = all(MARK not in p.lstrip(MARK) for p in self.arcs)
+        self.lead = MARK if self.by_word and m.front_mark else ""
+        self.words_in = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if self.by_word else ".+", re.DOTALL)
+        # What decoding shows; bytes from 0x80 on need their neighbours. A byte below is a character whatever stands beside it.
+        shown = [p.replace(MARK, " ") if p is not None else None for p in self.plain]
+        for byte, i in self.bytes_of.items():
+            shown[i] = chr(byte) if byte < 0x80 else None
+        self.shown = pa.array([*shown, None], pa.string())
         if m.kind == BPE:
             self.learn_merges()
+            self.beside = np.array(sorted({(ord(x) << 21) + ord(y) for p in self.arcs for x, y in zip(p, p[1:])}), np.int64)
         self.unknown_weight = 10 - min(m.scores, default=0.0)
 
     def merged(self, text: str, n: int = 1) -> list[str]:
@@ -300,23 +314,74 @@ class Transducer:
         words = self.words_in.findall(self.normal(text))
         return [w[1:] for w in words] if self.lead else words
 
-    def encode_all(self, texts: list[str | None]) -> list[list[int] | None]:
-        """Ids of each text. Different words that aren't known yet are searched together, in order."""
-        split = [self.split(t) if t else [] for t in texts]
+    def search(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Ids of different words or parts, marks included. Those that aren't known yet are searched together, in order."""
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        labels, words, lead = self.labels, self.words, self.lead
-        new = sorted(set(chain.from_iterable(split)).difference(words))
-        search = self.bpe_paths if self.model.kind == BPE else self.unigram_paths
-        for word, path in zip(new, search([lead + w for w in new])):
-            words[word] = tuple(chain.from_iterable([labels[n] for n in path]))
-        out = [None if t is None else list(chain.from_iterable(map(words.__getitem__, some))) for t, some in zip(texts, split)]
-        for word in new:
-            if len(word) > LONG_WORD:
-                del words[word]
         if len(self.labels) > len(self.model.pieces) + CACHED_CHARACTERS:
             self.forget_characters()
-        return out
+        known, labels = self.words, self.labels
+        new = sorted(w for w in words if w not in known)
+        paths = self.bpe_paths if self.model.kind == BPE else self.unigram_paths
+        for word, path in zip(new, paths(new)):
+            known[word] = tuple(chain.from_iterable([labels[n] for n in path]))
+        found = [known[w] for w in words]
+        for word in new:
+            if len(word) > LONG_WORD:
+                del known[word]
+        return found
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int] | None]:
+        """Ids of each text, whatever blanks and marks it has."""
+        split = [self.split(t) if t else [] for t in texts]
+        words = list(set(chain.from_iterable(split)))
+        ids = dict(zip(words, self.search([self.lead + w for w in words])))
+        return [None if t is None else list(chain.from_iterable(map(ids.__getitem__, some))) for t, some in zip(texts, split)]
+
+    def encode_array(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text. Texts with single blanks between words, and no mark, go by way of a dictionary of their words; others by ``encode_all``."""
+        texts = texts.cast(pa.string())
+        plain = self.plainly_spaced(texts) if self.by_word else np.zeros(len(texts), bool)
+        odd = as_lists(self.encode_all(texts.filter(pa.array(~plain)).to_pylist()))
+        if not plain.any():
+            return odd
+        even = self.encode_spaced(texts.filter(pa.array(plain)))
+        place = np.where(plain, np.cumsum(plain) - 1, len(even) + np.cumsum(~plain) - 1)
+        return pa.concat_arrays([even, odd]).take(pa.array(place)) if len(odd) else even
+
+    def plainly_spaced(self, texts: pa.Array) -> np.ndarray:
+        """Which texts aren't null or empty, have no mark, and single blanks within only."""
+        odd = np.zeros(len(texts), bool)
+        for mask in (pc.is_null(texts), pc.equal(pc.binary_length(texts), 0), pc.match_substring(texts, MARK), pc.starts_with(texts, " "), pc.ends_with(texts, " "), pc.match_substring(texts, "  ")):
+            odd |= mask.fill_null(True).to_numpy(zero_copy_only=False)
+        return ~odd
+
+    def encode_spaced(self, texts: pa.Array) -> pa.Array:
+        """Ids of plainly spaced texts: of the different parts, put together to the different words, and these to the texts."""
+        if self.lead:
+            texts = pc.binary_join_element_wise("", texts, " ")
+        ends, data = string_buffers(texts)
+        words, first_word = cut_strings(data, ends, np.flatnonzero(data == ord(" ")))
+        words = words.dictionary_encode()
+        ends, data = string_buffers(words.dictionary)
+        parts, first_part = cut_strings(data, ends, self.borders(data))
+        parts = parts.dictionary_encode()
+        ids = as_lists(self.search([p.replace(" ", MARK) for p in parts.dictionary.to_pylist()]))
+        return together(together(ids, parts.indices, first_part), words.indices, first_word)
+
+    def borders(self, data: np.ndarray) -> np.ndarray:
+        """Places in UTF-8 between characters that no piece has side by side, blanks being marks; none in a unigram model."""
+        if self.model.kind != BPE:
+            return np.empty(0, np.int64)
+        chars = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").replace(" ", MARK).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        pairs = (chars[:-1] << 21) + chars[1:]
+        near = np.append(self.beside, -1)[np.searchsorted(self.beside, pairs)]
+        return np.flatnonzero((data & 0xC0) != 0x80)[1:][near != pairs]
+
+    def forget(self) -> None:
+        """Empties the caches; what was compiled from the model stays."""
+        self.words.clear()
+        self.forget_characters()
 
     def forget_characters(self) -> None:
         n = len(self.model.pieces)
@@ -350,7 +415,7 @@ class Transducer:
 
 
 def compiled(model: Model) -> Transducer:
-    """The transducer of a model; a Python worker keeps the last one, and its caches, between tasks."""
+    """The transducer of a model; a Python worker keeps the last one between tasks, without its caches."""
     kept = sys.__dict__.setdefault("_piece_transducers", {})
     if model.name not in kept:
         kept.clear()
@@ -358,7 +423,7 @@ def compiled(model: Model) -> Transducer:
     return kept[model.name]
 
 
-def as_lists(rows: list[list[int] | None]) -> pa.Array:
+def as_lists(rows: list[tuple[int, ...] | list[int] | None]) -> pa.Array:
     """Arrow lists by way of one flat array, since Arrow takes single Python numbers slowly."""
     ends = np.cumsum([0, *[len(r) if r else 0 for r in rows]], dtype=np.int32)
     flat = np.fromiter(chain.from_iterable([r for r in rows if r]), np.int32, ends[-1])
@@ -366,23 +431,57 @@ def as_lists(rows: list[list[int] | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, mask=nulls), pa.array(flat))
 
 
-def from_lists(rows: pa.Array) -> Iterator[list[int | None] | None]:
-    """The way back; lists with nulls within take the slow one."""
-    if rows.values.null_count:
-        yield from rows.to_pylist()
-        return
-    ends, flat = rows.offsets.to_numpy(), rows.values.to_numpy()
-    for i, known in enumerate(rows.is_valid().to_pylist()):
-        yield flat[ends[i] : ends[i + 1]].tolist() if known else None
+def string_buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an array without nulls, from 0 on."""
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return ends - ends[0], data[ends[0] : ends[-1]]
+
+
+def cut_strings(data: np.ndarray, ends: np.ndarray, places: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Strings cut further at ``places``, and the number of the first piece of each (and one more, behind the last)."""
+    cuts = np.union1d(ends, places).astype(np.int32)
+    return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))), np.searchsorted(cuts, ends)
+
+
+def together(lists: pa.Array, numbers: pa.Array, first: np.ndarray) -> pa.Array:
+    """Lists by their numbers, those from each ``first`` to the next made one."""
+    taken = lists.take(numbers)
+    return pa.ListArray.from_arrays(pa.array(taken.offsets.to_numpy()[first]), taken.values)
+
+
+def decode_array(machine: Transducer, rows: pa.Array) -> pa.Array:
+    """Texts of lists of ids. Pieces are looked up and joined as arrays; rows with bytes of longer characters, or ids outside of the model, one by one."""
+    ends, flat = rows.offsets.to_numpy(), rows.values
+    last = len(machine.shown) - 1
+    ids = flat.fill_null(-1).to_numpy()
+    ids = np.where((ids >= 0) & (ids < last), ids, last)
+    parts = machine.shown.take(pa.array(ids))
+    missing = np.concatenate([[0], np.cumsum(parts.is_null().to_numpy(zero_copy_only=False))])[ends]
+    text = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), parts.fill_null("")), "")
+    if machine.model.front_mark:
+        text = pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text)
+    text = pc.if_else(rows.is_valid(), text, None)
+    slow = np.flatnonzero(missing[1:] > missing[:-1])
+    if not len(slow):
+        return text
+    mask = np.zeros(len(rows), bool)
+    mask[slow] = True
+    return pc.replace_with_mask(text, pa.array(mask), pa.array([None if r is None else machine.decode(r) for r in rows.take(pa.array(slow)).to_pylist()], pa.string()))
 
 
 def encode(text: Column, model) -> Column:
     """Ids of each text; ``model`` is a broadcast Model."""
 
     @F.arrow_udf("array<int>")
-    def encoded(texts: pa.Array) -> pa.Array:
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = compiled(model.value)
-        return as_lists(machine.encode_all(texts.to_pylist()))
+        try:
+            for texts in batches:
+                yield machine.encode_array(texts)
+        finally:
+            machine.forget()
 
     return encoded(text)
 
@@ -390,16 +489,31 @@ def encode(text: Column, model) -> Column:
 def decode(ids: Column, model) -> Column:
     @F.arrow_udf("string")
     def decoded(rows: pa.Array) -> pa.Array:
-        machine = compiled(model.value)
-        return pa.array([None if r is None else machine.decode(r) for r in from_lists(rows)], pa.string())
+        return decode_array(compiled(model.value), rows)
 
     return decoded(ids)
 
 
+def encode_and_back(text: Column, model) -> Column:
+    """struct(ids, restored): ids of each text, and the text that they decode to. One call, so that a text is encoded once."""
+
+    @F.arrow_udf("struct<ids:array<int>,restored:string>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        machine = compiled(model.value)
+        try:
+            for texts in batches:
+                ids = machine.encode_array(texts)
+                yield pa.StructArray.from_arrays([ids, decode_array(machine, ids)], ["ids", "restored"])
+        finally:
+            machine.forget()
+
+    return coded(text)
+
+
 def tokenise(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """doc_id, text, ids and restored (the text decoded from the ids) of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     text_batches(spark)
     model = spark.sparkContext.broadcast(read_model(spark, path))
-    rows = docs.select("doc_id", "text", encode(F.col("text"), model).alias("ids"))
-    return rows.select("doc_id", "text", "ids", decode(F.col("ids"), model).alias("restored"))
+    rows = docs.select("doc_id", "text", encode_and_back(F.col("text"), model).alias("coded"))
+    return rows.select("doc_id", "text", "coded.ids", "coded.restored")

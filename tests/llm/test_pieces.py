@@ -1,5 +1,8 @@
 import os
+import random
+import sys
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from scanforge.llm import pieces
@@ -52,3 +55,61 @@ def test_odd_ids(model):
     assert machine.decode([]) == "" and machine.decode([None, -1, 10**6, 1, 2]) == ""
     byte = machine.bytes_of[0xFF]
     assert machine.decode([byte]) == "�"
+
+
+def kept_in_workers(spark, n=16):
+    """Most words and pairs that any Python worker's transducers hold."""
+
+    def look(batches):
+        kept = [len(m.words) + len(m.pairs) for m in sys.__dict__.get("_piece_transducers", {}).values()]
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [max(kept, default=-1)]})
+
+    return [r["n"] for r in spark.range(0, n, 1, n).mapInArrow(look, "n bigint").collect()]
+
+
+def test_workers_keep_no_caches(spark, docs):
+    """A worker goes on to other queries, whose memory its caches would take."""
+    assert pieces.tokenise(docs.repartition(8)).where("restored = text").count() > 0
+    found = kept_in_workers(spark)
+    assert max(found) == 0, found
+
+
+def test_a_text_is_encoded_once(spark, docs):
+    """Ids and the way back come of one call."""
+    plan = pieces.tokenise(docs)._jdf.queryExecution().executedPlan().toString()
+    calls = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert len(calls) == 1 and "decoded(" not in calls[0] and calls[0].count("coded(text") == 1
+
+
+def test_arrays_equal_single_texts(spark, model, docs):
+    """The dictionary of words and parts gives what each text gives by itself, in any mix, with slices and nulls."""
+    machine, alone = pieces.Transducer(model), pieces.Transducer(model)
+    texts = [r["text"] for r in docs.collect()][:60] + [None, *ODD, "a\nb.\nC, d", "x", "é\x80\u0100 ߿", "one two", "one\u00a0two"]
+    random.Random(5).shuffle(texts)
+    for part in (pa.array(texts, pa.string()), pa.array(texts, pa.string())[3:40], pa.array([None, None], pa.string()), pa.array([], pa.string()), pa.array(["  "]), pa.array(["a b"], pa.large_string())):
+        ids = machine.encode_array(part)
+        assert ids.to_pylist() == [None if t is None else alone.encode(t) for t in part.to_pylist()]
+        restored = pieces.decode_array(machine, ids).to_pylist()
+        assert restored == [None if t is None else t.replace(pieces.MARK, " ") for t in part.to_pylist()]
+    odd = pa.array([None, [], [None, 5], [-1, 10**6], [0, 1, 2], [machine.bytes_of[0xC3], machine.bytes_of[0x0A]], [machine.bytes_of[0x20], 5]], pa.list_(pa.int32()))
+    assert pieces.decode_array(machine, odd).to_pylist() == [None if r is None else alone.decode(r) for r in odd.to_pylist()]
+
+
+def test_each_part_is_searched_once(model):
+    """Words that differ in what stands around their letters share a search."""
+    machine, searched = pieces.Transducer(model), []
+    search = machine.bpe_paths
+    machine.bpe_paths = lambda words: (searched.extend(words), search(words))[1]
+    text = "qzot\nqzot\nQzotim, qzot\nQzotim qzot\n"
+    assert machine.encode_array(pa.array([text, text])).to_pylist() == [pieces.Transducer(model).encode(text)] * 2
+    assert len(searched) == len(set(searched)) and all("\n" not in w or w == "\n" for w in searched)
+
+
+def test_models_without_a_front_mark():
+    vocabulary = {"▁": -2.0, "a": -3.0, "b": -3.5, "ab": -4.0, "▁a": -3.5, "ba": -5.0}
+    for kind in (pieces.UNIGRAM, pieces.BPE):
+        for pieces_of in (list(vocabulary), [*vocabulary, "b▁a"]):
+            model = pieces.Model(pieces_of, [*vocabulary.values(), -6.0][: len(pieces_of)], [pieces.NORMAL] * len(pieces_of), kind, front_mark=False)
+            for text in ("ab a", "a b ab ba", "b a", " a", "a  b", "ba\nab c"):
+                assert pieces.Transducer(model).encode_array(pa.array([text])).to_pylist() == [pieces.Transducer(model).encode(text)]
