@@ -5,10 +5,13 @@ common words fall into few square tiles of the pair table. A tile with enough pa
 the pairs of all other tiles are counted together as sorted coordinates (COO). Pairs that may be frequent get ids in their
 turn, again by frequency, and pairs of neighbouring pairs are the phrases of three words; so on up to ``LONGEST`` words.
 
-One pass over the blocks gives the counts of one length. Blocks are counted apart and their counts summed by phrase, so that
-no vocabulary is ever held in one place. Between passes the frequent phrases become a Bloom filter of fixed size
-(``FILTER_BITS``), which keeps phrases with an infrequent part from being counted. Phrases that it lets through by mistake
-cost time only, since counts are always exact.
+Blocks are counted apart and their counts summed by phrase, so that no vocabulary is ever held in one place. Between passes over the
+blocks the frequent phrases become a Bloom filter of fixed size (``FILTER_BITS``), which keeps phrases with an infrequent part from
+being counted. Phrases that it lets through by mistake cost time only, since counts are always exact.
+
+Most pairs are rare, so the first pass sums pairs by 40 bits of their hash, packed in rows by the leading bits, a count being cut at MIN_COUNT. A
+hash below it has no frequent pair, so the second pass counts the pairs of the others, by name, with the phrases of three words. The third
+counts those of four and five words.
 
 Score of a cut: floor(1000 * a * n / (l * r)) in decimals of 38 digits. A phrase takes its lowest cut, the smallest on ties.
 
@@ -44,6 +47,10 @@ DENSE = TILE * TILE // 16
 SIDE, TILES_AT_ONCE = 1024, 32
 # Bits of the filter of frequent phrases: 8 MiB whatever the corpus.
 FILTER_BITS = 1 << 26
+# Filters and sums by hash use the leading 40 bits of a hash, sums in groups by the first 12 of them.
+SPARE_BITS, PART_BITS = 24, 28
+# Counts that a task merges before it hands them on.
+MERGED = 1 << 21
 
 GAP = b"\n"
 # Bytes of a text: A-Z in lower case, a tab as a blank, ends of pieces as a gap. All of them are single bytes in UTF-8.
@@ -144,65 +151,136 @@ def join_hashes(left: np.ndarray, last: np.ndarray) -> np.ndarray:
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     mask = np.uint64(FILTER_BITS - 1)
     hit = lambda at: (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
-    return (hit(hashes & mask) & hit((hashes >> np.uint64(32)) & mask)).astype(bool)
+    return (hit((hashes >> np.uint64(SPARE_BITS)) & mask) & hit((hashes >> np.uint64(38)) & mask)).astype(bool)
+
 
+def phrases_of(lang: str, codes: np.ndarray, words: list[str], filters: list[np.ndarray], levels: tuple[int, ...]) -> Iterator[tuple]:
+    """Of each of ``levels`` a block's phrases whose parts, and themselves, pass the filters there are: number of words, names by place, hashes, counts.
 
-def phrases_of(lang: str, codes: np.ndarray, words: list[str], filters: list[np.ndarray]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
-    """Phrases of len(filters) + 1 words of a block whose parts pass the filters; their hashes and counts, OUT_ROWS at a time."""
+    ``filters`` are of phrases of 1, 2, ... words.
+    """
     first_hashes = word_hashes(lang, words)
     good = np.append(passes(filters[0], first_hashes), False)
     seq, kept, _ = ranked(np.where(good[codes], codes, -1), len(words))
-    names = np.array(words, object)
-    hashes, last, text = first_hashes[kept], kept, names[kept]
-    for level in range(2, len(filters) + 2):
+    all_names = np.array(words, object)
+    hashes, last, text = first_hashes[kept], kept, all_names[kept]
+    for level in range(2, levels[-1] + 1):
         n = max(1, len(hashes))
         at = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
         keys, counts = count_pairs(seq[at], seq[at + 1], n)
         # Of each phrase: the one without its last word, and that word.
         left, last = keys // n, last[keys % n]
         hashes = join_hashes(hashes[left], first_hashes[last])
-        if level <= len(filters):
-            good = np.append(passes(filters[level - 1], hashes), False)
+        good = passes(filters[level - 1], hashes) if level <= len(filters) else np.ones(len(hashes), bool)
+        if level in levels:
+            mine = np.flatnonzero(good)
+            yield level, lambda i, text=text, left=left[mine], last=last[mine]: text[left[i]] + " " + all_names[last[i]], hashes[mine], counts[mine]
+        if level < levels[-1]:
             found = np.full(len(seq), -1, np.int64)
             found[at] = np.searchsorted(keys, seq[at] * n + seq[at + 1])
-            seq, order, _ = ranked(np.where(good[found], found, -1), len(keys))
+            seq, order, _ = ranked(np.where(np.append(good, False)[found], found, -1), len(keys))
             left, last, hashes = left[order], last[order], hashes[order]
-            text = text[left] + " " + names[last] if len(left) else text[:0]
-    for i in range(0, len(hashes), OUT_ROWS):
-        part = slice(i, i + OUT_ROWS)
-        yield (text[left[part]] + " " + names[last[part]]).tolist(), hashes[part], counts[part]
+            text = text[left] + " " + all_names[last] if len(left) else text[:0]
+
+
+def blocks_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, list[str]]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].as_py()
+            if words:
+                yield lang, np.frombuffer(batch.column("codes")[i].as_buffer(), "<i4").astype(np.int64), words
 
 
-PHRASES = "lang string, phrase string, hash bigint, n bigint"
+PHRASES = "lang string, n_words int, phrase string, hash bigint, n bigint"
 
 
-def counter(filters):
-    """A function over blocks that counts phrases; ``filters``: broadcast filters of the shorter ones."""
+def counter(filters, levels: tuple[int, ...], hashed: int):
+    """A function over blocks that counts phrases of ``levels`` words; ``filters``: broadcast filters of shorter ones; hashes go along for ``hashed`` words only."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [f.value for f in filters]
-        for batch in batches:
-            for i in range(batch.num_rows):
-                lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].as_py()
-                codes = np.frombuffer(batch.column("codes")[i].as_buffer(), "<i4").astype(np.int64)
-                for text, hashes, counts in phrases_of(lang, codes, words, bits) if words else ():
-                    columns = [pa.array([lang] * len(text), pa.string()), pa.array(text, pa.string()), pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "hash", "n"])
+        for lang, codes, words in blocks_in(batches):
+            for level, name, hashes, counts in phrases_of(lang, codes, words, bits, levels):
+                for i in range(0, len(hashes), OUT_ROWS):
+                    part = slice(i, i + OUT_ROWS)
+                    text, own = name(part).tolist(), hashes[part].view(np.int64) if level == hashed else np.zeros(len(hashes[part]), np.int64)
+                    columns = [pa.array([lang] * len(text), pa.string()), pa.array([level] * len(text), pa.int32()), pa.array(text, pa.string()), pa.array(own), pa.array(counts[part], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "n_words", "phrase", "hash", "n"])
+
+    return count
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order and the sums of their counts."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers as their first bytes, then their second, ...: like bytes side by side compress."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).reshape(-1)
+
+
+SUMS = "part int, hashes binary, counts binary"
+
+
+def pair_hashes(words_filter, least: int):
+    """A function over blocks that counts pairs of frequent words by the leading bits of their hashes, up to ``least``, in rows by the first of them."""
+
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, counts = summed(*map(np.concatenate, zip(*held)))
+        parts, start = np.unique(keys >> np.uint64(PART_BITS), return_index=True)
+        rest, counts = (keys & np.uint64((1 << PART_BITS) - 1)).astype("<u4"), np.minimum(counts, least).astype("<u4")
+        rows = [slice(a, b) for a, b in zip(start, [*start[1:], len(keys)])]
+        columns = [pa.array(parts.astype(np.int32)), *[pa.array([planes(x[r]) for r in rows], pa.binary()) for x in (rest, counts)]]
+        return pa.RecordBatch.from_arrays(columns, ["part", "hashes", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for lang, codes, words in blocks_in(batches):
+            for _, _, hashes, counts in phrases_of(lang, codes, words, [words_filter.value], (2,)):
+                held.append((hashes >> np.uint64(SPARE_BITS), counts))
+                size += len(hashes)
+            if size >= MERGED:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
 
     return count
 
 
+def frequent_hashes(least: int):
+    """A function over the rows of one part: hashes, the bits that weren't kept being 0, whose counts reach ``least``."""
+
+    def frequent(table: pa.Table) -> pa.Table:
+        keys, counts = (np.concatenate([from_planes(x, "<u4") for x in table[c].to_pylist()]) for c in ("hashes", "counts"))
+        keys, counts = summed(keys, counts.astype(np.int64))
+        full = (np.uint64(table["part"][0].as_py()) << np.uint64(PART_BITS)) + keys[counts >= least].astype(np.uint64)
+        return pa.table({"hash": pa.array((full << np.uint64(SPARE_BITS)).view(np.int64))})
+
+    return frequent
+
+
 def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the hash of a single word."""
     for batch in batches:
         hashes = [word_hashes(lang, [w])[0] for lang, w in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist())]
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("phrase"), pa.array(np.array(hashes, np.uint64).view(np.int64)), batch.column("n")], ["lang", "phrase", "hash", "n"])
+        columns = [batch.column("lang"), pa.array([1] * batch.num_rows, pa.int32()), batch.column("phrase"), pa.array(np.array(hashes, np.uint64).view(np.int64)), batch.column("n")]
+        yield pa.RecordBatch.from_arrays(columns, ["lang", "n_words", "phrase", "hash", "n"])
 
 
 def filter_of(frequent: DataFrame) -> np.ndarray:
     """Bits of the hashes: at most FILTER_BITS / 64 numbers reach the driver, however many phrases there are."""
     mask = F.lit(FILTER_BITS - 1)
-    places = frequent.select(F.explode(F.array(F.col("hash").bitwiseAND(mask), F.shiftrightunsigned("hash", 32).bitwiseAND(mask))).alias("at"))
+    places = frequent.select(F.explode(F.array(*[F.shiftrightunsigned("hash", bits).bitwiseAND(mask) for bits in (SPARE_BITS, 38)])).alias("at"))
     cells = places.select(F.shiftright("at", 6).alias("cell"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     for batch in cells.toArrow().to_batches():
@@ -221,20 +299,24 @@ def count_phrases(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
     totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, x: s + x)).alias("n"))
     words = blocks.select("lang", F.explode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("w")).groupBy("lang", F.col("w.phrase").alias("phrase"))
     frequent = words.agg(F.sum("w.n").alias("n")).where(F.col("n") >= MIN_COUNT).mapInArrow(hash_words, PHRASES)
-    found, filters = None, []
-    for level in range(1, LONGEST + 1):
-        if level > 1:
-            counted = blocks.select("lang", "codes", "words").mapInArrow(counter(filters), PHRASES).groupBy("lang", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
-            frequent = counted.where(F.col("n") >= MIN_COUNT)
-        frequent = scratch.save(frequent, f"phrases_{level}")
-        if level < LONGEST:
-            filters.append(spark.sparkContext.broadcast(filter_of(frequent)))
-        own = frequent.select("lang", F.lit(level).alias("n_words"), "phrase", F.col("n").alias("f"))
-        found = own if found is None else found.unionByName(own)
+    share = lambda frequent: spark.sparkContext.broadcast(filter_of(frequent))
+    frequent = scratch.save(frequent, "phrases_1")
+    filters = [share(frequent)]
+    sums = blocks.select("lang", "codes", "words").mapInArrow(pair_hashes(filters[0], MIN_COUNT), SUMS)
+    filters.append(share(scratch.save(sums.groupBy("part").applyInArrow(frequent_hashes(MIN_COUNT), "hash bigint"), "hashes_2")))
+    own = lambda df: df.select("lang", "n_words", "phrase", F.col("n").alias("f"))
+    found = own(frequent)
+    for levels in ((2, 3), (4, LONGEST)):
+        counted = blocks.select("lang", "codes", "words").mapInArrow(counter(filters, levels, levels[0] + 1 if levels[-1] < LONGEST else 0), PHRASES)
+        counted = counted.groupBy("lang", "n_words", "phrase").agg(F.min("hash").alias("hash"), F.sum("n").alias("n"))
+        counted = scratch.save(counted.where(F.col("n") >= MIN_COUNT), f"phrases_{levels[-1]}")
+        found = found.unionByName(own(counted))
+        if levels[-1] < LONGEST:
+            filters.append(share(counted.where(F.col("n_words") == levels[-1])))
     totals = scratch.save(totals, "totals")
     spark.conf.set(READ_ROWS, batch_size)
     found = scratch.save(found, "phrases")
-    scratch.drop("blocks", *[f"phrases_{level}" for level in range(1, LONGEST + 1)])
+    scratch.drop("blocks", "hashes_2", "phrases_1", "phrases_3", f"phrases_{LONGEST}")
     return totals, found
 
 

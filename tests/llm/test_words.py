@@ -82,6 +82,50 @@ def test_a_full_filter_changes_nothing(spark, frequent, monkeypatch):
     assert rows_of(collocations.collocations(docs)) == brute.collocations(rows, 3, 40)
 
 
+def test_rare_pairs_stay_unnamed(monkeypatch):
+    """Sums by hash over all blocks keep each frequent pair, and pairs of frequent words that are rare leave no block by name."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", 60)
+    monkeypatch.setattr(collocations, "MERGED", 200)
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(["new york"] + [f"w{k}" for k in range(30)]) for _ in range(40)) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 60), pa.array(texts)], ["lang", "text"])
+    blocks, least = list(collocations.encode_blocks(iter([batch]))), 20
+    assert len(blocks) > 10
+    words, pairs = {}, {}
+    for t in texts:
+        t = t.split(" ")
+        for w in t:
+            words[w] = words.get(w, 0) + 1
+        for w in zip(t, t[1:]):
+            pairs[" ".join(w)] = pairs.get(" ".join(w), 0) + 1
+    assert min(words.values()) >= least and sum(n < least for n in pairs.values()) > 500
+
+    class Shared:
+        value = np.full(collocations.FILTER_BITS // 64, 2**64 - 1, np.uint64)
+
+    rows = list(collocations.pair_hashes(Shared, least)(iter(blocks)))
+    rows = pa.Table.from_batches(rows).combine_chunks()
+    assert len(rows) > len(set(rows["part"].to_pylist()))
+    hashes = [collocations.frequent_hashes(least)(rows.take(pa.array(np.flatnonzero(rows["part"].to_numpy() == part))))["hash"].to_numpy() for part in set(rows["part"].to_pylist())]
+    hashes = np.concatenate(hashes).view(np.uint64)
+    assert len(hashes) == sum(n >= least for n in pairs.values())
+
+    class Pairs:
+        value = np.zeros(collocations.FILTER_BITS // 64, np.uint64)
+
+    for shift in (collocations.SPARE_BITS, 38):
+        at = (hashes >> np.uint64(shift)) & np.uint64(collocations.FILTER_BITS - 1)
+        np.bitwise_or.at(Pairs.value, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    named = {}
+    for b in collocations.counter([Shared, Pairs], (2, 3), 3)(iter(blocks)):
+        for n_words, phrase, n in zip(*(b.column(c).to_pylist() for c in ("n_words", "phrase", "n"))):
+            if n_words == 2:
+                named[phrase] = named.get(phrase, 0) + n
+    assert named == {p: n for p, n in pairs.items() if n >= least}
+
+
 def test_blocks_split_texts_alike(monkeypatch):
     monkeypatch.setattr(collocations, "BLOCK_WORDS", 50)
     import pyarrow as pa
