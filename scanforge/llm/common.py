@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,15 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system. A worker outlives its task, and what its allocators hold counts beside the stages that follow."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class Scratch:
     """Intermediate tables of one run in the cluster's shared folder, dropped as soon as nothing reads them."""
 

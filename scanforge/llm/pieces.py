@@ -26,7 +26,7 @@ import re
 import struct
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanforge.llm.common import text_batches
+from scanforge.llm.common import give_back, text_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -471,17 +471,23 @@ def decode_array(machine: Transducer, rows: pa.Array) -> pa.Array:
     return pc.replace_with_mask(text, pa.array(mask), pa.array([None if r is None else machine.decode(r) for r in rows.take(pa.array(slow)).to_pylist()], pa.string()))
 
 
+def in_task(machine: Transducer, batches: Iterator[pa.Array], of: Callable[[pa.Array], pa.Array]) -> Iterator[pa.Array]:
+    """``of`` each batch of a task. The caches, and the memory that they and the batches took, go at its end."""
+    try:
+        for texts in batches:
+            yield of(texts)
+    finally:
+        machine.forget()
+        give_back()
+
+
 def encode(text: Column, model) -> Column:
     """Ids of each text; ``model`` is a broadcast Model."""
 
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = compiled(model.value)
-        try:
-            for texts in batches:
-                yield machine.encode_array(texts)
-        finally:
-            machine.forget()
+        yield from in_task(machine, batches, machine.encode_array)
 
     return encoded(text)
 
@@ -500,12 +506,12 @@ def encode_and_back(text: Column, model) -> Column:
     @F.arrow_udf("struct<ids:array<int>,restored:string>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         machine = compiled(model.value)
-        try:
-            for texts in batches:
-                ids = machine.encode_array(texts)
-                yield pa.StructArray.from_arrays([ids, decode_array(machine, ids)], ["ids", "restored"])
-        finally:
-            machine.forget()
+
+        def both(texts: pa.Array) -> pa.Array:
+            ids = machine.encode_array(texts)
+            return pa.StructArray.from_arrays([ids, decode_array(machine, ids)], ["ids", "restored"])
+
+        yield from in_task(machine, batches, both)
 
     return coded(text)
 

@@ -1,5 +1,7 @@
 import os
+import pickle
 import random
+import subprocess
 import sys
 
 import pyarrow as pa
@@ -113,3 +115,30 @@ def test_models_without_a_front_mark():
             model = pieces.Model(pieces_of, [*vocabulary.values(), -6.0][: len(pieces_of)], [pieces.NORMAL] * len(pieces_of), kind, front_mark=False)
             for text in ("ab a", "a b ab ba", "b a", " a", "a  b", "ba\nab c"):
                 assert pieces.Transducer(model).encode_array(pa.array([text])).to_pylist() == [pieces.Transducer(model).encode(text)]
+
+
+KEPT_MEMORY = """
+import pickle, random, sys
+sys.path.insert(0, sys.argv[1])
+import pyarrow as pa
+from scanforge.llm import pieces
+machine = pieces.Transducer(pickle.load(sys.stdin.buffer))
+draw = random.Random(5)
+texts = ["".join(" " + "".join(draw.choices("abcdefghijklmnoprstuvw", k=draw.randint(4, 9))) for _ in range(200))[1:] for _ in range(600)]
+batches = [pa.array(texts[i : i + 200]) for i in range(0, 600, 200)]
+del texts
+held = lambda: int(open("/proc/self/status").read().split("RssAnon:")[1].split()[0]) / 1024
+def task(of):
+    before = held()
+    for found in pieces.in_task(machine, iter(batches), of):
+        assert len(found) == 200
+    del found
+    return held() - before
+print(task(machine.encode_array))
+"""
+
+
+def test_a_task_leaves_no_memory_behind(model):
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", KEPT_MEMORY, root], input=pickle.dumps(model), capture_output=True, check=True)
+    assert float(out.stdout) < 10
