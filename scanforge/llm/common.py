@@ -52,6 +52,15 @@ class Scratch:
         for name in names:
             tables.remove(self.spark, f"{self.root}/{name}")
 
+    def release(self) -> None:
+        """Lets go of broadcasts and shuffle files of finished steps, here and on executors.
+
+        Spark does that when the driver collects its garbage, which a roomy heap puts off: of its own accord every half hour. Meant for
+        operators of many small jobs, between their steps.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def fresh_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have, whatever its case."""
@@ -86,8 +95,8 @@ def least_hashes(keyed: DataFrame, group: str, n: int, scratch: Scratch, name: s
     """
     different = scratch.save(keyed.where(F.col(group).isNotNull()).select(group, "h").distinct(), name)
     cells = different.groupBy(group, F.shiftright("h", 44).alias("cell")).count()
-    # Cells are summed in blocks, so no task sorts all cells of a group.
-    counted = running_sum(cells, [group], "cell", "count", "before", levels=2)
+    # Cells are summed in blocks, so no task sorts all cells of a group; one level covers 2^20.
+    counted = running_sum(cells, [group], "cell", "count", "before", levels=1)
     last = counted.where(F.col("before") < n).groupBy(group).agg(F.max("cell").alias("last"))
     near = salted(different, last, [group], "h").where(F.shiftright("h", 44) <= F.col("last"))
     return near.withColumn("k", F.row_number().over(Window.partitionBy(group).orderBy("h"))).where(F.col("k") <= n).select(group, "h")

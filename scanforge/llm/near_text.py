@@ -135,6 +135,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, width: int, min_percent: int, scr
     found = both.where(similar_on_full_sets(F.col("left"), F.col("right"), width, min_percent)).select("a", "b").distinct()
     found = scratch.save(found, f"{name}_links")
     scratch.drop(f"{name}_nodes", f"{name}_texts")
+    scratch.release()
     return found
 
 
@@ -253,6 +254,7 @@ def join_components(docs: DataFrame, wanted: DataFrame, labels: DataFrame, nodes
     rows = one.union(two).join(sets, "node")
     found = scratch.save(rows.groupBy("c", "i", "j").applyInArrow(join_block(min_percent), "a bigint, b bigint"), "join_links")
     scratch.drop("join_sizes", "join_nodes", "join_sets")
+    scratch.release()
     return found
 
 
@@ -276,6 +278,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERC
     star_links = confirm(docs, with_signatures(stars, nodes), width, min_percent, scratch, "stars")
     labels = scratch.save(components(star_links, scratch, "star_components"), "star_labels")
     rest = scratch.save(bucket_rest(members, labels, nodes), "rest")
+    scratch.release()
     likeliest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest_links = confirm(docs, likeliest, width, min_percent, scratch, "rest")
     links = star_links.union(rest_links)
@@ -284,8 +287,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, min_percent: int = MIN_PERC
     label = lambda c: joined.select(F.col("node").alias(c), F.col("component").alias(f"{c}_now"))
     unsure = rest.where("n > 1").select("a", "c").join(label("a"), "a", "left").join(label("c"), "c", "left")
     unsure = scratch.save(unsure.where(F.coalesce("a_now", "a") != F.coalesce("c_now", "c")).select("a", "c"), "unsure")
-    links = links.union(join_components(docs, unsure, labels, nodes, width, min_percent, scratch))
-    labels = components(links, scratch, "all_components")
+    # Most tables leave none, and then the components are known.
+    if unsure.isEmpty():
+        labels = joined
+    else:
+        links = links.union(join_components(docs, unsure, labels, nodes, width, min_percent, scratch))
+        labels = components(links, scratch, "all_components")
 
     classes = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     classes = scratch.save(classes, "classes")

@@ -118,9 +118,13 @@ def log_ratios(random: dict, words: dict) -> list[float]:
 
 def train(docs: DataFrame) -> list[float]:
     scratch = Scratch(docs.sparkSession)
-    ratios = log_ratios(transitions(random_samples(docs, scratch)), transitions(identifier_samples(docs, scratch)))
-    scratch.drop("values", "values_last", "texts", "texts_last")
-    return ratios
+    random = transitions(random_samples(docs, scratch))
+    scratch.drop("values", "values_last")
+    scratch.release()
+    words = transitions(identifier_samples(docs, scratch))
+    scratch.drop("texts", "texts_last")
+    scratch.release()
+    return log_ratios(random, words)
 
 
 def likelihood_ratio(value: Column, ratios: list[float]) -> Column:

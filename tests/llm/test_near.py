@@ -5,6 +5,7 @@ from llm.conftest import prose
 from pyspark.sql import functions as F
 from scanforge.llm import components, near_text, near_vectors
 from scanforge.llm.common import Scratch
+from scanforge.plans import tables
 
 
 def test_components(spark):
@@ -17,6 +18,36 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark)).count() == 0
 
 
+def test_stars_need_no_round(spark, tmp_path):
+    """Rounds over links at rest cost the driver two jobs for each exchange and find nothing."""
+    for links, rounds in (([(1, 2), (3, 1), (1, 4), (8, 9), (9, 8)], 0), ([(1, 2), (2, 3)], 1), ([(1, 3), (2, 3)], 1)):
+        scratch = Scratch(spark)
+        found = components.components(spark.createDataFrame(links, "a bigint, b bigint"), scratch)
+        assert {r["node"]: r["component"] for r in found.collect()} == brute.groups({x for link in links for x in link}, links)
+        assert tables.exists(spark, f"{scratch.root}/components_1") == (rounds > 0)
+
+
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_nothing_left_is_not_compared(spark, monkeypatch):
+    """Where each likeliest partner is similar, no component is compared as a whole, and components aren't sought a third time."""
+    base = prose(5, 200).split()
+    texts = {i: " ".join([*base[:i], f"c{i}", *base[i + 1 :]]) for i in range(12)} | {100 + i: prose(100 + i, 80) for i in range(8)}
+    monkeypatch.setattr(near_text, "join_components", lambda *_: pytest.fail("compared"))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = []
+    jobs = jobs_of(spark, "near", lambda: found.extend(near_text.near_duplicates(docs, 4).collect()))
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute.near_texts(texts, 4)
+    assert jobs < 90
+
+
 @pytest.mark.parametrize("width", [4, 5])
 def test_texts_equal_brute_force(docs, width):
     rows = near_text.near_duplicates(docs, width).collect()
